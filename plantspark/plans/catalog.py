@@ -636,24 +636,23 @@ def schema_violations(spark, sf_dir):
 # --- rollups and statistics -------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, rollup: DataFrame, name: str, every: str) -> DataFrame:
-    """Writes a rollup to history and reads it back."""
+def _stored(spark: SparkSession, rollup: DataFrame, name: str) -> DataFrame:
+    """Merges a rollup of the whole range into history and reads it back."""
     root = new_folder(spark, "history")
-    tables.overwrite_windows(rollup, root, name, every)
+    tables.merge_windows(rollup, root, name, *tables.bounds(rollup, AS_OF, LOOKBACK))
     return spark.read.parquet(f"{root}/{name}").select(*rollup.columns)
 
 
 @query
 def rollup_hourly(spark, sf_dir):
-    rows = rollups.hourly_means(
-        sensor(spark, sf_dir), AS_OF, LOOKBACK, "0 hours", fields=["temperature", "power", "vibration_level", "rpm_spindle"])
-    return rounded(_stored(spark, rows, "sensor_data_1h", "hour"), *WIDE_FIELDS)
+    rows = rollups.hourly_means(sensor(spark, sf_dir), AS_OF, LOOKBACK, "0 hours", fields=WIDE_FIELDS)
+    return rounded(_stored(spark, rows, "sensor_data_1h"), *WIDE_FIELDS)
 
 
 @query
 def rollup_daily(spark, sf_dir):
     rows = rollups.daily_cycle_time(events(spark, sf_dir), AS_OF, LOOKBACK, "0 days")
-    return rounded(_stored(spark, rows, "machine_events_1d", "day"), "cycle_time")
+    return rounded(_stored(spark, rows, "machine_events_1d"), "cycle_time")
 
 
 @query

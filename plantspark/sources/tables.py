@@ -38,12 +38,8 @@ def recent(df: DataFrame, as_of: datetime | str, lookback: str, time: str = "_ti
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A measurement table; empty with the declared columns while nothing has been written."""
-    try:
-        return spark.read.parquet(f"{root}/{name}")
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") or name not in TABLES:
-            raise
-        return spark.createDataFrame([], TABLES[name])
+    stored = _stored(spark, f"{root}/{name}")
+    return stored if stored is not None else spark.createDataFrame([], TABLES[name])
 
 
 def append_batch(rows: DataFrame, root: str, name: str, batch_id: int, time: str = "_time") -> None:
@@ -62,23 +58,33 @@ def append_batch(rows: DataFrame, root: str, name: str, batch_id: int, time: str
     )
 
 
-def overwrite_windows(rows: DataFrame, root: str, name: str, every: str, time: str = "_time") -> None:
-    """Writes window results, replacing exactly the windows present in `rows`.
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Column, time: str = "_time") -> None:
+    """Replaces the windows of start..stop in a rollup table, so that a second run changes nothing.
 
-    `every` is `hour` or `day`. A window is filed under the day (and hour) before its end, so a
-    second run of any range changes nothing and leaves its neighbours alone.
+    A window is filed under the day before its end. Only the days of the range are read and written,
+    and their other windows are kept; the new files replace the old ones when the job commits.
     """
     inside = F.col(time) - F.expr("INTERVAL 1 MICROSECOND")
     filed = rows.withColumn("window_date", F.to_date(inside))
-    parts = ["window_date"]
-    if every == "hour":
-        filed = filed.withColumn("window_hour", F.hour(inside))
-        parts.append("window_hour")
+    old = _stored(rows.sparkSession, f"{root}/{name}")
+    if old is not None:
+        days = F.col("window_date").between(F.to_date(start), F.to_date(stop))
+        kept = old.where(days & ((F.col(time) <= start) | (F.col(time) > stop)))
+        filed = filed.unionByName(kept.select(*filed.columns))
     (
-        filed.hint("rebalance", *parts)
+        filed.hint("rebalance", "window_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
+        .partitionBy("window_date")
         .parquet(f"{root}/{name}")
     )
 
