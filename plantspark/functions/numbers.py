@@ -2,35 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 _NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def number_from_text(text: Column) -> Column:
+def number_from_text(text: str) -> str:
     """Double read from text; NULL unless the whole text is a number."""
-    return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
+    return f"if({text} rlike r'{_NUMBER_TEXT}', try_cast({text} as double), null)"
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: str) -> str:
     """Shortest text of a double: plain digits from 1e-4 up to 1e16, exponent form outside."""
-    raw = value.cast("string")
-    digits = raw.try_cast("decimal(38,18)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
-    mantissa = F.regexp_replace(F.split_part(raw, F.lit("E"), F.lit(1)), r"\.0$", "")
-    power = F.split_part(raw, F.lit("E"), F.lit(2)).try_cast("int")
-    exponent = F.concat(
-        mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
-        F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"),
+    raw = f"cast({value} as string)"
+    digits = f"cast(try_cast({raw} as decimal(38,18)) as string)"
+    plain = f"regexp_replace(regexp_replace({digits}, '0+$', ''), r'\\.$', '.0')"
+    mantissa = f"regexp_replace(split_part({raw}, 'E', 1), r'\\.0$', '')"
+    power = f"cast(split_part({raw}, 'E', 2) as int)"
+    exponent = (
+        f"concat({mantissa}, 'e', if({power} < 0, '-', '+'), if(abs({power}) < 10, '0', ''), abs({power}))"
     )
-    size = F.abs(value)
     return (
-        F.when(~raw.contains("E"), raw)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
+        f"case when not contains({raw}, 'E') then {raw}"
+        f" when abs({value}) >= 1e-4d and abs({value}) < 1e16d then {plain} else {exponent} end"
     )
 
 
-def gibibytes(size: Column) -> Column:
+def gibibytes(size: str) -> str:
     """Bytes as GiB with two decimals."""
-    return F.round(size / F.lit(float(1024**3)), 2)
+    return f"round({size} / 1073741824d, 2)"

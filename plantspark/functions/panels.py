@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-# Fixed values: (yellow from, red from) per panel.
+# Fixed values: (yellow from, red from) per panel, and red from for any other panel.
 BANDS = {"temperature": (70.0, 85.0), "power": (5.0, 8.0), "critical_alerts": (5.0, 10.0)}
 DEFAULT_RED = 80.0
 
@@ -15,19 +13,13 @@ SEVERITY_LABELS = {"critical": "🔴 CRITICAL", "warning": "🟡 WARNING"}
 RANGE_PRESETS = {"30m": "30 minutes", "1h": "1 hour", "6h": "6 hours", "24h": "24 hours"}
 
 
-def threshold_band(value: Column, panel: str = "") -> Column:
+def threshold_band(value: str, panel: str = "") -> str:
     """green / yellow / red; a step applies from its own value upwards."""
-    if panel in BANDS:
-        yellow, red = BANDS[panel]
-        band = F.when(value >= red, "red").when(value >= yellow, "yellow").otherwise("green")
-    else:
-        band = F.when(value >= DEFAULT_RED, "red").otherwise("green")
-    return F.when(value.isNotNull(), band)
+    yellow, red = BANDS.get(panel, (DEFAULT_RED, DEFAULT_RED))
+    return f"case when {value} >= {red}d then 'red' when {value} >= {yellow}d then 'yellow' when {value} is not null then 'green' end"
 
 
-def severity_label(severity: Column) -> Column:
+def severity_label(severity: str = "severity") -> str:
     """Display text of a severity; unknown ones stay as they are."""
-    label = severity
-    for name, text in SEVERITY_LABELS.items():
-        label = F.when(severity == name, text).otherwise(label)
-    return label
+    cases = " ".join(f"when '{name}' then '{text}'" for name, text in SEVERITY_LABELS.items())
+    return f"case {severity} {cases} else {severity} end"

@@ -2,37 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from plantspark.schemas import DEFAULT_DISTANCE, STATION_DISTANCES
 
 
-def machine_type(machine: Column) -> Column:
+def machine_type(machine: str = "machine") -> str:
     """Type named inside the machine's name, whatever the case; first match wins."""
-    name = F.lower(machine)
     return (
-        F.when(name.contains("milling"), "Milling")
-        .when(name.contains("lathe"), "Lathe")
-        .when(name.contains("saw"), "Saw")
-        .otherwise("Unknown")
+        f"case when contains(lower({machine}), 'milling') then 'Milling'"
+        f" when contains(lower({machine}), 'lathe') then 'Lathe'"
+        f" when contains(lower({machine}), 'saw') then 'Saw' else 'Unknown' end"
     )
 
 
-def piece_material(piece_id: Column) -> Column:
+def piece_material(piece_id: str = "piece_id") -> str:
     """Material by piece number range; NULL when the range says nothing."""
-    return F.when(piece_id.startswith("PZ00"), "steel").when(piece_id.startswith("PZ01"), "alu")
+    return f"case when startswith({piece_id}, 'PZ00') then 'steel' when startswith({piece_id}, 'PZ01') then 'alu' end"
 
 
-def station_distance(origin: Column, target: Column) -> Column:
+def station_distance(origin: str = "from_station", target: str = "to_station") -> str:
     """Metres between two stations, either way round; other pairs get the default."""
-    entries = []
-    for (a, b), metres in STATION_DISTANCES.items():
-        for pair in ((a, b), (b, a)):
-            entries += [F.lit("|".join(pair)), F.lit(metres)]
-    known = F.try_element_at(F.create_map(*entries), F.concat(origin, F.lit("|"), target))
-    return F.coalesce(known, F.lit(DEFAULT_DISTANCE))
+    both_ways = [
+        f"'{x}|{y}', {metres}d" for (a, b), metres in STATION_DISTANCES.items() for x, y in ((a, b), (b, a))
+    ]
+    known = f"try_element_at(map({', '.join(both_ways)}), concat({origin}, '|', {target}))"
+    return f"coalesce({known}, {DEFAULT_DISTANCE}d)"
 
 
-def event_status(event_type: Column, given: Column) -> Column:
+def event_status(event_type: str, given: str) -> str:
     """`..start` is active, `..end` completed, anything else keeps the given status."""
-    return F.when(event_type.endswith("start"), "active").when(event_type.endswith("end"), "completed").otherwise(given)
+    return (
+        f"case when endswith({event_type}, 'start') then 'active'"
+        f" when endswith({event_type}, 'end') then 'completed' else {given} end"
+    )

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
 from plantspark.functions.numbers import number_text
 
-ANOMALY_TYPE = "struct<rule:string,severity:string,message:string,value:double>"
-
 
 @dataclass(frozen=True)
 class Thresholds:
@@ -49,29 +45,23 @@ class Thresholds:
 DEFAULTS = Thresholds()
 
 
-def _anomaly(rule: str, value: Column, unit: str, *cases: tuple[Column, str, str]) -> Column:
+def _anomaly(rule: str, value: str, unit: str, *cases: tuple[str, str, str]) -> str:
     """Struct of the first (condition, severity, message start) whose condition holds."""
-    severity, start = F.lit(None), F.lit(None)
-    for condition, level, prefix in reversed(cases):
-        severity = F.when(condition, level).otherwise(severity)
-        start = F.when(condition, prefix).otherwise(start)
-    return F.when(
-        severity.isNotNull(),
-        F.struct(
-            F.lit(rule).alias("rule"),
-            severity.alias("severity"),
-            F.concat(start, number_text(value), F.lit(unit)).alias("message"),
-            value.cast("double").alias("value"),
-        ).cast(ANOMALY_TYPE),
+    severity = " ".join(f"when {condition} then '{level}'" for condition, level, _ in cases)
+    start = " ".join(f"when {condition} then '{prefix}'" for condition, _, prefix in cases)
+    return (
+        f"if({' or '.join(condition for condition, _, _ in cases)}, named_struct('rule', '{rule}',"
+        f" 'severity', case {severity} end,"
+        f" 'message', concat(case {start} end, {number_text(value)}, '{unit}'), 'value', {value}), null)"
     )
 
 
-def _above(value: Column, limit: float) -> Column:
+def _above(value: str, limit: float) -> str:
     # Spark orders NaN above every number; a NaN reading must not trip a rule.
-    return (value > limit) & ~F.isnan(value)
+    return f"({value} > {limit}d and not isnan({value}))"
 
 
-def temperature_rule(value: Column, limits: Thresholds = DEFAULTS) -> Column:
+def temperature_rule(value: str = "temperature", limits: Thresholds = DEFAULTS) -> str:
     return _anomaly(
         "temperature", value, "°C",
         (_above(value, limits.temperature_critical), "critical", "Critical temperature: "),
@@ -79,7 +69,7 @@ def temperature_rule(value: Column, limits: Thresholds = DEFAULTS) -> Column:
     )
 
 
-def vibration_rule(value: Column, limits: Thresholds = DEFAULTS) -> Column:
+def vibration_rule(value: str = "vibration_level", limits: Thresholds = DEFAULTS) -> str:
     return _anomaly(
         "vibration", value, "g",
         (_above(value, limits.vibration_critical), "critical", "Critical vibration: "),
@@ -87,40 +77,39 @@ def vibration_rule(value: Column, limits: Thresholds = DEFAULTS) -> Column:
     )
 
 
-def power_rule(value: Column, limits: Thresholds = DEFAULTS) -> Column:
+def power_rule(value: str = "power", limits: Thresholds = DEFAULTS) -> str:
     return _anomaly(
         "power", value, "kW",
         (_above(value, limits.power_critical), "critical", "Critical power consumption: "),
         (_above(value, limits.power_warning), "warning", "High power consumption: "),
-        (value < limits.power_low, "warning", "Suspiciously low power: "),
+        (f"{value} < {limits.power_low}d", "warning", "Suspiciously low power: "),
     )
 
 
-def rpm_rule(value: Column, kind: Column, limits: Thresholds = DEFAULTS) -> Column:
-    def outside(bounds: tuple[float, float]) -> Column:
-        return _above(value, bounds[1]) | (value < bounds[0])
+def rpm_rule(value: str = "rpm_spindle", kind: str = "machine_type", limits: Thresholds = DEFAULTS) -> str:
+    def outside(name: str, bounds: tuple[float, float]) -> str:
+        return f"({kind} = '{name}' and ({_above(value, bounds[1])} or {value} < {bounds[0]}d))"
 
     return _anomaly(
         "rpm", value, "",
-        ((kind == "Milling") & outside(limits.milling_rpm), "warning", "Abnormal RPM for milling: "),
-        ((kind == "Lathe") & outside(limits.lathe_rpm), "warning", "Abnormal RPM for lathe: "),
+        (outside("Milling", limits.milling_rpm), "warning", "Abnormal RPM for milling: "),
+        (outside("Lathe", limits.lathe_rpm), "warning", "Abnormal RPM for lathe: "),
     )
 
 
-def anomalies(temperature: Column, vibration: Column, power: Column, rpm: Column, kind: Column,
-              limits: Thresholds = DEFAULTS) -> Column:
+def anomalies(temperature: str = "temperature", vibration: str = "vibration_level", power: str = "power",
+              rpm: str = "rpm_spindle", kind: str = "machine_type", limits: Thresholds = DEFAULTS) -> str:
     """All anomalies of one reading, in rule order; an empty array when there are none."""
-    found = F.array(
+    found = ", ".join([
         temperature_rule(temperature, limits), vibration_rule(vibration, limits),
         power_rule(power, limits), rpm_rule(rpm, kind, limits),
-    )
-    return F.filter(found, lambda a: a.isNotNull())
+    ])
+    return f"filter(array({found}), a -> a is not null)"
 
 
-def alert_table(rule: Column) -> Column:
+def alert_table(rule: str) -> str:
     """Measurement an alert is stored under."""
     return (
-        F.when(rule == "temperature", "temperature_alerts")
-        .when(rule == "vibration", "vibration_alerts")
-        .otherwise("system_alerts")
+        f"case {rule} when 'temperature' then 'temperature_alerts'"
+        f" when 'vibration' then 'vibration_alerts' else 'system_alerts' end"
     )

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Extended ISO 8601; the offset may be Z, +hh, +hhmm or +hh:mm.
 _ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?$"
-_ISO_BASIC = r"^\d{8}T\d{6}$"
 _PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(text: str) -> str:
     """Stamp of an ISO text with `T`, or of a plain `date time` text; NULL for anything else."""
-    iso = F.when(text.rlike(_ISO), F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp"))
-    basic = F.when(text.rlike(_ISO_BASIC), F.try_to_timestamp(text, F.lit("yyyyMMdd'T'HHmmss")))
-    plain = F.when(
-        text.rlike(_PLAIN),
-        F.try_to_timestamp(F.regexp_replace(text, r"\s+", " "), F.lit("yyyy-M-d H:m:s")),
+    return (
+        f"case when {text} rlike r'{_ISO}' then try_cast(replace({text}, ',', '.') as timestamp)"
+        rf" when {text} rlike r'^\d{{8}}T\d{{6}}$' then try_to_timestamp({text}, 'yyyyMMdd\'T\'HHmmss')"
+        f" when {text} rlike r'{_PLAIN}' then try_to_timestamp(regexp_replace({text}, r'\\s+', ' '), 'yyyy-M-d H:m:s') end"
     )
-    return F.when(text.contains("T"), F.coalesce(iso, basic)).otherwise(plain)

@@ -9,14 +9,13 @@ from plantspark.functions.rules import DEFAULTS, Thresholds, alert_table, anomal
 
 def with_anomalies(readings: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Adds the anomaly array to a wide sensor table; fields the table lacks stay silent."""
-    def field(name: str):
-        return F.col(name) if name in readings.columns else F.lit(None).cast("double")
+    def field(name: str) -> str:
+        return name if name in readings.columns else "cast(null as double)"
 
     found = anomalies(
-        field("temperature"), field("vibration_level"), field("power"), field("rpm_spindle"),
-        F.col("machine_type"), limits,
+        field("temperature"), field("vibration_level"), field("power"), field("rpm_spindle"), limits=limits,
     )
-    return readings.withColumn("anomalies", found)
+    return readings.selectExpr("*", f"{found} as anomalies")
 
 
 def alerts(readings: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -25,17 +24,10 @@ def alerts(readings: DataFrame, extra: list[str] | None = None) -> DataFrame:
     `extra` keeps further columns of the reading, such as its id.
     """
     keep = extra or []
-    hit = readings.select("_time", "machine", *keep, F.explode("anomalies").alias("a"))
-    return hit.select(
-        "_time", *keep,
-        alert_table(F.col("a.rule")).alias("_measurement"),
-        "machine",
-        F.col("a.severity").alias("severity"),
-        F.lit("anomaly").alias("alert_type"),
-        F.col("a.rule").alias("rule"),
-        F.col("a.message").alias("message"),
-        F.col("a.value").alias("value"),
-        F.lit(False).alias("resolved"),
+    hit = readings.selectExpr("_time", "machine", *keep, "explode(anomalies) as a")
+    return hit.selectExpr(
+        "_time", *keep, f"{alert_table('a.rule')} as _measurement", "machine", "a.severity",
+        "'anomaly' as alert_type", "a.rule", "a.message", "a.value", "false as resolved",
     )
 
 

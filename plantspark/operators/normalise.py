@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plantspark.functions.numbers import gibibytes, number_from_text
 from plantspark.functions.plant import event_status, machine_type, piece_material, station_distance
@@ -13,169 +13,156 @@ from plantspark.schemas import SENSOR_FIELDS
 MADE_BY_DECODE = ["readable", "is_object", "entity", "event", "stamp", "data", "data_kind", "kind", "reason"]
 
 
-def _data(key: str) -> Column:
+def _data(key: str) -> str:
     """Entry of the message's data: a struct (kind, text, number), NULL when the key is absent."""
-    return F.try_element_at("data", F.lit(key))
+    return f"try_element_at(data, '{key}')"
 
 
-def _is(entry: Column, kind: str) -> Column:
-    return F.coalesce(entry["kind"] == kind, F.lit(False))
+def _is_text(entry: str) -> str:
+    return f"coalesce({entry}.kind = 'STRING', false)"
 
 
-def _text(entry: Column, null_text: str | None = None) -> Column:
+def _text(entry: str, null_text: str | None = None) -> str:
     """Value as tag text. A JSON null gives `null_text`; a missing key always gives NULL."""
-    text = F.when(entry["kind"] == "BOOLEAN", F.initcap(entry["text"])).otherwise(entry["text"])
-    return F.when(entry["kind"] == "VOID", F.lit(null_text)).otherwise(text)
+    of_null = "null" if null_text is None else f"'{null_text}'"
+    return f"case {entry}.kind when 'VOID' then {of_null} when 'BOOLEAN' then initcap({entry}.text) else {entry}.text end"
 
 
-def _falsy(entry: Column) -> Column:
+def _falsy(entry: str) -> str:
     """Absent, null, empty or zero."""
-    empty = entry["kind"].isin("VOID", "OBJECT<>", "ARRAY<>", "ARRAY<VOID>") & (F.coalesce(entry["text"], F.lit("")).isin("", "[]", "{}"))
-    blank = (entry["kind"] == "STRING") & (entry["text"] == "")
-    return entry.isNull() | empty | blank | F.coalesce(entry["number"] == 0.0, F.lit(False))
+    empty = f"{entry}.kind = 'VOID' or {entry}.text in ('', '[]', '{{}}') or {entry}.number = 0"
+    return f"({entry} is null or coalesce({empty}, false))"
 
 
-def _float(entry: Column) -> Column:
+def _float(entry: str) -> str:
     """Number, boolean or number text as a double; NULL for anything else."""
-    return F.coalesce(entry["number"], F.when(entry["kind"] == "STRING", number_from_text(entry["text"])))
+    return f"coalesce({entry}.number, if({entry}.kind = 'STRING', {number_from_text(entry + '.text')}, null))"
 
 
-def _uncastable(entry: Column) -> Column:
+def _uncastable(entry: str) -> str:
     """The key is there but its value is no number."""
-    return entry.isNotNull() & _float(entry).isNull()
+    return f"({entry} is not null and {_float(entry)} is null)"
 
 
-def _first_reason(*cases: tuple[Column, str]) -> Column:
-    return F.coalesce(*[F.when(broken, reason) for broken, reason in cases])
+def _first_reason(*cases: tuple[str, str]) -> str:
+    return "case " + " ".join(f"when {broken} then '{reason}'" for broken, reason in cases) + " end"
 
 
-def reject_reason() -> Column:
+def reject_reason() -> str:
     """Why a routed message cannot become a row; NULL when it can."""
-    entity, event, stamp, kind = F.col("entity"), F.col("event"), F.col("stamp"), F.col("kind")
-    no_object = (~F.col("is_object"), "not_object")
-    no_entity = (_falsy(entity), "missing_entity")
-    no_event = (_falsy(event), "missing_event")
-    bad_event = (~_is(event, "STRING"), "bad_event")
-    bad_stamp = (~_falsy(stamp) & ~_is(stamp, "STRING"), "bad_timestamp")
-    data_kind = F.coalesce("data_kind", F.lit(""))
-    no_data = (data_kind.isin("", "VOID", "OBJECT<>"), "missing_data")
-    bad_data = (~data_kind.startswith("OBJECT"), "bad_data")
-    piece = _data("piece_id")
-    ends = F.coalesce(event["text"] == "processing_end", F.lit(False))
+    no_object = ("not is_object", "not_object")
+    no_entity = (_falsy("entity"), "missing_entity")
+    no_event = (_falsy("event"), "missing_event")
+    bad_event = (f"not {_is_text('event')}", "bad_event")
+    bad_stamp = (f"not {_falsy('stamp')} and not {_is_text('stamp')}", "bad_timestamp")
+    no_data = ("data_kind is null or data_kind in ('VOID', 'OBJECT<>')", "missing_data")
+    bad_data = ("not startswith(data_kind, 'OBJECT')", "bad_data")
+    sensor = _first_reason(
+        no_object, no_entity, no_data, bad_stamp, (f"not {_is_text('entity')}", "bad_entity"), bad_data,
+    )
+    machine = _first_reason(
+        no_object, no_entity, no_event, bad_stamp, bad_data,
+        (_uncastable(_data("duration")), "bad_duration"), bad_event,
+        (_uncastable(_data("tool_wear")), "bad_tool_wear"),
+        (f"event.text = 'processing_end' and {_uncastable(_data('cycle_time'))}", "bad_cycle_time"),
+    )
+    piece = _first_reason(
+        no_object, no_event, no_data, bad_stamp, bad_data,
+        (_falsy(_data("piece_id")), "missing_piece_id"), (f"not {_is_text(_data('piece_id'))}", "bad_piece_id"),
+        bad_event, (f"not endswith(event.text, 'start') and {_uncastable(_data('duration'))}", "bad_duration"),
+    )
     return (
-        F.when(kind == "bad_json", "bad_json")
-        .when(kind == "unknown", "unknown_topic")
-        .when(kind == "sensor", _first_reason(
-            no_object, no_entity, no_data, bad_stamp, (~_is(entity, "STRING"), "bad_entity"), bad_data,
-        ))
-        .when(kind == "machine", _first_reason(
-            no_object, no_entity, no_event, bad_stamp,
-            (~data_kind.startswith("OBJECT") & (data_kind != ""), "bad_data"),
-            (_uncastable(_data("duration")), "bad_duration"), bad_event,
-            (_uncastable(_data("tool_wear")), "bad_tool_wear"),
-            (ends & _uncastable(_data("cycle_time")), "bad_cycle_time"),
-        ))
-        .otherwise(_first_reason(
-            no_object, no_event, no_data, bad_stamp, bad_data,
-            (_falsy(piece), "missing_piece_id"), (~_is(piece, "STRING"), "bad_piece_id"), bad_event,
-            (~event["text"].endswith("start") & _uncastable(_data("duration")), "bad_duration"),
-        ))
+        f"case kind when 'bad_json' then 'bad_json' when 'unknown' then 'unknown_topic'"
+        f" when 'sensor' then {sensor} when 'machine' then {machine} else {piece} end"
     )
 
 
 def check(routed: DataFrame) -> DataFrame:
     """Adds `reason`, NULL for messages that can be normalised."""
-    return routed.withColumn("reason", reject_reason())
+    return routed.selectExpr("*", f"{reject_reason()} as reason")
 
 
 def stamped(rows: DataFrame) -> DataFrame:
-    """Adds `_time`, the stamp or else the arrival, and whether it was the arrival."""
-    read = F.when(_is(F.col("stamp"), "STRING"), parse_timestamp(F.col("stamp.text")))
-    return (
-        rows.withColumn("_stamp", read)
-        .withColumn("_time", F.coalesce("_stamp", "arrived_at"))
-        .withColumn("ts_defaulted", F.col("_stamp").isNull())
-    )
+    """Adds `_time`, the stamp or else the arrival, and `ts_defaulted`, whether it was the arrival."""
+    read = f"if({_is_text('stamp')}, {parse_timestamp('stamp.text')}, null)"
+    return rows.selectExpr("*", f"{read} as _stamp").selectExpr(
+        "*", "coalesce(_stamp, arrived_at) as _time", "_stamp is null as ts_defaulted",
+    ).drop("_stamp")
 
 
 def accepted(checked: DataFrame, kind: str) -> DataFrame:
     """Sound messages of one kind; those on other topics are dropped before they are parsed."""
     topic = "/plant/data/" if kind == "sensor" else "/plant/tracking/"
-    return checked.where(F.col("topic").contains(topic) & (F.col("kind") == kind) & F.col("reason").isNull())
+    return checked.where(f"contains(topic, '{topic}') and kind = '{kind}' and reason is null")
 
 
 def rejects(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("reason").isNotNull()).select("topic", "payload", "arrived_at", "reason")
+    return checked.where("reason is not null").select("topic", "payload", "arrived_at", "reason")
 
 
-def numeric_fields() -> Column:
+def numeric_fields() -> str:
     """Map of the numeric and boolean entries of `data`, as doubles."""
-    numeric = F.map_filter("data", lambda _, entry: entry["number"].isNotNull())
-    return F.transform_values(numeric, lambda _, entry: entry["number"])
+    return "transform_values(map_filter(data, (name, e) -> e.number is not null), (name, e) -> e.number)"
 
 
 def numeric_fields_long(decoded: DataFrame) -> DataFrame:
     """One row per numeric entry of `data`: `_field`, `_value`."""
     keep = [c for c in decoded.columns if c not in MADE_BY_DECODE]
-    return decoded.select(*keep, F.explode(numeric_fields()).alias("_field", "_value"))
+    return decoded.select(*keep, F.explode(F.expr(numeric_fields())).alias("_field", "_value"))
 
 
 def sensor_readings(checked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Rows of `sensor_data`: tags, declared fields, other numeric fields, anomalies."""
-    rows = stamped(accepted(checked, "sensor")).select(
-        "_time", F.col("entity.text").alias("machine"), numeric_fields().alias("numbers"), "ts_defaulted",
+    declared = ", ".join(f"'{f}'" for f in SENSOR_FIELDS)
+    rows = stamped(accepted(checked, "sensor")).selectExpr(
+        "_time", "entity.text as machine", f"{numeric_fields()} as numbers", "ts_defaulted",
     )
-    wide = rows.select(
-        "_time", "machine", machine_type(F.col("machine")).alias("machine_type"),
-        F.lit("workshop_A").alias("location"),
-        *[F.try_element_at("numbers", F.lit(f)).alias(f) for f in SENSOR_FIELDS],
-        F.map_filter("numbers", lambda name, _: ~name.isin(SENSOR_FIELDS)).alias("extra_fields"),
+    wide = rows.selectExpr(
+        "_time", "machine", f"{machine_type('machine')} as machine_type", "'workshop_A' as location",
+        *[f"try_element_at(numbers, '{f}') as {f}" for f in SENSOR_FIELDS],
+        f"map_filter(numbers, (name, v) -> name not in ({declared})) as extra_fields",
         "ts_defaulted",
     )
-    found = anomalies(
-        F.col("temperature"), F.col("vibration_level"), F.col("power"), F.col("rpm_spindle"),
-        F.col("machine_type"), limits,
-    )
-    return wide.select(
+    return wide.selectExpr(
         "_time", "machine", "machine_type", "location", *SENSOR_FIELDS, "extra_fields",
-        found.alias("anomalies"), "ts_defaulted",
+        f"{anomalies(limits=limits)} as anomalies", "ts_defaulted",
     )
 
 
 def machine_events(checked: DataFrame, null_text: str | None = None) -> DataFrame:
-    """Rows of `machine_events`."""
-    event = F.col("event.text")
-    given = F.when(_data("status").isNotNull(), _text(_data("status"))).otherwise(F.lit("unknown"))
-    return stamped(accepted(checked, "machine")).select(
+    """Rows of `machine_events`; `null_text` is what a tag that is JSON null is written as."""
+    event, status = "event.text", _data("status")
+    given = f"if({status} is not null, {_text(status)}, 'unknown')"
+    return stamped(accepted(checked, "machine")).selectExpr(
         "_time",
-        _text(F.col("entity")).alias("machine"),
-        event.alias("event_type"),
-        _text(_data("piece_id"), null_text).alias("piece_id"),
-        _text(_data("tool"), null_text).alias("tool"),
-        F.coalesce(_float(_data("duration")), F.when(event.contains("start"), F.lit(0.0))).alias("duration"),
-        event_status(event, given).alias("status"),
-        _float(_data("tool_wear")).alias("tool_wear"),
-        F.when(event == "processing_end", _float(_data("cycle_time"))).alias("cycle_time"),
+        f"{_text('entity')} as machine",
+        f"{event} as event_type",
+        f"{_text(_data('piece_id'), null_text)} as piece_id",
+        f"{_text(_data('tool'), null_text)} as tool",
+        f"coalesce({_float(_data('duration'))}, if(contains({event}, 'start'), 0d, null)) as duration",
+        f"{event_status(event, given)} as status",
+        f"{_float(_data('tool_wear'))} as tool_wear",
+        f"if({event} = 'processing_end', {_float(_data('cycle_time'))}, null) as cycle_time",
         "ts_defaulted",
     )
 
 
 def piece_movements(checked: DataFrame, null_text: str | None = None) -> DataFrame:
     """Rows of `piece_tracking`."""
-    event, piece = F.col("event.text"), _data("piece_id")["text"]
+    event, piece = "event.text", f"{_data('piece_id')}.text"
     origin, target, priority = _data("from"), _data("to"), _data("priority")
     distance = station_distance(_text(origin, "None"), _text(target, "None"))
-    return stamped(accepted(checked, "piece")).select(
+    return stamped(accepted(checked, "piece")).selectExpr(
         "_time",
-        piece.alias("piece_id"),
-        event.alias("event_type"),
-        _text(origin, null_text).alias("from_station"),
-        _text(target, null_text).alias("to_station"),
-        piece_material(piece).alias("material"),
-        F.when(event.endswith("start"), F.lit(0.0)).otherwise(_float(_data("duration"))).alias("duration"),
-        F.when(origin.isNotNull() & target.isNotNull(), distance).alias("distance"),
-        F.lit(None).cast("string").alias("operator"),
-        F.when(priority.isNull(), F.lit(3)).otherwise(_float(priority)).cast("bigint").alias("priority"),
+        f"{piece} as piece_id",
+        f"{event} as event_type",
+        f"{_text(origin, null_text)} as from_station",
+        f"{_text(target, null_text)} as to_station",
+        f"{piece_material(piece)} as material",
+        f"if(endswith({event}, 'start'), 0d, {_float(_data('duration'))}) as duration",
+        f"if({origin} is not null and {target} is not null, {distance}, null) as distance",
+        "cast(null as string) as operator",
+        f"cast(if({priority} is null, 3, {_float(priority)}) as bigint) as priority",
         "ts_defaulted",
     )
 
@@ -185,18 +172,15 @@ def system_samples(samples: DataFrame) -> DataFrame:
 
     Memory arrives in bytes (`memory_total`, `memory_available`) and leaves in GiB.
     """
-    def metric(name: str, value: Column) -> Column:
-        return F.coalesce(value, F.lit(0.0)).alias(name)
-
-    return samples.select(
+    return samples.selectExpr(
         "_time",
-        F.lit("event_processor").alias("component"),
-        F.lit("system_resources").alias("metric_type"),
-        F.lit("info").alias("severity"),
-        metric("cpu", F.round("cpu", 2)),
-        metric("free_memory", gibibytes(F.col("memory_available"))),
-        metric("ram", gibibytes(F.col("memory_total"))),
-        F.coalesce("errors", F.lit(0)).cast("bigint").alias("errors"),
-        metric("memory_used_percent", F.round("memory_used_percent", 2)),
-        metric("uptime_seconds", F.col("uptime_seconds")),
+        "'event_processor' as component",
+        "'system_resources' as metric_type",
+        "'info' as severity",
+        "coalesce(round(cpu, 2), 0d) as cpu",
+        f"coalesce({gibibytes('memory_available')}, 0d) as free_memory",
+        f"coalesce({gibibytes('memory_total')}, 0d) as ram",
+        "cast(coalesce(errors, 0) as bigint) as errors",
+        "coalesce(round(memory_used_percent, 2), 0d) as memory_used_percent",
+        "coalesce(uptime_seconds, 0d) as uptime_seconds",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantspark.functions import panels, plant, rules
 from plantspark.operators import alerts as alert_ops, neighbours, normalise, quality, rollups, series
@@ -155,19 +155,19 @@ def reject_invalid(spark, sf_dir):
 
 @query
 def machine_type(spark, sf_dir):
-    return sensor(spark, sf_dir).groupBy("machine", plant.machine_type(F.col("machine")).alias("derived_type")).agg(
+    return sensor(spark, sf_dir).groupBy("machine", F.expr(plant.machine_type()).alias("derived_type")).agg(
         F.count(F.lit(1)).alias("readings"))
 
 
 @query
 def piece_material(spark, sf_dir):
-    return pieces(spark, sf_dir).groupBy("piece_id", plant.piece_material(F.col("piece_id")).alias("material")).agg(
+    return pieces(spark, sf_dir).groupBy("piece_id", F.expr(plant.piece_material()).alias("material")).agg(
         F.count(F.lit(1)).alias("movements"))
 
 
 @query
 def station_distance(spark, sf_dir):
-    metres = plant.station_distance(F.col("from_station"), F.col("to_station"))
+    metres = F.expr(plant.station_distance())
     return rounded(pieces(spark, sf_dir).groupBy("from_station", "to_station").agg(
         F.count(F.lit(1)).alias("movements"), F.sum(metres).alias("metres")), "metres")
 
@@ -189,30 +189,30 @@ def dedup_points(spark, sf_dir):
 # --- anomaly rules ----------------------------------------------------------------------------
 
 
-def _rule(spark, sf_dir, found: Column, field: str) -> DataFrame:
-    rows = sensor(spark, sf_dir).select("event_id", "machine", field, found.alias("a"))
+def _rule(spark, sf_dir, found: str) -> DataFrame:
+    rows = sensor(spark, sf_dir).selectExpr("event_id", "machine", f"{found} as a")
     return rows.where(F.col("a").isNotNull()).select(
         "event_id", "machine", "a.rule", "a.severity", "a.message", "a.value")
 
 
 @query
 def anomaly_temperature(spark, sf_dir):
-    return _rule(spark, sf_dir, rules.temperature_rule(F.col("temperature")), "temperature")
+    return _rule(spark, sf_dir, rules.temperature_rule())
 
 
 @query
 def anomaly_vibration(spark, sf_dir):
-    return _rule(spark, sf_dir, rules.vibration_rule(F.col("vibration_level")), "vibration_level")
+    return _rule(spark, sf_dir, rules.vibration_rule())
 
 
 @query
 def anomaly_power(spark, sf_dir):
-    return _rule(spark, sf_dir, rules.power_rule(F.col("power")), "power")
+    return _rule(spark, sf_dir, rules.power_rule())
 
 
 @query
 def anomaly_rpm(spark, sf_dir):
-    return _rule(spark, sf_dir, rules.rpm_rule(F.col("rpm_spindle"), F.col("machine_type")), "rpm_spindle")
+    return _rule(spark, sf_dir, rules.rpm_rule())
 
 
 @query
@@ -519,9 +519,11 @@ def distinct_machines(spark, sf_dir):
 def threshold_band(spark, sf_dir):
     """Readings per machine and colour band, for temperature and power."""
     rows = series.to_long(sensor(spark, sf_dir), ["machine"], ["temperature", "power"])
-    band = F.when(F.col("_field") == "temperature", panels.threshold_band(F.col("_value"), "temperature")).otherwise(
-        panels.threshold_band(F.col("_value"), "power"))
-    return rows.groupBy("machine", "_field", band.alias("band")).agg(F.count(F.lit(1)).alias("readings"))
+    band = (
+        f"if(_field = 'temperature', {panels.threshold_band('_value', 'temperature')},"
+        f" {panels.threshold_band('_value', 'power')})"
+    )
+    return rows.groupBy("machine", "_field", F.expr(band).alias("band")).agg(F.count(F.lit(1)).alias("readings"))
 
 
 @query
@@ -533,7 +535,7 @@ def legend_summary(spark, sf_dir):
 @query
 def severity_label(spark, sf_dir):
     rows = alert_rows(spark, sf_dir)
-    return rows.groupBy("severity", panels.severity_label(F.col("severity")).alias("label")).agg(
+    return rows.groupBy("severity", F.expr(panels.severity_label()).alias("label")).agg(
         F.count(F.lit(1)).alias("alerts"))
 
 

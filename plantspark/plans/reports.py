@@ -188,7 +188,7 @@ def production_by_material(pieces: DataFrame, as_of: Moment, lookback: str = "24
     """Deposited pieces per material."""
     done = recent(pieces, as_of, lookback).where(F.col("event_type") == "deposit")
     if "material" not in pieces.columns:
-        done = done.withColumn("material", piece_material(F.col("piece_id")))
+        done = done.withColumn("material", F.expr(piece_material()))
     return series.count_by(done, ["material"])
 
 
@@ -238,7 +238,7 @@ def field_window_mean(sensor: DataFrame, field: str, as_of: Moment, lookback: st
 def temperature_panel(sensor: DataFrame, as_of: Moment, lookback: str = "1 hour") -> DataFrame:
     """30 s means of temperature with their colour band."""
     means = field_window_mean(sensor, "temperature", as_of, lookback)
-    return means.withColumn("band", threshold_band(F.col("temperature"), "temperature"))
+    return means.withColumn("band", F.expr(threshold_band("temperature", "temperature")))
 
 
 def temperature_trend(sensor: DataFrame, as_of: Moment, lookback: str = "6 hours", machine: str = "Milling1",
@@ -270,14 +270,14 @@ def critical_alerts(alerts: DataFrame, as_of: Moment, lookback: str = "1 hour")
     """Number of critical alerts and its colour band."""
     critical = recent(alerts, as_of, lookback).where(F.col("severity") == "critical")
     counted = critical.agg(F.count(F.lit(1)).alias("critical_alerts"))
-    return counted.withColumn("band", threshold_band(F.col("critical_alerts"), "critical_alerts"))
+    return counted.withColumn("band", F.expr(threshold_band("critical_alerts", "critical_alerts")))
 
 
 def recent_alerts(alerts: DataFrame, as_of: Moment, lookback: str = "1 hour", n: int = 20,
                   ties: Sequence[str] = ("machine", "rule")) -> DataFrame:
     """The newest alerts as the dashboard lists them."""
     top = series.newest(recent(alerts, as_of, lookback), n, ["_time", *ties])
-    return top.select("_time", "machine", "severity", severity_label(F.col("severity")).alias("label"), "message")
+    return top.select("_time", "machine", "severity", F.expr(severity_label()).alias("label"), "message")
 
 
 def table_range(df: DataFrame, start: Column, stop: Column) -> DataFrame:

@@ -51,14 +51,13 @@ def subscribed(messages: DataFrame, patterns: list[str] | None = None) -> DataFr
     return messages.where(wanted)
 
 
-def _entries(of: Column) -> Column:
+def _entries(of: str) -> str:
     """Object entries as a map to (kind, text, number): JSON type, text form, value if it is a number."""
-    def entry(_, value: Column) -> Column:
-        kind = F.schema_of_variant(value)
-        number = F.when(kind.rlike(NUMERIC), F.try_variant_get(value, "$", "double"))
-        return F.struct(kind.alias("kind"), F.try_variant_get(value, "$", "string").alias("text"), number.alias("number"))
-
-    return F.transform_values(of, entry)
+    return (
+        f"transform_values({of}, (name, v) -> named_struct('kind', schema_of_variant(v),"
+        f" 'text', try_variant_get(v, '$', 'string'),"
+        f" 'number', if(schema_of_variant(v) rlike '{NUMERIC}', try_variant_get(v, '$', 'double'), null)))"
+    )
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -67,31 +66,24 @@ def decode(messages: DataFrame) -> DataFrame:
     Adds `readable` (it is JSON), `is_object`, `entity`, `event`, `stamp` and the map `data`, whose
     entries are structs (kind, text, number) with the kind VOID for a JSON null; and `data_kind`.
     """
-    as_map = "map<string,variant>"
-    parsed = messages.withColumn("_body", F.try_parse_json("payload"))
-    top = parsed.select(
-        *messages.columns,
-        F.col("_body").isNotNull().alias("readable"),
-        F.try_variant_get("_body", "$", as_map).alias("_top"),
-    )
-    split = top.select(
-        *messages.columns, "readable",
-        F.col("_top").isNotNull().alias("is_object"),
-        _entries(F.map_filter("_top", lambda key, _: key.isin("entity", "event", "timestamp"))).alias("_head"),
-        F.try_element_at("_top", F.lit("data")).alias("_data"),
-    )
-    mapped = split.withColumn("_map", F.try_variant_get("_data", "$", as_map))
-    object_kind = F.when(F.size("_map") > 0, "OBJECT").otherwise("OBJECT<>")
-    decoded = F.struct(
-        "readable", "is_object",
-        F.try_element_at("_head", F.lit("entity")).alias("entity"),
-        F.try_element_at("_head", F.lit("event")).alias("event"),
-        F.try_element_at("_head", F.lit("timestamp")).alias("stamp"),
-        _entries(F.col("_map")).alias("data"),
-        F.when(F.col("_map").isNotNull(), object_kind).otherwise(F.schema_of_variant("_data")).alias("data_kind"),
+    keep = messages.columns
+    head = _entries("map_filter(_top, (name, v) -> name in ('entity', 'event', 'timestamp'))")
+    split = (
+        messages.selectExpr(*keep, "try_parse_json(payload) as _body")
+        .selectExpr(*keep, "_body is not null as readable", "try_variant_get(_body, '$', 'map<string,variant>') as _top")
+        .selectExpr(*keep, "readable", "_top is not null as is_object", f"{head} as _head",
+                    "try_element_at(_top, 'data') as _data")
+        .selectExpr(*keep, "readable", "is_object", "_head", "_data",
+                    "try_variant_get(_data, '$', 'map<string,variant>') as _map")
     )
     # Filters on decoded columns are not moved below a generator, where each use would parse again.
-    return mapped.select(*messages.columns, F.inline(F.array(decoded)))
+    return split.selectExpr(
+        *keep,
+        f"""inline(array(named_struct('readable', readable, 'is_object', is_object,
+          'entity', try_element_at(_head, 'entity'), 'event', try_element_at(_head, 'event'),
+          'stamp', try_element_at(_head, 'timestamp'), 'data', {_entries('_map')},
+          'data_kind', if(_map is not null, if(size(_map) > 0, 'OBJECT', 'OBJECT<>'), schema_of_variant(_data)))))""",
+    )
 
 
 def route(decoded: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
@@ -100,17 +92,12 @@ def route(decoded: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
     `deposit_as_piece` sends deposits of a known piece to piece tracking, where the production
     reports look for them; without it only the entity `piece` does.
     """
-    topic = F.col("topic")
-    is_piece = F.coalesce(F.col("entity.kind") == "STRING", F.lit(False)) & (F.col("entity.text") == "piece")
+    is_piece = "(entity.kind = 'STRING' and entity.text = 'piece')"
     if deposit_as_piece:
-        piece = F.try_element_at("data", F.lit("piece_id"))
-        is_deposit = F.coalesce(F.col("event.text") == "deposit", F.lit(False))
-        is_piece = is_piece | (is_deposit & F.coalesce(piece["text"] != "", F.lit(False)))
-    kind = (
-        F.when(~F.col("readable"), "bad_json")
-        .when(topic.contains("/plant/data/"), "sensor")
-        .when(topic.contains("/plant/tracking/") & is_piece, "piece")
-        .when(topic.contains("/plant/tracking/"), "machine")
-        .otherwise("unknown")
+        is_piece += " or (event.text = 'deposit' and try_element_at(data, 'piece_id').text <> '')"
+    return decoded.selectExpr(
+        "*",
+        f"""case when not readable then 'bad_json' when contains(topic, '/plant/data/') then 'sensor'
+          when contains(topic, '/plant/tracking/') and ({is_piece}) then 'piece'
+          when contains(topic, '/plant/tracking/') then 'machine' else 'unknown' end as kind""",
     )
-    return decoded.withColumn("kind", kind)
