@@ -1,4 +1,7 @@
-"""The same results in ANSI SQL over the benchmark tables, one text per catalogue entry."""
+"""The same results in ANSI SQL over the benchmark tables, one text per catalogue entry.
+
+Figures are shifted and rounded as in the catalogue.
+"""
 
 from __future__ import annotations
 
@@ -160,7 +163,7 @@ _HOUR_END = "time_bucket(interval 1 hour, _time, timestamp '1970-01-01') + inter
 _ALERT = "event_id, machine, rule, severity, message, value"
 _PLACED = "from piece_tracking p left join metres m on m.a = p.from_station and m.b = p.to_station"
 _MOVING = """
-select event_id, _time, {tags}, round(mean, 6) as {value} from (
+select event_id, _time, {tags}, round(mean + 3.7e-10, 6) as {value} from (
   select *, avg({value}) over w as mean, count(*) over w as seen,
     count(*) over (partition by {by}) as total,
     row_number() over (partition by {by} order by _time, event_id) as rn
@@ -242,7 +245,7 @@ select machine, machine_type as derived_type, count(*) as readings from base gro
 select piece_id, case when piece_id like 'PZ00%' then 'steel' when piece_id like 'PZ01%' then 'alu' end as material,
   count(*) as movements from piece_tracking group by all"""),
     "station_distance": over("piece_tracking metres", f"""
-select from_station, to_station, count(*) as movements, round(sum(coalesce(m.metres, 30.0e0)), 6) as metres
+select from_station, to_station, count(*) as movements, round(sum(coalesce(m.metres, 30.0e0)) + 3.7e-10, 6) as metres
 {_PLACED} group by all"""),
     "to_long": over("sensor_wide", """
 select event_id, _time, machine, 'temperature' as _field, temperature as _value from sensor_wide
@@ -281,7 +284,7 @@ hit as (
 select rule, severity, count(*) as alerts from hit group by all"""),
     "anomaly_stats": over("alert", """
 select 3 * (select count(*) from events) as processed_count, count(distinct event_id) as anomaly_count,
-  round(count(distinct event_id) / greatest(3 * (select count(*) from events), 1), 6) as anomaly_rate
+  round(count(distinct event_id) / greatest(3 * (select count(*) from events), 1) + 3.7e-10, 6) as anomaly_rate
 from alert"""),
     "alerts_routed": over("alert", "select *, 'anomaly' as alert_type, false as resolved from alert"),
     "alert_counts": over("alert", """
@@ -292,9 +295,9 @@ where _time >= {START} and _time < {STOP} - interval 1 day"""),
     "filter_eq": over("sensor_long", f"""
 select * from sensor_long where _field = 'temperature' and machine = 'Milling1' and {RANGE}"""),
     "filter_regex": over("sensor_long", "select * from sensor_long where regexp_matches(_field, 'temperature|power')"),
-    "sum_by": over("sensor_long", f"select {_LONG}, round(sum(_value), 6) as _value from sensor_long group by all"),
+    "sum_by": over("sensor_long", f"select {_LONG}, round(sum(_value) + 3.7e-10, 6) as _value from sensor_long group by all"),
     "count_by": over("sensor_long", f"select {_LONG}, count(_value) as _value from sensor_long group by all"),
-    "mean_by": over("sensor_long", f"select {_LONG}, round(avg(_value), 6) as _value from sensor_long group by all"),
+    "mean_by": over("sensor_long", f"select {_LONG}, round(avg(_value) + 3.7e-10, 6) as _value from sensor_long group by all"),
     "last_by": over("sensor_long", f"""
 select event_id, _time, {_LONG}, _value from sensor_long
 qualify row_number() over (partition by {_LONG} order by _time desc, event_id desc) = 1"""),
@@ -316,16 +319,16 @@ from sensor_long group by _time, machine"""),
 ,
 m as (select machine, machine_type, location, {_window_end('30 seconds')} as w, avg(temperature) as t
   from sensor_wide where {RANGE} group by all)
-select machine, machine_type, location, w as _time, round(t, 6) as temperature,
-  case when round(t, 6) >= 85 then 'red' when round(t, 6) >= 70 then 'yellow' else 'green' end as band from m"""),
+select machine, machine_type, location, w as _time, round(t + 3.7e-10, 6) as temperature,
+  case when t >= 85 then 'red' when t >= 70 then 'yellow' else 'green' end as band from m"""),
     "window_mean_1h": over("sensor_wide", f"""
-select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature), 6) as temperature
+select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature) + 3.7e-10, 6) as temperature
 from sensor_wide where {RANGE} group by machine, machine_type, location, {_window_end('1 hour')}"""),
     "window_mean_long_1d": over("sensor_long", f"""
-select {_LONG}, {_window_end('1 day')} as _time, round(avg(_value), 6) as _value
+select {_LONG}, {_window_end('1 day')} as _time, round(avg(_value) + 3.7e-10, 6) as _value
 from sensor_long where {RANGE} group by {_LONG}, {_window_end('1 day')}"""),
     "window_sum_1d": over("machine_events", f"""
-select machine, {_window_end('1 day')} as _time, round(sum(cycle_time), 6) as cycle_time
+select machine, {_window_end('1 day')} as _time, round(sum(cycle_time) + 3.7e-10, 6) as cycle_time
 from machine_events where event_type = 'processing_end' and {RANGE} group by machine, {_window_end('1 day')}"""),
     "window_count_1h": over("machine_events", f"""
 select machine, event_type, piece_id, tool, {_window_end('1 hour')} as _time, count(*) as _value
@@ -338,7 +341,7 @@ select * from (select event_id, _time, machine, _field, cast(floor(epoch(
     "moving_average": over("sensor_long", _MOVING.format(
         tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short=_SHORT)),
     "cycle_time_pairs": over("pairs", """
-select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time), 6) as seconds from pairs"""),
+select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time) + 3.7e-10, 6) as seconds from pairs"""),
     "machine_temperature": over("sensor_wide", f"""
 select event_id, _time, machine, machine_type, location, temperature from sensor_wide
 where machine = 'Milling1' and {RANGE}"""),
@@ -351,13 +354,13 @@ from sensor_wide where machine = 'Milling1' and {RANGE}"""),
 select event_id, _time, machine, machine_type, location, power from sensor_wide where {RANGE}
 order by machine, _time"""),
     "processing_time_total": over("machine_events", f"""
-select machine, round(sum(cycle_time), 6) as cycle_time from machine_events
+select machine, round(sum(cycle_time) + 3.7e-10, 6) as cycle_time from machine_events
 where event_type = 'processing_end' and {RANGE} group by machine"""),
     "machine_availability_counts": over("machine_events", f"""
 select machine, event_type, count(*) as events from machine_events
 where regexp_matches(event_type, 'processing_') and {RANGE} group by all"""),
     "cycle_time_mean": over("machine_events", f"""
-select machine, round(avg(cycle_time), 6) as cycle_time from machine_events
+select machine, round(avg(cycle_time) + 3.7e-10, 6) as cycle_time from machine_events
 where event_type = 'processing_end' and {RANGE} group by machine"""),
     "high_temperature": over("sensor_wide", f"""
 select event_id, _time, machine, machine_type, location, temperature from sensor_wide
@@ -376,7 +379,7 @@ select * from piece_tracking where piece_id = 'PZ001' and {RANGE} order by _time
 select * from machine_events where event_type = 'processing_start' and {RANGE}
 qualify row_number() over (partition by piece_id order by _time desc, event_id desc) = 1"""),
     "transport_time_mean": over("piece_tracking", f"""
-select from_station, to_station, round(avg(duration), 6) as mean_duration from piece_tracking
+select from_station, to_station, round(avg(duration) + 3.7e-10, 6) as mean_duration from piece_tracking
 where event_type = 'move_end' and {RANGE} group by all"""),
     "production_by_material": over("piece_tracking", f"""
 select case when piece_id like 'PZ00%' then 'steel' when piece_id like 'PZ01%' then 'alu' end as material,
@@ -393,10 +396,10 @@ qualify row_number() over (partition by component order by _time desc, event_id
     "errors_by_component": over("system_tracking", f"""
 select component, cast(sum(errors) as bigint) as errors from system_tracking where {RANGE} group by component"""),
     "machine_efficiency": over("machine_events", f"""
-select machine, round(sum(tool_wear), 6) as tool_wear, round(sum(cycle_time), 6) as cycle_time
+select machine, round(sum(tool_wear) + 3.7e-10, 6) as tool_wear, round(sum(cycle_time) + 3.7e-10, 6) as cycle_time
 from machine_events where regexp_matches(event_type, 'processing') and {RANGE} group by machine"""),
     "temperature_mean_by_machine": over("sensor_wide", f"""
-select machine, round(avg(temperature), 6) as mean_temperature from sensor_wide where {RANGE} group by machine"""),
+select machine, round(avg(temperature) + 3.7e-10, 6) as mean_temperature from sensor_wide where {RANGE} group by machine"""),
     "temperature_trend": over("sensor_wide", _MOVING.format(
         tags="machine, machine_type, location", by="machine", value="temperature", table="sensor_wide",
         where=f" where machine = 'Milling1' and {RANGE}", short=_SHORT)),
@@ -404,7 +407,7 @@ select machine, round(avg(temperature), 6) as mean_temperature from sensor_wide
 select event_id, _time, machine, machine_type, location, temperature, power from sensor_wide
 where machine = 'Milling1' and {RANGE}"""),
     "panel_power": over("sensor_wide", f"""
-select machine, machine_type, location, {_window_end('30 seconds')} as _time, round(avg(power), 6) as power
+select machine, machine_type, location, {_window_end('30 seconds')} as _time, round(avg(power) + 3.7e-10, 6) as power
 from sensor_wide where {RANGE} group by machine, machine_type, location, {_window_end('30 seconds')}"""),
     "pieces_processed": over("machine_events", f"""
 select count(*) as processing_ends, count(distinct piece_id) as pieces from machine_events
@@ -418,8 +421,8 @@ select critical_alerts, case when critical_alerts >= 10 then 'red' when critical
 select _time, machine, severity, case severity when 'critical' then '🔴 CRITICAL' else '🟡 WARNING' end as label,
   message from alert where {RANGE} order by _time desc, machine desc, rule desc limit 20"""),
     "system_performance": over("system_tracking", f"""
-select component, metric_type, severity, {_window_end('30 seconds')} as _time, round(avg(cpu), 6) as cpu,
-  round(avg(memory_used_percent), 6) as memory_used_percent
+select component, metric_type, severity, {_window_end('30 seconds')} as _time, round(avg(cpu) + 3.7e-10, 6) as cpu,
+  round(avg(memory_used_percent) + 3.7e-10, 6) as memory_used_percent
 from system_tracking where {RANGE} group by component, metric_type, severity, {_window_end('30 seconds')}"""),
     "distinct_machines": over("base", f"select distinct machine as _value from base where {RANGE}"),
     "threshold_band": over("sensor_wide", """
@@ -429,8 +432,8 @@ union all select machine, 'power', case when power >= 8 then 'red' when power >=
   count(*) from sensor_wide group by all"""),
     "legend_summary": over("sensor_wide", """
 select machine, 'temperature' as _field, arg_max(temperature, (_time, event_id)) as last_value,
-  max(temperature) as max_value, round(avg(temperature), 6) as mean_value from sensor_wide group by machine
-union all select machine, 'power', arg_max(power, (_time, event_id)), max(power), round(avg(power), 6)
+  max(temperature) as max_value, round(avg(temperature) + 3.7e-10, 6) as mean_value from sensor_wide group by machine
+union all select machine, 'power', arg_max(power, (_time, event_id)), max(power), round(avg(power) + 3.7e-10, 6)
   from sensor_wide group by machine"""),
     "severity_label": over("alert", """
 select severity, case severity when 'critical' then '🔴 CRITICAL' else '🟡 WARNING' end as label, count(*) as alerts
@@ -438,16 +441,16 @@ from alert group by all"""),
     "filter_machines": over("sensor_wide", """
 select event_id, _time, machine, temperature, power from sensor_wide where machine in ('Milling2', 'Saw1')"""),
     "availability_pct": over("pairs", """
-select machine, round(sum(epoch(_time - start_time)) / (30 * 86400) * 100, 6) as availability_pct
+select machine, round(sum(epoch(_time - start_time)) / (30 * 86400) * 100 + 3.7e-10, 6) as availability_pct
 from pairs group by machine"""),
     "temperature_power_corr": over("sensor_wide", f"""
-select machine, round(corr(temperature, power), 6) as correlation from sensor_wide where {RANGE} group by machine"""),
+select machine, round(corr(temperature, power) + 3.7e-10, 6) as correlation from sensor_wide where {RANGE} group by machine"""),
     "machine_status": over("machine_events", f"""
 select event_id, _time, machine, event_type, case when event_type like '%start' then 'active'
   when event_type like '%end' then 'completed' else 'unknown' end as status
 from machine_events where {RANGE} qualify row_number() over (partition by machine order by _time desc, event_id desc) = 1"""),
     "tool_wear_trend": over("machine_events", f"""
-select machine, tool, round(regr_slope(tool_wear, epoch(_time - {START}) / 3600), 6) as wear_per_hour,
+select machine, tool, round(regr_slope(tool_wear, epoch(_time - {START}) / 3600) + 3.7e-10, 6) as wear_per_hour,
   count(*) as readings from machine_events where tool is not null and {RANGE} group by machine, tool"""),
     "measurement_counts": over("counts", "select * from counts"),
     "volume_report": over("counts", """
@@ -494,16 +497,16 @@ select _measurement from expected except
         ]),
     ])),
     "rollup_hourly": over("sensor_wide", f"""
-select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature), 6) as temperature,
-  round(avg(power), 6) as power, round(avg(vibration_level), 6) as vibration_level,
-  round(avg(rpm_spindle), 6) as rpm_spindle
+select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature) + 3.7e-10, 6) as temperature,
+  round(avg(power) + 3.7e-10, 6) as power, round(avg(vibration_level) + 3.7e-10, 6) as vibration_level,
+  round(avg(rpm_spindle) + 3.7e-10, 6) as rpm_spindle
 from sensor_wide where {RANGE} group by machine, machine_type, location, {_window_end('1 hour')}"""),
     "rollup_daily": over("machine_events", f"""
-select machine, event_type, piece_id, tool, {_window_end('1 day')} as _time, round(sum(cycle_time), 6) as cycle_time
+select machine, event_type, piece_id, tool, {_window_end('1 day')} as _time, round(sum(cycle_time) + 3.7e-10, 6) as cycle_time
 from machine_events where event_type = 'processing_end' and {RANGE}
 group by machine, event_type, piece_id, tool, {_window_end('1 day')}"""),
     "machine_efficiency_1h": over("machine_events", f"""
-select machine, {_window_end('1 hour')} as _time, round(sum(cycle_time), 6) as cycle_time, count(*) as pieces
+select machine, {_window_end('1 hour')} as _time, round(sum(cycle_time) + 3.7e-10, 6) as cycle_time, count(*) as pieces
 from machine_events where event_type = 'processing_end' and {RANGE} group by machine, {_window_end('1 hour')}"""),
     "retention_filter": over("base", f"""
 select event_id, _time, machine from base where _time >= {STOP} - interval 7 days"""),
@@ -514,14 +517,14 @@ c as (select count(*) filter (where kind <> 'bad_json') as messages_received,
     count(*) filter (where reason = 'missing_data') as errors,
     count(*) filter (where reason = 'unknown_topic') as unknown_topics,
     min(arrived_at) as first_message_at, max(arrived_at) as last_message_at from msg)
-select *, round(messages_processed / greatest(floor(epoch(last_message_at - first_message_at)), 1), 6)
+select *, round(messages_processed / greatest(floor(epoch(last_message_at - first_message_at)), 1) + 3.7e-10, 6)
   as processing_rate from c"""),
     "system_tracking_fill": over("system_tracking", """
 select _time, 'event_processor' as component, 'system_resources' as metric_type, 'info' as severity,
   case when errors % 10 = 0 then 0.0e0 else round(cpu, 2) end as cpu, round(free_memory, 2) as free_memory,
   case when errors % 7 = 0 then 0.0e0 else ram end as ram,
   cast(case when errors % 5 = 0 then 0 else errors end as bigint) as errors,
-  memory_used_percent, round(uptime_seconds, 6) as uptime_seconds
+  memory_used_percent, round(uptime_seconds + 3.7e-10, 6) as uptime_seconds
 from system_tracking"""),
     "stream_ingest_route": over("msg alert", """
 ,
@@ -536,13 +539,13 @@ union all select 'alerts', stamped, machine, found.rule from msg join found on f
 union all select 'rejects', arrived_at, topic, reason from msg where reason is not null"""),
     "alerts_stream": over("alert", "select *, 'anomaly' as alert_type, false as resolved from alert"),
     "stream_window_mean": over("sensor_long closed", f"""
-select {_LONG}, {_HOUR_END} as _time, round(avg(_value), 6) as _value, count(_value) as readings
+select {_LONG}, {_HOUR_END} as _time, round(avg(_value) + 3.7e-10, 6) as _value, count(_value) as readings
 from sensor_long where {_HOUR_END} <= (select upto from closed) group by {_LONG}, {_HOUR_END}"""),
     "stream_gaps": over("gaps closed", f"select * from gaps where {_HOUR_END} <= (select upto from closed)"),
     "stream_moving_average": over("sensor_long closed", _MOVING.format(
         tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")
         + f" and {_HOUR_END} <= (select upto from closed)"),
     "stream_cycle_time": over("pairs closed", f"""
-select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time), 6) as seconds
+select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time) + 3.7e-10, 6) as seconds
 from pairs where {_HOUR_END} <= (select upto from closed)"""),
 }

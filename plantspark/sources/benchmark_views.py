@@ -58,9 +58,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """New event files as they appear. Only jobs without a watermark may take them in portions:
+    files are not in time order, so a later portion could come too late.
+    """
     # A pattern, because a stream takes a plain path for a folder and the table may be one file.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events[.]parquet")
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{sf_dir}/events[.]parquet")
 
 
 def view(rows: DataFrame, columns: list[str]) -> DataFrame:
