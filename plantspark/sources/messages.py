@@ -51,12 +51,11 @@ def subscribed(messages: DataFrame, patterns: list[str] | None = None) -> DataFr
     return messages.where(wanted)
 
 
-def _entries(of: str) -> str:
-    """Object entries as a map to (kind, text, number): JSON type, text form, value if it is a number."""
+def _entry(value: str) -> str:
+    """Variant as (kind, text, number): JSON type, text form, value if it is a number."""
     return (
-        f"transform_values({of}, (name, v) -> named_struct('kind', schema_of_variant(v),"
-        f" 'text', try_variant_get(v, '$', 'string'),"
-        f" 'number', if(schema_of_variant(v) rlike '{NUMERIC}', try_variant_get(v, '$', 'double'), null)))"
+        f"named_struct('kind', schema_of_variant({value}), 'text', try_variant_get({value}, '$', 'string'),"
+        f" 'number', if(schema_of_variant({value}) rlike '{NUMERIC}', try_variant_get({value}, '$', 'double'), null))"
     )
 
 
@@ -67,21 +66,23 @@ def decode(messages: DataFrame) -> DataFrame:
     entries are structs (kind, text, number) with the kind VOID for a JSON null; and `data_kind`.
     """
     keep = messages.columns
-    head = _entries("map_filter(_top, (name, v) -> name in ('entity', 'event', 'timestamp'))")
+    head = {"entity": "entity", "event": "event", "stamp": "timestamp"}
     split = (
         messages.selectExpr(*keep, "try_parse_json(payload) as _body")
-        .selectExpr(*keep, "_body is not null as readable", "try_variant_get(_body, '$', 'map<string,variant>') as _top")
-        .selectExpr(*keep, "readable", "_top is not null as is_object", f"{head} as _head",
-                    "try_element_at(_top, 'data') as _data")
-        .selectExpr(*keep, "readable", "is_object", "_head", "_data",
-                    "try_variant_get(_data, '$', 'map<string,variant>') as _map")
+        .selectExpr(
+            *keep, "_body is not null as readable",
+            *[f"try_variant_get(_body, '$.{key}', 'variant') as {name}" for name, key in head.items()],
+            "try_variant_get(_body, '$.data', 'variant') as _data",
+            "try_variant_get(_body, '$.data', 'map<string,variant>') as _map",
+        )
     )
     # Filters on decoded columns are not moved below a generator, where each use would parse again.
     return split.selectExpr(
         *keep,
-        f"""inline(array(named_struct('readable', readable, 'is_object', is_object,
-          'entity', try_element_at(_head, 'entity'), 'event', try_element_at(_head, 'event'),
-          'stamp', try_element_at(_head, 'timestamp'), 'data', {_entries('_map')},
+        f"""inline(array(named_struct('readable', readable,
+          'is_object', readable and substr(ltrim(' \t\r\n', payload), 1, 1) = '{{',
+          {''.join(f"'{name}', if({name} is null, null, {_entry(name)}), " for name in head)}
+          'data', transform_values(_map, (name, v) -> {_entry('v')}),
           'data_kind', if(_map is not null, if(size(_map) > 0, 'OBJECT', 'OBJECT<>'), schema_of_variant(_data)))))""",
     )
 

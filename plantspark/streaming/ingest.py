@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -56,9 +57,12 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
+        parts = list(outputs(batch, limits))
         try:
-            for name, part, time in outputs(batch, limits):
-                append_batch(part, root, name, batch_id, time)
+            with ThreadPoolExecutor(len(parts)) as pool:
+                writes = [pool.submit(append_batch, rows, root, name, batch_id, time) for name, rows, time in parts]
+            for write in writes:
+                write.result()
         finally:
             batch.unpersist()
 
