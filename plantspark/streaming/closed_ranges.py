@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from plantspark.operators.neighbours import elapsed, moving_average, start_end_pairs
 from plantspark.operators.quality import GAP_SECONDS
@@ -28,7 +28,7 @@ def _history(table: DataFrame, root: str, batch_id: int) -> DataFrame:
     """Rows kept by the newest earlier batch; none before the first."""
     none = table.limit(0)
     try:
-        kept = table.sparkSession.read.schema(StructType(table.schema.fields).add("batch_id", LongType())).parquet(root)
+        kept = table.sparkSession.read.schema(StructType([*table.schema.fields, StructField("batch_id", LongType())])).parquet(root)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
