@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,3 +63,12 @@ def pipeline_stats(checked: DataFrame, uptime_seconds: float | None = None) -> D
     )
     rate = F.col("messages_processed") / F.greatest(seconds.cast("double"), F.lit(1.0))
     return counted.withColumn("processing_rate", rate)
+
+
+def write_stats(tables: Mapping[str, DataFrame], time: str = "_time") -> DataFrame:
+    """Points written and the newest stamp, per table."""
+    return reduce(DataFrame.unionByName, [
+        rows.agg(F.count(F.lit(1)).alias("points_written"), F.max(time).alias("last_time"))
+        .select(F.lit(name).alias("_table"), "points_written", "last_time")
+        for name, rows in tables.items()
+    ])

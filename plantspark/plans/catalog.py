@@ -676,6 +676,15 @@ def pipeline_stats(spark, sf_dir):
     return rounded(plain(rollups.pipeline_stats(checked(spark, sf_dir))), "processing_rate")
 
 
+@query
+def write_stats(spark, sf_dir):
+    return rollups.write_stats({
+        "sensor_data": sensor(spark, sf_dir), "machine_events": events(spark, sf_dir),
+        "piece_tracking": pieces(spark, sf_dir), "system_tracking": system(spark, sf_dir),
+        "alerts": alert_rows(spark, sf_dir),
+    })
+
+
 @query
 def system_tracking_fill(spark, sf_dir):
     samples = system(spark, sf_dir).selectExpr(
@@ -736,6 +745,18 @@ def stream_window_mean(spark, sf_dir):
     return rounded(plain(spark.read.parquet(f"{root}/means")), "_value")
 
 
+@query
+def stream_distinct_points(spark, sf_dir):
+    """Readings that were delivered twice, stored once."""
+    root = new_folder(spark, "distinct")
+    stream, _ = _zoned(views.SENSOR_WIDE)
+    twice = stream(spark, sf_dir).selectExpr("event_id", "_time", "machine", "temperature", "explode(array(1, 2)) as copy")
+    once = windows.distinct_points(twice.drop("copy"), ["event_id", "machine", "_time"])
+    writer = once.writeStream.format("parquet").option("path", f"{root}/points")
+    ingest.start(writer, f"{root}/checkpoint", every=None).awaitTermination()
+    return plain(spark.read.parquet(f"{root}/points"))
+
+
 def _followed(spark, sf_dir, columns: list[str], keep: list[str], start) -> DataFrame:
     """Result of a closed-range stream over the benchmark events, in day-wide ranges."""
     root = new_folder(spark, "ranges")

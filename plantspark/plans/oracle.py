@@ -519,6 +519,13 @@ c as (select count(*) filter (where kind <> 'bad_json') as messages_received,
     min(arrived_at) as first_message_at, max(arrived_at) as last_message_at from msg)
 select *, round(messages_processed / greatest(floor(epoch(last_message_at - first_message_at)), 1) + 3.7e-10, 6)
   as processing_rate from c"""),
+    "write_stats": over("alert machine_events piece_tracking system_tracking", "\nunion all ".join(
+        f"select '{name}' as _table, count(*) as points_written, max(_time) as last_time from {view}"
+        for name, view in {
+            "sensor_data": "sensor_wide", "machine_events": "machine_events", "piece_tracking": "piece_tracking",
+            "system_tracking": "system_tracking", "alerts": "alert",
+        }.items()
+    )),
     "system_tracking_fill": over("system_tracking", """
 select _time, 'event_processor' as component, 'system_resources' as metric_type, 'info' as severity,
   case when errors % 10 = 0 then 0.0e0 else round(cpu, 2) end as cpu, round(free_memory, 2) as free_memory,
@@ -541,6 +548,7 @@ union all select 'rejects', arrived_at, topic, reason from msg where reason is n
     "stream_window_mean": over("sensor_long closed", f"""
 select {_LONG}, {_HOUR_END} as _time, round(avg(_value) + 3.7e-10, 6) as _value, count(_value) as readings
 from sensor_long where {_HOUR_END} <= (select upto from closed) group by {_LONG}, {_HOUR_END}"""),
+    "stream_distinct_points": over("sensor_wide", "select event_id, _time, machine, temperature from sensor_wide"),
     "stream_gaps": over("gaps closed", f"select * from gaps where {_HOUR_END} <= (select upto from closed)"),
     "stream_moving_average": over("sensor_long closed", _MOVING.format(
         tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")

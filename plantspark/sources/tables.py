@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from plantspark.functions.panels import RANGE_PRESETS
 from plantspark.schemas import RETENTION_DAYS, TABLES
 
 
@@ -17,10 +19,13 @@ def stamp(df: DataFrame, moment: datetime | str, time: str = "_time") -> Column:
 
 def bounds(df: DataFrame, as_of: datetime | str, lookback: str, lag: str | None = None,
            time: str = "_time") -> tuple[Column, Column]:
-    """Start and stop of `lookback` up to `as_of`, or up to `lag` before it."""
+    """Start and stop of `lookback` up to `as_of`, or up to `lag` before it.
+
+    The lookback is an interval such as `24 hours`, or one of the presets such as `24h`.
+    """
     now = stamp(df, as_of, time)
     stop = now - F.expr(f"INTERVAL {lag}") if lag else now
-    return now - F.expr(f"INTERVAL {lookback}"), stop
+    return now - F.expr(f"INTERVAL {RANGE_PRESETS.get(lookback, lookback)}"), stop
 
 
 def time_range(df: DataFrame, start: Column, stop: Column, time: str = "_time") -> DataFrame:
@@ -98,12 +103,24 @@ def retained(df: DataFrame, store: str, as_of: datetime | str, time: str = "_tim
     return rows
 
 
+def expire_days(spark: SparkSession, table: str, store: str, as_of: date) -> list[str]:
+    """Drops the whole days of a catalogue table, partitioned by `event_date`, that are past retention."""
+    first = as_of - timedelta(days=RETENTION_DAYS[store])
+    days = {row[0].split("/")[0].split("=")[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    expired = sorted(day for day in days if day < first.isoformat())
+    for day in expired:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = '{day}')")
+    return expired
+
+
+def stored_names(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """Those of the named tables that exist under a root."""
+    found = [(name,) for name in names if _stored(spark, f"{root}/{name}") is not None]
+    return spark.createDataFrame(found, "name string")
+
+
 def points(spark: SparkSession, table: str, rows: list[dict]) -> DataFrame:
     """A few `{tags, fields, time}` points as rows of a measurement table."""
     schema = TABLES[table]
     flat = [{"_time": p["time"], **p.get("tags", {}), **p.get("fields", {})} for p in rows]
     return spark.createDataFrame([tuple(p.get(f.name) for f in schema) for p in flat], schema)
-
-
-def is_zoned(df: DataFrame, time: str = "_time") -> bool:
-    return isinstance(df.schema[time].dataType, T.TimestampType)

@@ -27,8 +27,9 @@ OLD = "_old"
 def _history(table: DataFrame, root: str, batch_id: int) -> DataFrame:
     """Rows kept by the newest earlier batch; none before the first."""
     none = table.limit(0)
+    with_batch = StructType([*table.schema.fields, StructField("batch_id", LongType())])
     try:
-        kept = table.sparkSession.read.schema(StructType([*table.schema.fields, StructField("batch_id", LongType())])).parquet(root)
+        kept = table.sparkSession.read.schema(with_batch).parquet(root)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

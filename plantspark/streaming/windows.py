@@ -1,4 +1,4 @@
-"""Streaming tumbling windows."""
+"""Streaming tumbling windows and distinct points."""
 
 from __future__ import annotations
 
@@ -21,3 +21,8 @@ def window_stream(rows: DataFrame, by: Sequence[str], window: str, aggregates: S
     windows = window_aggregate(rows.withWatermark("_time", delay), by, window, aggregates)
     writer = windows.writeStream.outputMode("append").format("parquet").option("path", path)
     return start(writer, checkpoint, every)
+
+
+def distinct_points(rows: DataFrame, key: Sequence[str], delay: str = "1 hour") -> DataFrame:
+    """Drops exact copies of a point that arrive within the delay; the state forgets keys after it."""
+    return rows.withWatermark("_time", delay).dropDuplicatesWithinWatermark(list(key))

@@ -170,3 +170,26 @@ def test_system_samples_fill_what_was_not_taken(spark):
         "_time timestamp, cpu double, memory_total bigint, memory_available bigint, errors int, memory_used_percent double, uptime_seconds double")
     found = system_samples(rows).first()
     assert (found["cpu"], found["ram"], found["free_memory"], found["errors"], found["memory_used_percent"]) == (12.35, 8.0, 0.0, 0, 50.13)
+
+
+def test_presets_name_ranges(spark):
+    rows = sensor(spark, (0, "Saw1", 1.0, 1.0), (1800, "Saw1", 1.0, 1.0))
+    assert [tables.recent(rows, "2024-01-01 01:00:00", p).count() for p in ("30m", "1h", "6h", "24h")] == [1, 2, 2, 2]
+
+
+def test_stored_tables(spark, root):
+    tables.append_batch(sensor(spark, (0, "Saw1", 1.0, 1.0)), root, "sensor_data", 0)
+    found = tables.stored_names(spark, root, ["sensor_data", "alerts"])
+    assert quality.missing_names(spark, ["sensor_data", "alerts"], found, "name").collect() == [("alerts",)]
+
+
+def test_expired_days_are_dropped(spark, root):
+    rows = sensor(spark, *[(d * 86400, "Saw1", float(d), 1.0) for d in range(10)])
+    spark.sql(f"create database plant location '{root}/plant'")
+    try:
+        rows.withColumn("event_date", F.to_date("_time")).write.partitionBy("event_date").saveAsTable("plant.sensor_data")
+        days = tables.expire_days(spark, "plant.sensor_data", "industrial_data", datetime(2024, 1, 10).date())
+        assert days == ["2024-01-01", "2024-01-02"]
+        assert sorted(r["temperature"] for r in spark.table("plant.sensor_data").collect()) == [float(d) for d in range(2, 10)]
+    finally:
+        spark.sql("drop database plant cascade")
