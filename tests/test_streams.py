@@ -99,6 +99,20 @@ def test_windows_close_after_the_delay_and_leave_out_what_is_later(spark, root):
     assert again["_value"] == 28.0
 
 
+def test_copies_of_a_point_are_stored_once(spark, root):
+    batches = [
+        [(1, 100, "a", "x", 1)] * 50 + [(2, 200, "a", "x", 1)], [(1, 100, "a", "x", 1)] * 50 + [(3, 100, "b", "x", 1)],
+        [(4, 2000, "a", "x", 1), (2, 200, "a", "x", 1)],
+    ]
+    for i, batch in enumerate(batches):
+        grow(spark, root, batch).repartition(3).write.mode("append").parquet(f"{root}/in")
+        once = windows.distinct_points(stream_of(spark, f"{root}/in", COLUMNS), ["machine", "_time"])
+        ingest.start(
+            once.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", every=None,
+        ).awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3, 4]
+
+
 def readings(n):
     """Rows of three machines, one of them dense, out of order by up to half an hour."""
     rows = []
