@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 TIE = ("event_id",)
 # Tasks may each keep n rows of the same series; this many groups share them before the last step.
@@ -12,8 +12,15 @@ LIMIT_SALTS = 32
 
 
 def order_columns(df: DataFrame, time: str = "_time", ties: Sequence[str] = TIE) -> list[str]:
-    """Time and those tie-breakers the table has."""
-    return [time] + [t for t in ties if t in df.columns]
+    """Time and the tie-breakers the table has; without any, all columns that can be ordered.
+
+    So rows of equal time keep one order however often a task is repeated.
+    """
+    present = [t for t in ties if t in df.columns]
+    if not present:
+        unordered = (T.MapType, T.VariantType)
+        present = [f.name for f in df.schema if f.name != time and not isinstance(f.dataType, unordered)]
+    return [time, *present]
 
 
 def aggregate(df: DataFrame, by: Sequence[str], fn: Callable[[Column], Column], value: str = "_value",

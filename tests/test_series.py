@@ -122,6 +122,17 @@ def test_first_last_and_limits(spark, skewed):
         assert sorted(r["event_id"] for r in found) == sorted(wanted)
 
 
+def test_equal_stamps_without_an_id_have_one_order(spark):
+    rows = spark.createDataFrame(
+        [(at(0), "a", float(v), {"x": 1.0}) for v in (3, 9, 1)],
+        "_time timestamp, machine string, _value double, extra_fields map<string,double>")
+    for shuffled in (rows, rows.orderBy("_value"), rows.orderBy(F.desc("_value"))):
+        assert series.last_by(shuffled, ["machine"]).first()["_value"] == 9.0
+        assert series.first_by(shuffled, ["machine"]).first()["_value"] == 1.0
+        means = neighbours.moving_average(shuffled, ["machine"], 2).collect()
+        assert sorted(r["_value"] for r in means) == [2.0, 6.0]
+
+
 def test_aggregates_leave_out_missing_values(spark):
     rows = table(spark, [(1, at(0), "a", 1.0), (2, at(1), "a", None), (3, at(2), "a", 4.0), (4, at(3), "b", None)])
     assert series.sum_by(rows, ["machine"]).collect() == [("a", 5.0)]
