@@ -1,4 +1,8 @@
-"""Anomaly rules: each gives a struct (rule, severity, message, value), or NULL when it is silent."""
+"""Anomaly rules: each gives a struct (rule, severity, label, value, unit), or NULL when it is silent.
+
+The message is made of label, value and unit. Writing the number costs more than all the rules, so
+it is only done where a message is asked for.
+"""
 
 from __future__ import annotations
 
@@ -46,14 +50,13 @@ DEFAULTS = Thresholds()
 
 
 def _anomaly(rule: str, value: str, unit: str, *cases: tuple[str, str, str]) -> str:
-    """Struct of the first (condition, severity, message start) whose condition holds."""
-    severity = " ".join(f"when {condition} then '{level}'" for condition, level, _ in cases)
-    start = " ".join(f"when {condition} then '{prefix}'" for condition, _, prefix in cases)
-    return (
-        f"if({' or '.join(condition for condition, _, _ in cases)}, named_struct('rule', '{rule}',"
-        f" 'severity', case {severity} end,"
-        f" 'message', concat(case {start} end, {number_text(value)}, '{unit}'), 'value', {value}), null)"
+    """Struct of the first (condition, severity, label) whose condition holds."""
+    found = " ".join(
+        f"when {condition} then named_struct('rule', '{rule}', 'severity', '{severity}', 'label', '{label}',"
+        f" 'value', {value}, 'unit', '{unit}')"
+        for condition, severity, label in cases
     )
+    return f"case {found} end"
 
 
 def _above(value: str, limit: float) -> str:
@@ -104,7 +107,20 @@ def anomalies(temperature: str = "temperature", vibration: str = "vibration_leve
         temperature_rule(temperature, limits), vibration_rule(vibration, limits),
         power_rule(power, limits), rpm_rule(rpm, kind, limits),
     ])
-    return f"filter(array({found}), a -> a is not null)"
+    return f"array_compact(array({found}))"
+
+
+def message(anomaly: str) -> str:
+    """Text of an anomaly."""
+    return f"concat({anomaly}.label, {number_text(f'{anomaly}.value')}, {anomaly}.unit)"
+
+
+def described(anomaly: str) -> str:
+    """An anomaly as it is stored: rule, severity, message, value."""
+    return (
+        f"named_struct('rule', {anomaly}.rule, 'severity', {anomaly}.severity,"
+        f" 'message', {message(anomaly)}, 'value', {anomaly}.value)"
+    )
 
 
 def alert_table(rule: str) -> str:

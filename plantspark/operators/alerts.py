@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plantspark.functions.rules import DEFAULTS, Thresholds, alert_table, anomalies
+from plantspark.functions.rules import DEFAULTS, Thresholds, alert_table, anomalies, message
 
 
 def with_anomalies(readings: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Adds the anomaly array to a wide sensor table; fields the table lacks stay silent."""
+    """Adds the anomalies to a wide sensor table; fields the table lacks stay silent."""
     def field(name: str) -> str:
         return name if name in readings.columns else "cast(null as double)"
 
@@ -21,13 +21,15 @@ def with_anomalies(readings: DataFrame, limits: Thresholds = DEFAULTS) -> DataFr
 def alerts(readings: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One alert per anomaly, stored under the measurement its rule belongs to.
 
-    `extra` keeps further columns of the reading, such as its id.
+    Takes anomalies fresh from the rules or as stored. `extra` keeps further columns of the reading.
     """
     keep = extra or []
+    stored = "message" in readings.schema["anomalies"].dataType.elementType.names
     hit = readings.selectExpr("_time", "machine", *keep, "explode(anomalies) as a")
     return hit.selectExpr(
         "_time", *keep, f"{alert_table('a.rule')} as _measurement", "machine", "a.severity",
-        "'anomaly' as alert_type", "a.rule", "a.message", "a.value", "false as resolved",
+        "'anomaly' as alert_type", "a.rule", f"{'a.message' if stored else message('a')} as message", "a.value",
+        "false as resolved",
     )
 
 

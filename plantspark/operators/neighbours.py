@@ -33,30 +33,35 @@ def _floor(micros: Column, width: int) -> Column:
     return micros - F.pmod(micros, F.lit(width))
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def piece_hash(by: Sequence[str]) -> Column:
+    """One long per series and chunk; the flags tell a missing tag from its neighbour."""
+    return F.xxhash64(*by, *[F.isnull(c) for c in by], *CHUNK)
 
 
 def in_chunks(df: DataFrame, by: Sequence[str], time: str = "_time", tie: str | None = None,
-              chunking: Chunking = Chunking()) -> DataFrame:
-    """Adds `_chunk`, `_sub`: consecutive pieces of each series with a bounded number of rows.
+              chunking: Chunking = Chunking()) -> tuple[DataFrame, list[str]]:
+    """Adds `_chunk`, `_sub` and `_piece`: consecutive pieces of each series, of a bounded size.
 
-    One small count decides whether hours are fine as they are. Only dense pieces are cut further,
-    so their number stays near rows / max_rows.
+    Also gives the columns that tell pieces apart. One small count decides whether hours are fine as
+    they are; only dense pieces are cut further, so their number stays near rows / max_rows. Sorting by
+    one long is much faster than by tags and chunk, so the hash stands for them if the count finds
+    that no two pieces share it.
     """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     keys = [*by, *CHUNK]
     cut = df.withColumn("_chunk", _floor(micros, WIDTHS[0])).withColumn("_sub", F.lit(0).cast("bigint"))
-    for width in WIDTHS[1:]:
+    for width in [*WIDTHS[1:], None]:
         sizes = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        dense = sizes.where(F.col("_rows") > chunking.max_rows).drop("_rows")
-        found = dense.limit(chunking.broadcast_rows + 1).count()
-        if not found:
+        pieces, hashes, found = sizes.agg(
+            F.count(F.lit(1)), F.count_distinct(piece_hash(by)), F.count_if(F.col("_rows") > chunking.max_rows),
+        ).first()
+        if not found or width is None:
             break
+        dense = sizes.where(F.col("_rows") > chunking.max_rows).select(*keys, F.lit(True).alias("_dense"))
         if found <= chunking.broadcast_rows:
             dense = F.broadcast(dense)
         marked = cut.alias("c").join(
-            dense.withColumn("_dense", F.lit(True)).alias("d"),
+            dense.alias("d"),
             reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]),
             "left",
         ).select("c.*", "d._dense")
@@ -67,29 +72,30 @@ def in_chunks(df: DataFrame, by: Sequence[str], time: str = "_time", tie: str |
             .withColumn("_sub", F.when(F.col("_dense"), sub).otherwise(F.col("_sub")).cast("bigint"))
             .drop("_dense")
         )
-    return cut
+    return cut.withColumn("_piece", piece_hash(by)), ["_piece"] if pieces == hashes else keys
 
 
-def chunk_tails(cut: DataFrame, by: Sequence[str], n: int, order: Sequence[str]) -> DataFrame:
-    """The last n rows of every chunk; tasks drop the others before the shuffle."""
-    latest = Window.partitionBy(*by, *CHUNK).orderBy(*[F.col(c).desc() for c in order])
+def chunk_tails(cut: DataFrame, keys: Sequence[str], n: int, order: Sequence[str]) -> DataFrame:
+    """The last n rows of every piece; tasks drop the others before the shuffle."""
+    latest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return cut.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= n).drop("_rank")
 
 
 def with_history(cut: DataFrame, tails: DataFrame, by: Sequence[str], n: int, order: Sequence[str]) -> DataFrame:
-    """Rows of a chunked table plus, marked `_history`, the n rows before each chunk.
+    """Rows of a chunked table plus, marked `_history`, the n rows before each piece.
 
-    `tails` holds at least the last n rows of every chunk. A tail row belongs to the history of
-    those later chunks that start within the next n tail rows.
+    `tails` holds at least the last n rows of every piece. A tail row belongs to the history of
+    those later pieces that start within the next n tail rows.
     """
     chunk = F.struct(*CHUNK)
     ahead = Window.partitionBy(*by).orderBy(*order).rowsBetween(1, n)
     later = F.array_except(F.collect_set(chunk).over(ahead), F.array(chunk))
-    columns = [c for c in cut.columns if c not in CHUNK]
+    columns = [c for c in cut.columns if c not in (*CHUNK, "_piece")]
     history = (
         tails.withColumn("_later", later)
         .select(*columns, F.explode("_later").alias("_to"))
-        .select(*columns, "_to._chunk", "_to._sub", F.lit(True).alias("_history"))
+        .select(*columns, "_to._chunk", "_to._sub")
+        .select("*", piece_hash(by).alias("_piece"), F.lit(True).alias("_history"))
     )
     return cut.withColumn("_history", F.lit(False)).unionByName(history)
 
@@ -101,21 +107,26 @@ def _ordered(df: DataFrame, time: str, order: Sequence[str] | None) -> tuple[lis
     return names, last if is_whole else None
 
 
-def _after_one(df: DataFrame, by: Sequence[str], time: str, order: Sequence[str] | None,
-               chunking: Chunking) -> tuple[DataFrame, list[str]]:
-    """Rows with the one row before each chunk, and the order of a series."""
-    names, tie = _ordered(df, time, order)
-    cut = in_chunks(df, by, time, tie, chunking)
-    return with_history(cut, chunk_tails(cut, by, 1, names), by, 1, names), names
-
-
 def elapsed(df: DataFrame, by: Sequence[str], unit: str = "SECOND", time: str = "_time",
             order: Sequence[str] | None = None, chunking: Chunking = Chunking()) -> DataFrame:
-    """Adds `elapsed`: whole units since the row before in the series; first rows are dropped."""
-    rows, names = _after_one(df, by, time, order, chunking)
-    before = F.lag(time).over(Window.partitionBy(*by, *CHUNK).orderBy(*names))
+    """Adds `elapsed`: whole units since the row before in the series; first rows are dropped.
+
+    Of the piece before only its last stamp is needed, which a plain maximum gives without sorting.
+    """
+    names, tie = _ordered(df, time, order)
+    cut, keys = in_chunks(df, by, time, tie, chunking)
+    following = F.lead(F.struct(*CHUNK)).over(Window.partitionBy(*by).orderBy(*CHUNK))
+    history = (
+        cut.groupBy(*by, *CHUNK).agg(F.max(time).alias(time))
+        .select(*by, time, following.alias("_to"))
+        .where(F.col("_to").isNotNull())
+        .select(*by, time, "_to._chunk", "_to._sub")
+        .select("*", piece_hash(by).alias("_piece"), F.lit(True).alias("_history"))
+    )
+    rows = cut.withColumn("_history", F.lit(False)).unionByName(history, allowMissingColumns=True)
+    # Without tie-breakers of its own the history row sorts before rows of its stamp.
     return (
-        rows.withColumn("_before", before)
+        rows.withColumn("_before", F.lag(time).over(Window.partitionBy(*keys).orderBy(*names)))
         .where(~F.col("_history") & F.col("_before").isNotNull())
         .withColumn("elapsed", F.timestamp_diff(unit, F.col("_before"), F.col(time)))
         .select(*df.columns, "elapsed")
@@ -134,10 +145,10 @@ def moving_average(df: DataFrame, by: Sequence[str], n: int, value: str = "_valu
     if n < 2:
         return present
     names, tie = _ordered(df, time, order)
-    cut = in_chunks(present, by, time, tie, chunking)
-    tails = chunk_tails(cut, by, n, names)
+    cut, keys = in_chunks(present, by, time, tie, chunking)
+    tails = chunk_tails(cut, keys, n, names)
     rows = with_history(cut, tails, by, n - 1, names)
-    frame = Window.partitionBy(*by, *CHUNK).orderBy(*names).rowsBetween(-(n - 1), 0)
+    frame = Window.partitionBy(*keys).orderBy(*names).rowsBetween(-(n - 1), 0)
     full = (
         rows.withColumn("_mean", F.avg(value).over(frame))
         .withColumn("_seen", F.count(value).over(frame))
@@ -168,8 +179,11 @@ def start_end_pairs(df: DataFrame, by: Sequence[str], start: str, end: str, even
                     time: str = "_time", order: Sequence[str] | None = None,
                     chunking: Chunking = Chunking()) -> DataFrame:
     """End events directly preceded in their series by a start event: adds `start_time`, `seconds`."""
-    rows, names = _after_one(df.where(F.col(event).isNotNull()), by, time, order, chunking)
-    w = Window.partitionBy(*by, *CHUNK).orderBy(*names)
+    named = df.where(F.col(event).isNotNull())
+    names, tie = _ordered(df, time, order)
+    cut, keys = in_chunks(named, by, time, tie, chunking)
+    rows = with_history(cut, chunk_tails(cut, keys, 1, names), by, 1, names)
+    w = Window.partitionBy(*keys).orderBy(*names)
     return (
         rows.withColumn("_event_before", F.lag(event).over(w))
         .withColumn("start_time", F.lag(time).over(w))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plantspark.functions.numbers import gibibytes, number_from_text
 from plantspark.functions.plant import event_status, machine_type, piece_material, station_distance
-from plantspark.functions.rules import DEFAULTS, Thresholds, anomalies
+from plantspark.functions.rules import DEFAULTS, Thresholds, anomalies, described
 from plantspark.functions.stamps import parse_timestamp
 from plantspark.schemas import SENSOR_FIELDS
 
@@ -125,7 +125,7 @@ def sensor_readings(checked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFr
     )
     return wide.selectExpr(
         "_time", "machine", "machine_type", "location", *SENSOR_FIELDS, "extra_fields",
-        f"{anomalies(limits=limits)} as anomalies", "ts_defaulted",
+        f"transform({anomalies(limits=limits)}, a -> {described('a')}) as anomalies", "ts_defaulted",
     )
 
 

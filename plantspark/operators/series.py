@@ -141,11 +141,15 @@ def window_value(df: DataFrame, by: Sequence[str], every: str, fn: Callable[[Col
 
 
 def collapse_points(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows of equal key become one point; each field keeps its last value that is present."""
-    rank = F.struct(*order)
+    """Rows of equal key become one point; each field keeps its last value that is present.
+
+    Stamps lead the grouping: it is done by sorting, and they differ sooner than tags.
+    """
+    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
     fields = [c for c in df.columns if c not in key and c not in order]
     kept = [F.max_by(f, F.when(F.col(f).isNotNull(), rank)).alias(f) for f in fields]
-    return df.groupBy(*key).agg(*kept)
+    stamps_first = sorted(key, key=lambda c: "timestamp" not in df.schema[c].dataType.typeName())
+    return df.groupBy(*stamps_first).agg(*kept).select(*key, *fields)
 
 
 def legend(df: DataFrame, by: Sequence[str], value: str, time: str = "_time",

@@ -194,8 +194,8 @@ def dedup_points(spark, sf_dir):
 
 def _rule(spark, sf_dir, found: str) -> DataFrame:
     rows = sensor(spark, sf_dir).selectExpr("event_id", "machine", f"{found} as a")
-    return rows.where(F.col("a").isNotNull()).select(
-        "event_id", "machine", "a.rule", "a.severity", "a.message", "a.value")
+    return rows.where("a is not null").selectExpr(
+        "event_id", "machine", "a.rule", "a.severity", f"{rules.message('a')} as message", "a.value")
 
 
 @query
@@ -221,8 +221,7 @@ def anomaly_rpm(spark, sf_dir):
 @query
 def anomaly_array(spark, sf_dir):
     return readings(spark, sf_dir).select(
-        "event_id", F.size("anomalies").cast("bigint").alias("n"),
-        F.array_join(F.transform("anomalies", lambda a: a["rule"]), ",").alias("rules"),
+        "event_id", F.size("anomalies").cast("bigint").alias("n"), F.array_join("anomalies.rule", ",").alias("rules"),
     )
 
 

@@ -39,12 +39,15 @@ def test_missing_and_nan_readings_are_silent(spark):
 
 
 def test_messages(spark):
-    assert evaluate(spark, rules.temperature_rule("v"), [95.5, 85.0], "v double") == [
+    def stored(rule, values):
+        return evaluate(spark, f"transform(array({rule}), a -> {rules.described('a')})[0]", values, "v double")
+
+    assert stored(rules.temperature_rule("v"), [95.5, 85.0]) == [
         ("temperature", "critical", "Critical temperature: 95.5°C", 95.5),
         ("temperature", "warning", "High temperature: 85.0°C", 85.0),
     ]
-    low = evaluate(spark, rules.power_rule("v"), [0.0002, 0.00001], "v double")
-    assert [a["message"] for a in low] == [
+    assert [a["message"] for a in stored(rules.power_rule("v"), [9.0, 6.0, 0.0002, 0.00001])] == [
+        "Critical power consumption: 9.0kW", "High power consumption: 6.0kW",
         "Suspiciously low power: 0.0002kW", "Suspiciously low power: 1e-05kW"]
 
 
