@@ -1,4 +1,4 @@
-"""Hourly and daily rollups into history, and the pipeline's own statistics."""
+"""Hourly and daily rollups into history, and statistics of the messages themselves."""
 
 from __future__ import annotations
 
@@ -41,7 +41,7 @@ def hourly_efficiency(events: DataFrame, as_of: datetime | str, lookback: str =
     return window_aggregate(ends, ["machine"], "1 hour", sums, stop)
 
 
-def pipeline_stats(checked: DataFrame, uptime_seconds: float | None = None) -> DataFrame:
+def message_stats(checked: DataFrame, uptime_seconds: float | None = None) -> DataFrame:
     """Messages received, processed, refused and unknown, rate per second, last arrival.
 
     Payloads that are no JSON were never received. Without an uptime, the time between the first

@@ -671,8 +671,8 @@ def retention_filter(spark, sf_dir):
 
 
 @query
-def pipeline_stats(spark, sf_dir):
-    return rounded(plain(rollups.pipeline_stats(checked(spark, sf_dir))), "processing_rate")
+def message_stats(spark, sf_dir):
+    return rounded(plain(rollups.message_stats(checked(spark, sf_dir))), "processing_rate")
 
 
 @query

@@ -510,7 +510,7 @@ select machine, {_window_end('1 hour')} as _time, round(sum(cycle_time) + 3.7e-1
 from machine_events where event_type = 'processing_end' and {RANGE} group by machine, {_window_end('1 hour')}"""),
     "retention_filter": over("base", f"""
 select event_id, _time, machine from base where _time >= {STOP} - interval 7 days"""),
-    "pipeline_stats": over("msg", """
+    "message_stats": over("msg", """
 ,
 c as (select count(*) filter (where kind <> 'bad_json') as messages_received,
     count(*) filter (where reason is null) as messages_processed,

@@ -152,14 +152,14 @@ def test_availability_is_a_share_of_the_range(spark):
     assert reports.availability(rows, "2024-01-02 00:00:00").first()["availability_pct"] == pytest.approx(100 / 24)
 
 
-def test_pipeline_statistics(spark):
+def test_message_statistics(spark):
     rows = spark.createDataFrame(
         [(None, at(0)), (None, at(4)), ("bad_json", at(5)), ("missing_data", at(6)), ("unknown_topic", at(8))],
         "reason string, arrived_at timestamp")
-    found = rollups.pipeline_stats(rows).first()
+    found = rollups.message_stats(rows).first()
     assert (found["messages_received"], found["messages_processed"], found["errors"], found["unknown_topics"]) == (4, 2, 1, 1)
     assert found["processing_rate"] == 0.25 and found["last_message_at"] == at(8)
-    assert rollups.pipeline_stats(rows, uptime_seconds=0.5).first()["processing_rate"] == 2.0
+    assert rollups.message_stats(rows, uptime_seconds=0.5).first()["processing_rate"] == 2.0
 
 
 def test_system_samples_fill_what_was_not_taken(spark):
