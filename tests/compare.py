@@ -71,7 +71,7 @@ def main() -> int:
         try:
             got = wanted[name](spark, sf_dir).toArrow()
             seconds = time.time() - began
-            problem = difference(got, con.execute(sql[name]).to_arrow_table()) if name in sql else ""
+            problem = difference(got, con.sql(sql[name]).to_arrow_table()) if name in sql else ""
             if not got.num_rows:
                 problem = problem or "no rows"
         except Exception as error:  # noqa: BLE001 - report and go on

@@ -26,4 +26,4 @@ def test_every_query_has_sql():
 def test_query(spark, duck, name):
     found = entry_points.queries()[name](spark, SF).toArrow()
     assert found.num_rows > 0
-    assert difference(found, duck.execute(SQL[name]).to_arrow_table()) == ""
+    assert difference(found, duck.sql(SQL[name]).to_arrow_table()) == ""
