@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plantspark.llm import compression, line_dedup, mixing, simhash
+from plantspark.llm import compression, line_dedup, mixing, packing, simhash, token_files
 from plantspark.llm.common import read_table
+from plantspark.session import new_folder
+
+
+def op2_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer, end_id=1, with_ids=False)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +22,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    folder = new_folder(spark, "token-files")
+    return token_files.token_file_digests(read_table(spark, sf_dir, "documents"), folder, tokenizer, end_id=2)
+
+
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(read_table(spark, sf_dir, "documents"))
 
@@ -28,7 +41,7 @@ def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_line_dedup, op6_compression_bands, op8_simhash_bk_trees, op9_cube_mixing)
+    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op6_compression_bands, op8_simhash_bk_trees, op9_cube_mixing)
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
