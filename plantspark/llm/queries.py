@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plantspark.llm import compression, line_dedup, mixing, packing, simhash, token_files
+from plantspark.llm import compression, line_dedup, lm_scoring, mixing, packing, simhash, token_files, vector_tree
 from plantspark.llm.common import read_table
 from plantspark.session import new_folder
 
@@ -28,6 +28,10 @@ def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(read_table(spark, sf_dir, "documents"), folder, tokenizer, end_id=2)
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(read_table(spark, sf_dir, "documents"))
 
@@ -40,8 +44,12 @@ def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.ppm_scores(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op6_compression_bands, op8_simhash_bk_trees, op9_cube_mixing)
+    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores)
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
