@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantspark.llm import compression, line_dedup, lm_scoring, mixing, packing, simhash, token_files, vector_tree
+from plantspark.llm import compression, line_dedup, lm_scoring, mixing, packing, simhash, suffix_dedup, token_files, vector_tree
 from plantspark.llm.common import read_table
 from plantspark.session import new_folder
 
@@ -36,6 +37,15 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    n, left = F.octet_length("raw").cast("long"), F.octet_length("kept").cast("long")
+    return out.select(
+        "doc_id", n.alias("n_bytes"), (n - left).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -49,7 +59,7 @@ def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores)
+    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands, op7_suffix_arrays, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores)
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
