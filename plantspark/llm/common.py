@@ -53,7 +53,7 @@ def with_key(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
 
 def joined(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     """Join with a stored right side, broadcast only if it holds at most BROADCAST_KEYS rows."""
-    small = right.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    small = right.count() <= BROADCAST_KEYS
     return left.join(F.broadcast(right) if small else right, on, how)
 
 

@@ -8,11 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantspark.llm import compression, line_dedup, lm_scoring, mixing, packing, simhash, suffix_dedup, token_files, vector_tree
+from plantspark.llm import compression, language_id, line_dedup, lm_scoring, mixing, packing, simhash, suffix_dedup, token_files, vector_tree
 from plantspark.llm.common import read_table
 from plantspark.session import new_folder
 
 
+def op1_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and all pages; a row has either a doc_id or a page_id."""
+    none = F.lit(None).cast("long")
+    docs = language_id.document_records(read_table(spark, sf_dir, "documents")).withColumn("page_id", none)
+    pages = language_id.page_records(read_table(spark, sf_dir, "pages")).withColumn("doc_id", none)
+    out = language_id.identify(docs.unionByName(pages))
+    return out.select("doc_id", "page_id", "declared", "host", "language", "posterior", "grams", "kept")
+
+
 def op2_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer, end_id=1, with_ids=False)
@@ -59,7 +68,7 @@ def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands, op7_suffix_arrays, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores)
+    f.__name__: f for f in (op1_language_evidence, op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands, op7_suffix_arrays, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores)
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}

@@ -54,16 +54,17 @@ def fingerprint(text: str | None, width: int, word=re.compile(WORD.encode())) ->
     return int(np.packbits(major, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
-    """id_column, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, id_column: str, text: str, width: int, carry: list[str]) -> DataFrame:
+    """id_column, the columns to carry, fp (the fingerprint as a signed long)."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([fingerprint(t, width) for t in batch["_text"]], dtype=np.uint64)
-            yield pd.DataFrame({id_column: batch["_id"].to_numpy(), "fp": found.view(np.int64)})
+            yield batch.drop(columns="_text").assign(fp=found.view(np.int64))
 
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    return rows.mapInPandas(make, f"`{id_column}` {rows.schema['_id'].dataType.simpleString()}, fp long")
+    rows = docs.select(id_column, *carry, F.col(text).alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInPandas(make, f"{schema}, fp long")
 
 
 class BKTree:
@@ -171,12 +172,14 @@ def links(nodes: DataFrame, radius: int, pack: int = PACK, dense: int = DENSE) -
 
 
 def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2,
-                   pack: int = PACK, dense: int = DENSE) -> DataFrame:
-    """One row per document: id_column, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    prints = stored(fingerprints(docs, id_column, text, width), "simhash-prints")
+                   pack: int = PACK, dense: int = DENSE, carry: list[str] = ()) -> DataFrame:
+    """One row per document: id_column, fingerprint (16 hex digits), component_id (smallest id reachable), root (a number
+    of the component, also where ids repeat), and the columns named in `carry`."""
+    prints = stored(fingerprints(docs, id_column, text, width, list(carry)), "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min(id_column).alias("_least")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), radius, pack, dense))
     placed = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "_least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
-    groups = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select(id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    groups = placed.select("fp", "root").join(least, "root")
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return prints.join(groups, "fp").select(id_column, shown, "component_id", "root", *carry)

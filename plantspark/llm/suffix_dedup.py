@@ -345,10 +345,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 def having(rows: DataFrame, keys: DataFrame, label: str) -> DataFrame:
     """The rows with one of the keys; these are broadcast if they are few, so that only such rows are shuffled later."""
     keys = stored(keys, label)
-    return rows.join(F.broadcast(keys), KEY, "left_semi") if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else rows
+    return rows.join(F.broadcast(keys), KEY, "left_semi") if keys.count() <= BROADCAST_KEYS else rows
 
 
 def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    few = keys.count() <= BROADCAST_KEYS
     return rows.join(F.broadcast(keys) if few else keys, KEY, "left_anti")
 
