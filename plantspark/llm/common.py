@@ -36,10 +36,11 @@ def shared_file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def read_parts(uri: str, columns: list[str] | None = None) -> pa.Table:
-    """A table of bounded size that Spark has written to the shared folder, read inside a task."""
+def read_parts(uri: str, columns: list[str], may_miss: bool = False) -> pa.Table:
+    """A table of bounded size that Spark has written to the shared folder, read inside a task. may_miss: a partition
+    without rows has no folder, and gives a table without columns."""
     fs, path = shared_file_system(uri)
-    found = fs.get_file_info(pa.fs.FileSelector(path, recursive=True))
+    found = fs.get_file_info(pa.fs.FileSelector(path, allow_not_found=may_miss, recursive=True))
     names = sorted(f.path for f in found if f.path.endswith(".parquet"))
     tables = [pq.read_table(n, columns=columns, filesystem=fs) for n in names]
     return pa.concat_tables(tables) if tables else pa.table({})

@@ -137,9 +137,10 @@ class Trie:
 
 
 def read_shard(folder: str, shard: int) -> Trie:
-    tables = [read_parts(f"{folder}/shard={s}", ["size", "gram", "n"]) for s in (-1, shard)]
-    found = pa.concat_tables([t for t in tables if t.num_columns])
-    size, gram, n = (found.column(c).to_numpy() for c in ("size", "gram", "n"))
+    tables = [read_parts(f"{folder}/shard={s}", ["size", "gram", "n"], may_miss=True) for s in (-1, shard)]
+    empty = pa.table({c: pa.array([], pa.int64()) for c in ("size", "gram", "n")})
+    found = [t if t.num_columns else empty for t in tables]
+    size, gram, n = (np.concatenate([t.column(c).to_numpy().astype(np.int64) for t in found]) for c in ("size", "gram", "n"))
     out = []
     for k in range(ORDER + 1):
         own = np.flatnonzero(size == k)

@@ -151,12 +151,13 @@ def decided(rows: DataFrame, seed: int) -> DataFrame:
 def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = 11, carry: list[str] = ()) -> DataFrame:
     """One row per document: size, source_size, target, copies, taken (copies x size), and the columns named in `carry`."""
+    held = [f"_carried{i}" for i in range(len(carry))]
     sized = stored(
         docs.select(
             F.col(id_column).alias("_id"),
             F.col(source).alias("source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            *carry,
+            *[F.col(c).alias(h) for c, h in zip(carry, held, strict=True)],
         ),
         "mix-sizes",
     )
@@ -169,12 +170,13 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.withColumn("_ratio", F.when(F.abs(ratio - F.round(ratio)) < EPS, F.round(ratio)).otherwise(ratio))
     rows = rows.select(
-        "_id", "size", "source_size", "target", "source_no", "_n", *carry,
+        "_id", "size", "source_size", "target", "source_no", "_n", *held,
         F.floor("_ratio").cast("long").alias("_whole"),
         (F.col("_ratio") - F.floor("_ratio")).alias("pi"),
         F.xxhash64(F.lit(seed), "_id", "size").alias("_order"),
     )
     copies = F.col("_whole") + F.round("pi").cast("long")
     return decided(rows, seed).select(
-        F.col("_id").alias(id_column), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *carry
-    )
+        F.col("_id").alias(id_column), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)],
+    )

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours with a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample (SAMPLE vectors at most): k-means with BRANCHES centres, and again within each
+The tree is fitted on a bounded sample (about SAMPLE vectors, chosen by a hash): k-means with BRANCHES centres, and again within each
 cluster until a cluster has under LEAF vectors of the sample. Every row is then put into the leaf that the
 nearest centres lead to. A query walks the tree best bin first: a priority queue holds nodes by the distance of their centres, the
 nearest is taken, its children are queued, and each leaf taken is a visit.
@@ -148,7 +148,8 @@ def search(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding
     if n == 0:
         return spark.createDataFrame([], schema)
     order = F.xxhash64("id", "vec")
-    tree = Tree.fit(matrix(kept.orderBy(order).limit(SAMPLE).select("vec").toPandas()["vec"]))
+    share = F.pmod(order, F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))  # about SAMPLE rows, whatever n is
+    tree = Tree.fit(matrix(kept.filter(share).toPandas().sort_values("id", kind="stable")["vec"]))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
