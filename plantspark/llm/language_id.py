@@ -28,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantspark.llm.common import KEY, stored, with_key
+from plantspark.llm.common import KEY, map_texts, stored, with_key
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
@@ -89,20 +90,19 @@ def text_evidence(records: DataFrame, model: np.ndarray, languages: tuple[str, .
     classes = len(languages) + 1
     table = np.ascontiguousarray(model.T.astype(np.float32))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def make():
+        def read(texts: list) -> dict[str, pa.Array]:
             logs, sizes = [], []
-            for text in batch["text"]:
+            for text in texts:
                 slots = trigrams(text)
                 mean = table[slots].mean(axis=0, dtype=np.float64) if len(slots) else np.zeros(classes - 1)
-                weight = min(float(len(slots)), most)
-                logs.append(np.append(mean, -np.log(NOISE_GRAMS)) * weight)
+                logs.append(np.append(mean, -np.log(NOISE_GRAMS)) * min(float(len(slots)), most))
                 sizes.append(len(slots))
-            yield batch.drop(columns="text").assign(grams=np.array(sizes, dtype=np.int64), text_log=logs)
+            return {"grams": pa.array(sizes, pa.int64()), "text_log": pa.array(logs, pa.list_(pa.float64()))}
+
+        return read
 
-    small = [f for f in records.schema if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in small) + ", grams long, text_log array<double>"
-    return records.mapInPandas(read, schema)
+    return map_texts(records, "text", make, "grams long, text_log array<double>")
 
 
 def normalised(logs: Column) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,18 +128,20 @@ def decided(rows: DataFrame, seed: int) -> DataFrame:
     rows = rows.withColumn("_blocks", F.greatest(F.lit(1), F.ceil(F.col("_n") / BLOCK)).cast("long")).drop("_n")
     schema = rows.schema
 
-    def move(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_order", "size"], kind="stable").reset_index(drop=True)
-        source, block, blocks = (int(group[c].iloc[0]) for c in ("source_no", "_block", "_blocks"))
+    def move(group: pa.Table) -> pa.Table:
+        source, block, blocks = (group.column(c)[0].as_py() for c in ("source_no", "_block", "_blocks"))
+        size, order = (group.column(c).to_numpy() for c in ("size", "_order"))
+        by = np.lexsort((size, order))
         draw = np.random.default_rng([seed, source, block, blocks])
-        sizes = group["size"].to_numpy(dtype=float)
-        pi = flight(group["pi"].to_numpy(dtype=float), np.vstack([np.ones(len(group)), sizes / max(1.0, sizes.max())]), draw)
-        group["pi"] = land(pi, sizes, draw) if blocks == 1 else pi
-        return group
+        sizes = size[by].astype(float)
+        pi = flight(group.column("pi").to_numpy()[by], np.vstack([np.ones(len(by)), sizes / max(1.0, sizes.max())]), draw)
+        out = np.empty(len(by))
+        out[by] = land(pi, sizes, draw) if blocks == 1 else pi
+        return group.set_column(group.schema.get_field_index("pi"), "pi", pa.array(out))
 
     done = []
     while True:
-        rows = stored(rows.groupBy("source_no", "_block").applyInPandas(move, schema), "mix-round")
+        rows = stored(rows.groupBy("source_no", "_block").applyInArrow(move, schema), "mix-round")
         is_open = (F.col("pi") > 0) & (F.col("pi") < 1)
         done.append(rows.filter(~is_open))
         if not rows.filter(is_open).limit(1).count():

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -150,21 +149,26 @@ class Rows:
 def merger(level: int, last: bool, spec: Packing, with_ids: bool):
     """Packs the open windows of one group; the last group's windows are all closed."""
 
-    def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        part, number, packer = int(key[0]), 0, Packer(spec)
-        out, closed = Rows(pa.int64(), with_ids), []
-        units = [
-            [Piece(r.doc, r.start, np.frombuffer(r.ids, dtype="<u4"), r.doc_tokens) for r in unit.itertuples()]
-            for _, unit in group.sort_values(["sequence_id", "offset"]).groupby("sequence_id", sort=True)
-        ]
-        for unit in sorted(units, key=lambda u: -sum(len(p.ids) for p in u)):
+    def merge(group: pa.Table) -> pa.Table:
+        units: dict[int, list[tuple]] = {}
+        kind = group.schema.field("doc").type
+        columns = [group.column(c).to_pylist() for c in ("sequence_id", "offset", "doc", "start", "ids", "doc_tokens")]
+        for sequence, at, *piece in zip(*columns, strict=True):
+            units.setdefault(sequence, []).append((at, piece))
+        part, number, packer = group.column("part")[0].as_py(), 0, Packer(spec)
+        out, closed = Rows(kind, with_ids), []
+        ready = []
+        for _, unit in sorted(units.items()):
+            pieces = [p for _, p in sorted(unit, key=lambda x: x[0])]
+            ready.append([Piece(doc, start, np.frombuffer(ids, dtype="<u4"), n) for doc, start, ids, n in pieces])
+        for unit in sorted(ready, key=lambda u: -sum(len(p.ids) for p in u)):
             closed += packer.put(unit)
         closed += packer.finish() if last else []
         for is_open, windows in ((False, closed), (True, packer.open)):
             for w in windows:
                 out.window(w, level << 58 | part << 31 | number, part, is_open)
                 number += 1
-        return pd.DataFrame(out.data, columns=NAMES).astype({"doc": group["doc"].dtype})
+        return pa.Table.from_batches([out.table()])
 
     return merge
 
@@ -207,7 +211,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_column: str = "doc
         level, last = level + 1, groups < MERGE
 
         grouped = left.withColumn("part", F.floor(F.col("part") / MERGE)).groupBy("part")
-        merged = stored(grouped.applyInPandas(merger(level, last, spec, with_ids), schema(kind.simpleString())), "packing-merge")
+        merged = stored(grouped.applyInArrow(merger(level, last, spec, with_ids), schema(kind.simpleString())), "packing-merge")
         done.append(merged.filter("not open"))
         left = merged.filter("open")
     out = done[0]

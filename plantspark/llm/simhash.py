@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantspark.llm.common import WORD, stored
+from plantspark.llm.common import WORD, map_texts, stored
 from plantspark.llm.graph import components
 
 BITS = 64
@@ -57,14 +58,13 @@ def fingerprint(text: str | None, width: int, word=re.compile(WORD.encode())) ->
 def fingerprints(docs: DataFrame, id_column: str, text: str, width: int, carry: list[str]) -> DataFrame:
     """id_column, the columns to carry, fp (the fingerprint as a signed long)."""
 
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([fingerprint(t, width) for t in batch["_text"]], dtype=np.uint64)
-            yield batch.drop(columns="_text").assign(fp=found.view(np.int64))
+    def make():
+        def prints(texts: list) -> dict[str, pa.Array]:
+            return {"fp": pa.array(np.array([fingerprint(t, width) for t in texts], dtype=np.uint64).view(np.int64))}
+
+        return prints
 
-    rows = docs.select(id_column, *carry, F.col(text).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(make, f"{schema}, fp long")
+    return map_texts(docs.select(id_column, *carry, F.col(text).alias("_text")), "_text", make, "fp long")
 
 
 class BKTree:
