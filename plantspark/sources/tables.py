@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from plantspark.functions.panels import RANGE_PRESETS
 from plantspark.schemas import RETENTION_DAYS, TABLES
@@ -41,57 +43,126 @@ def recent(df: DataFrame, as_of: datetime | str, lookback: str, time: str = "_ti
     return time_range(df, *bounds(df, as_of, lookback, time=time), time=time)
 
 
+def stored_layout(name: str) -> T.StructType:
+    """Declared columns of a table and the day its files lie under."""
+    return T.StructType([*TABLES[name].fields, T.StructField("event_date", T.DateType())])
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A measurement table; empty with the declared columns while nothing has been written."""
-    stored = _stored(spark, f"{root}/{name}")
-    return stored if stored is not None else spark.createDataFrame([], TABLES[name])
+    """A measurement table with its declared columns and `event_date`, also while nothing has been written."""
+    layout = stored_layout(name)
+    with_batch = T.StructType([*layout.fields, T.StructField("batch", T.StringType())])
+    stored = _stored(spark, f"{root}/{name}", with_batch)
+    return stored.drop("batch") if stored is not None else spark.createDataFrame([], layout)
 
 
-def append_batch(rows: DataFrame, root: str, name: str, batch_id: int, time: str = "_time") -> None:
-    """Writes one micro-batch under event_date / batch_id, replacing what an earlier try left.
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the job that owns a checkpoint: made on first use and kept in it.
 
-    `rebalance` gathers each day into few files and splits a day that is too large for one task.
+    Micro-batches are numbered from 0 in every checkpoint, so only both together name a batch.
+    """
+    path = f"{checkpoint}/run"
+    folder, files = _folder(spark, path)
+    kept = [r.value for r in spark.read.text(path).collect()] if files.exists(folder) else []
+    if kept:
+        return kept[0]
+    name = f"r{uuid.uuid4().hex}"
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return name
+
+
+def append_batch(rows: DataFrame, root: str, name: str, batch_id: int, time: str = "_time", run: str = "r0") -> None:
+    """Writes one micro-batch of a run under event_date / batch, replacing what an earlier try of it left.
+
+    Batches of other runs are never touched. `rebalance` gathers each day into few files and splits a
+    day that is too large for one task.
     """
     (
         rows.withColumn("event_date", F.to_date(time))
-        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("batch", F.lit(f"{run}-{batch_id}"))
         .hint("rebalance", "event_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
+        .partitionBy("event_date", "batch")
         .parquet(f"{root}/{name}")
     )
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as the cluster sees them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def days_of(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the outer partition column that a table has folders for; one listing of its top folder."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(name.split("=")[1] for name in names if name.startswith(f"{column}=") and not name.endswith("__"))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
 
+@contextmanager
+def _alone(spark: SparkSession, path: str) -> Iterator[None]:
+    """Lets one merge into a table at a time: two at once would lose windows of a day both write."""
+    folder, files = _folder(spark, path)
+    if not files.createNewFile(folder):
+        raise RuntimeError(f"another merge holds {path}; delete that file if its job has died")
+    try:
+        yield
+    finally:
+        files.delete(folder, False)
+
+
 def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Column, time: str = "_time") -> None:
     """Replaces the windows of start..stop in a rollup table, so that a second run changes nothing.
 
     A window is filed under the day before its end. Only the days of the range are read and written,
-    and their other windows are kept; the new files replace the old ones when the job commits.
+    and their other windows are kept. Days that are left without any window go after the new files are
+    in place; a job that dies in between is simply run again. The swap of files is not atomic for
+    readers, and a second merge into the same table is refused while one runs.
     """
+    spark, path = rows.sparkSession, f"{root}/{name}"
     inside = F.col(time) - F.expr("INTERVAL 1 MICROSECOND")
     filed = rows.withColumn("window_date", F.to_date(inside))
-    old = _stored(rows.sparkSession, f"{root}/{name}")
-    if old is not None:
-        days = F.col("window_date").between(F.to_date(start), F.to_date(stop))
-        kept = old.where(days & ((F.col(time) <= start) | (F.col(time) > stop)))
-        filed = filed.unionByName(kept.select(*filed.columns))
-    (
-        filed.hint("rebalance", "window_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
-        .parquet(f"{root}/{name}")
-    )
+    top, files = _folder(spark, root)
+    files.mkdirs(top)
+    with _alone(spark, f"{root}/{name}.lock"):
+        old, present = _stored(spark, path), []
+        if old is not None:
+            first, last = spark.range(1).select(F.to_date(start).cast("string"), F.to_date(stop).cast("string")).first()
+            present = [day for day in days_of(spark, path, "window_date") if first <= day <= last]
+            kept = old.where(F.col("window_date").between(F.to_date(start), F.to_date(stop)))
+            kept = kept.where((F.col(time) <= start) | (F.col(time) > stop))
+            filed = filed.unionByName(kept, allowMissingColumns=True)
+        written = Observation()
+        if present:
+            filed = filed.observe(written, *[F.count_if(F.col("window_date") == F.lit(day)).alias(day) for day in present])
+        (
+            filed.hint("rebalance", "window_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("window_date")
+            .parquet(path)
+        )
+        for day in present:
+            if not written.get[day]:
+                delete(spark, f"{path}/window_date={day}")
 
 
 def retained(df: DataFrame, store: str, as_of: datetime | str, time: str = "_time") -> DataFrame:
@@ -113,6 +184,19 @@ def expire_days(spark: SparkSession, table: str, store: str, as_of: date) -> lis
     return expired
 
 
+def expire_stored_days(spark: SparkSession, root: str, name: str, store: str, as_of: date,
+                       column: str = "event_date") -> list[str]:
+    """Deletes the whole days of a table under `root` that are past retention, files included; the days that went.
+
+    Only the day folders are listed, whatever they hold. Run it where no job is reading those days.
+    """
+    first = (as_of - timedelta(days=RETENTION_DAYS[store])).isoformat()
+    expired = [day for day in days_of(spark, f"{root}/{name}", column) if day < first]
+    for day in expired:
+        delete(spark, f"{root}/{name}/{column}={day}")
+    return expired
+
+
 def stored_names(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """Those of the named tables that exist under a root."""
     found = [(name,) for name in names if _stored(spark, f"{root}/{name}") is not None]

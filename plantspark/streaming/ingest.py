@@ -13,7 +13,7 @@ from plantspark.functions.rules import DEFAULTS, Thresholds
 from plantspark.operators import normalise
 from plantspark.operators.alerts import alerts
 from plantspark.sources.messages import decode, route
-from plantspark.sources.tables import append_batch
+from plantspark.sources.tables import append_batch, run_of
 
 FLUSH_EVERY = "5 seconds"
 
@@ -42,9 +42,10 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = FLUSH_E
 
 def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None = FLUSH_EVERY,
            limits: Thresholds = DEFAULTS, deposit_as_piece: bool = True) -> StreamingQuery:
-    """Stores every micro-batch under its own batch id.
+    """Stores every micro-batch under the name of its run and its batch id.
 
-    A batch that is replayed after a failure replaces its own files, so nothing is lost or doubled.
+    A batch that is replayed after a failure replaces its own files, so nothing is lost or doubled; a
+    job with a new checkpoint is a new run and adds to what is there.
     Running counters are reported as the observed metrics `ingest` of each batch.
     """
     rows = checked(messages, deposit_as_piece)
@@ -55,12 +56,14 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
         F.count_if(F.col("reason").isNotNull() & ~F.col("reason").isin("bad_json", "unknown_topic")).alias("errors"),
     )
 
+    run = run_of(messages.sparkSession, checkpoint)
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         parts = list(outputs(batch, limits))
         try:
             with ThreadPoolExecutor(len(parts)) as pool:
-                writes = [pool.submit(append_batch, rows, root, name, batch_id, time) for name, rows, time in parts]
+                writes = [pool.submit(append_batch, rows, root, name, batch_id, time, run) for name, rows, time in parts]
             for write in writes:
                 write.result()
         finally:
