@@ -29,9 +29,10 @@ class Thresholds:
     def from_settings(cls, temperature: tuple[float, float] = (80.0, 90.0),
                       vibration: tuple[float, float] = (2.5, 3.0), power_warning: float = 5.0) -> Thresholds:
         """Limits as an operator configures them: power turns critical at 1.5 times its warning."""
-        made = cls(*temperature, *vibration, power_warning, power_warning * 1.5)
-        made.validate()
-        return made
+        return cls(*temperature, *vibration, power_warning, power_warning * 1.5)
+
+    def __post_init__(self) -> None:
+        self.validate()
 
     def validate(self) -> None:
         """Refuse limits that could never make sense."""
@@ -42,6 +43,10 @@ class Thresholds:
                 problems.append(f"{name} warning must be positive")
             if critical <= warning:
                 problems.append(f"{name} critical must be higher than warning")
+        for name in ("milling", "lathe"):
+            low, high = getattr(self, f"{name}_rpm")
+            if low >= high:
+                problems.append(f"{name} rpm limits must be in order")
         if problems:
             raise ValueError("; ".join(problems))
 
@@ -64,6 +69,9 @@ def _above(value: str, limit: float) -> str:
     return f"({value} > {limit}d and not isnan({value}))"
 
 
+# The label texts and units of the rules below.
+
+
 def temperature_rule(value: str = "temperature", limits: Thresholds = DEFAULTS) -> str:
     return _anomaly(
         "temperature", value, "°C",

@@ -23,41 +23,36 @@ WIDTHS = (3_600_000_000, 240_000_000, 15_000_000, 1_000_000, 62_500, 3_900, 1)
 
 @dataclass(frozen=True)
 class Chunking:
-    """Rows a task should at most get as one chunk, and how many dense chunks may be broadcast."""
+    """How series are cut.
 
-    max_rows: int = 4_000_000
+    Without `max_rows` every chunk is `width` microseconds long, an hour unless the caller knows that the
+    data are denser, and no job runs before the result is asked for. With `max_rows` one count after the other finds
+    the chunks with more rows and cuts them finer, down to ranges of the tie-breaker; a list of dense
+    chunks of up to `broadcast_rows` is broadcast.
+    """
+
+    max_rows: int | None = None
     broadcast_rows: int = 200_000
+    width: int = WIDTHS[0]
 
 
 def _floor(micros: Column, width: int) -> Column:
     return micros - F.pmod(micros, F.lit(width))
 
 
-def piece_hash(by: Sequence[str]) -> Column:
-    """One long per series and chunk; the flags tell a missing tag from its neighbour."""
-    return F.xxhash64(*by, *[F.isnull(c) for c in by], *CHUNK)
-
-
 def in_chunks(df: DataFrame, by: Sequence[str], time: str = "_time", tie: str | None = None,
               chunking: Chunking = Chunking()) -> tuple[DataFrame, list[str]]:
-    """Adds `_chunk`, `_sub` and `_piece`: consecutive pieces of each series, of a bounded size.
-
-    Also gives the columns that tell pieces apart. One small count decides whether hours are fine as
-    they are; only dense pieces are cut further, so their number stays near rows / max_rows. Sorting by
-    one long is much faster than by tags and chunk, so the hash stands for them if the count finds
-    that no two pieces share it.
-    """
+    """Adds `_chunk` and `_sub`: consecutive pieces of each series. Also gives the columns that tell pieces apart."""
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    keys = [*by, *CHUNK]
-    cut = df.withColumn("_chunk", _floor(micros, WIDTHS[0])).withColumn("_sub", F.lit(0).cast("bigint"))
-    for width in [*WIDTHS[1:], None]:
-        sizes = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        pieces, hashes, found = sizes.agg(
-            F.count(F.lit(1)), F.count_distinct(piece_hash(by)), F.count_if(F.col("_rows") > chunking.max_rows),
-        ).first()
-        if not found or width is None:
+    keys, limit = [*by, *CHUNK], chunking.max_rows
+    cut = df.withColumn("_chunk", _floor(micros, chunking.width)).withColumn("_sub", F.lit(0).cast("bigint"))
+    finer = [w for w in WIDTHS if w < chunking.width]
+    for width in [*finer, 1] if limit else []:
+        sizes = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+        found = sizes.count()
+        if not found:
             break
-        dense = sizes.where(F.col("_rows") > chunking.max_rows).select(*keys, F.lit(True).alias("_dense"))
+        dense = sizes.select(*keys, F.lit(True).alias("_dense"))
         if found <= chunking.broadcast_rows:
             dense = F.broadcast(dense)
         marked = cut.alias("c").join(
@@ -66,13 +61,13 @@ def in_chunks(df: DataFrame, by: Sequence[str], time: str = "_time", tie: str |
             "left",
         ).select("c.*", "d._dense")
         inner = _floor(micros, width)
-        sub = F.floor(F.col(tie) / chunking.max_rows).cast("bigint") if tie and width == 1 else F.lit(0)
+        sub = F.floor(F.col(tie) / limit).cast("bigint") if tie and width == 1 else F.lit(0)
         cut = (
             marked.withColumn("_chunk", F.when(F.col("_dense"), inner).otherwise(F.col("_chunk")))
             .withColumn("_sub", F.when(F.col("_dense"), sub).otherwise(F.col("_sub")).cast("bigint"))
             .drop("_dense")
         )
-    return cut.withColumn("_piece", piece_hash(by)), ["_piece"] if pieces == hashes else keys
+    return cut, keys
 
 
 def chunk_tails(cut: DataFrame, keys: Sequence[str], n: int, order: Sequence[str]) -> DataFrame:
@@ -90,12 +85,11 @@ def with_history(cut: DataFrame, tails: DataFrame, by: Sequence[str], n: int, or
     chunk = F.struct(*CHUNK)
     ahead = Window.partitionBy(*by).orderBy(*order).rowsBetween(1, n)
     later = F.array_except(F.collect_set(chunk).over(ahead), F.array(chunk))
-    columns = [c for c in cut.columns if c not in (*CHUNK, "_piece")]
+    columns = [c for c in cut.columns if c not in CHUNK]
     history = (
         tails.withColumn("_later", later)
         .select(*columns, F.explode("_later").alias("_to"))
-        .select(*columns, "_to._chunk", "_to._sub")
-        .select("*", piece_hash(by).alias("_piece"), F.lit(True).alias("_history"))
+        .select(*columns, "_to._chunk", "_to._sub", F.lit(True).alias("_history"))
     )
     return cut.withColumn("_history", F.lit(False)).unionByName(history)
 
@@ -120,8 +114,7 @@ def elapsed(df: DataFrame, by: Sequence[str], unit: str = "SECOND", time: str =
         cut.groupBy(*by, *CHUNK).agg(F.max(time).alias(time))
         .select(*by, time, following.alias("_to"))
         .where(F.col("_to").isNotNull())
-        .select(*by, time, "_to._chunk", "_to._sub")
-        .select("*", piece_hash(by).alias("_piece"), F.lit(True).alias("_history"))
+        .select(*by, time, "_to._chunk", "_to._sub", F.lit(True).alias("_history"))
     )
     rows = cut.withColumn("_history", F.lit(False)).unionByName(history, allowMissingColumns=True)
     # Without tie-breakers of its own the history row sorts before rows of its stamp.
@@ -146,6 +139,7 @@ def moving_average(df: DataFrame, by: Sequence[str], n: int, value: str = "_valu
         return present
     names, tie = _ordered(df, time, order)
     cut, keys = in_chunks(present, by, time, tie, chunking)
+    cut = cut.repartition(*keys)  # once, for the tails and for the rows themselves
     tails = chunk_tails(cut, keys, n, names)
     rows = with_history(cut, tails, by, n - 1, names)
     frame = Window.partitionBy(*keys).orderBy(*names).rowsBetween(-(n - 1), 0)
@@ -182,6 +176,7 @@ def start_end_pairs(df: DataFrame, by: Sequence[str], start: str, end: str, even
     named = df.where(F.col(event).isNotNull())
     names, tie = _ordered(df, time, order)
     cut, keys = in_chunks(named, by, time, tie, chunking)
+    cut = cut.repartition(*keys)
     rows = with_history(cut, chunk_tails(cut, keys, 1, names), by, 1, names)
     w = Window.partitionBy(*keys).orderBy(*names)
     return (

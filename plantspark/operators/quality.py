@@ -21,11 +21,18 @@ def measurement_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
                        expected: Sequence[str] = EXPECTED_MEASUREMENTS) -> DataFrame:
     """Present field values per measurement; expected measurements without any count 0.
 
-    `tables` maps a measurement to its rows and its field columns.
+    `tables` maps a measurement to its rows and its field columns. A map column counts its entries.
     """
     spark = next(iter(tables.values()))[0].sparkSession
+
+    def values(rows: DataFrame, field: str) -> Column:
+        if rows.schema[field].dataType.typeName() != "map":
+            return F.count(field)
+        present = F.size(F.map_filter(field, lambda name, value: value.isNotNull()))
+        return F.coalesce(F.sum(F.when(F.col(field).isNotNull(), present)), F.lit(0))
+
     counts = [
-        rows.agg(reduce(lambda a, b: a + b, [F.count(f) for f in fields]).alias("records"))
+        rows.agg(reduce(lambda a, b: a + b, [values(rows, f) for f in fields]).alias("records"))
         .select(F.lit(name).alias("_measurement"), "records")
         for name, (rows, fields) in tables.items() if name in expected
     ]
@@ -57,9 +64,14 @@ def completeness(df: DataFrame, by: Sequence[str], field: str, name: str = "read
     return count_by(df, by, field, name)
 
 
-def gaps(df: DataFrame, by: Sequence[str], longer_than: int = GAP_SECONDS, **options) -> DataFrame:
-    """Rows that follow the one before in their series by more than `longer_than` seconds."""
-    return elapsed(df, by, "SECOND", **options).where(F.col("elapsed") > longer_than)
+def gaps(df: DataFrame, by: Sequence[str], longer_than: int = GAP_SECONDS, field: str | None = None,
+         **options) -> DataFrame:
+    """Rows that follow the one before in their series by more than `longer_than` seconds.
+
+    With `field`, only rows that have this field count.
+    """
+    rows = df if field is None else df.where(F.col(field).isNotNull())
+    return elapsed(rows, by, "SECOND", **options).where(F.col("elapsed") > longer_than)
 
 
 def gap_summary(gap_rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -75,6 +87,11 @@ def tag_combinations(df: DataFrame, tags: Sequence[str]) -> DataFrame:
     return df.select(*tags).distinct().withColumn("has_missing_tag", missing)
 
 
+def present_names(tables: Mapping[str, DataFrame], name: str = "_measurement") -> DataFrame:
+    """Those of the named tables that have any row; a scan stops at the first one."""
+    return reduce(DataFrame.unionByName, [rows.limit(1).select(F.lit(n).alias(name)) for n, rows in tables.items()])
+
+
 def missing_names(spark: SparkSession, expected: Sequence[str], found: DataFrame, name: str) -> DataFrame:
     """Expected names that are not among the found ones."""
     wanted = spark.createDataFrame([(e,) for e in expected], f"{name} string")

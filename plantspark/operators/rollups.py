@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from plantspark.operators.series import window_aggregate, window_value
+from plantspark.operators.series import to_long, window_aggregate, window_value
 from plantspark.schemas import SENSOR_FIELDS, SENSOR_TAGS
 from plantspark.sources.tables import bounds, time_range
 
@@ -22,6 +22,16 @@ def hourly_means(sensor: DataFrame, as_of: datetime | str, lookback: str = "2 ho
     return window_aggregate(time_range(sensor, start, stop), tags, "1 hour", means, stop)
 
 
+def hourly_means_long(sensor: DataFrame, as_of: datetime | str, lookback: str = "2 hours", lag: str = "1 hour",
+                      by: Sequence[str] = SENSOR_TAGS, fields: Sequence[str] = SENSOR_FIELDS,
+                      extra: str = "extra_fields") -> DataFrame:
+    """Mean of every field per series and hour, those that no layout declares included; a row per field."""
+    start, stop = bounds(sensor, as_of, lookback, lag)
+    tags = [t for t in by if t in sensor.columns]
+    long = to_long(time_range(sensor, start, stop), [*tags, "_time"], fields, extra if extra in sensor.columns else None)
+    return window_value(long, [*tags, "_field"], "1 hour", F.avg, stop)
+
+
 def daily_cycle_time(events: DataFrame, as_of: datetime | str, lookback: str = "2 days", lag: str = "1 day",
                      by: Sequence[str] = ("machine", "event_type", "piece_id", "tool")) -> DataFrame:
     """Summed cycle time per series and day."""
@@ -65,6 +75,16 @@ def message_stats(checked: DataFrame, uptime_seconds: float | None = None) -> Da
     return counted.withColumn("processing_rate", rate)
 
 
+def pipeline_totals(stats: DataFrame) -> DataFrame:
+    """Running counters of an ingestion, from the statistics it stored for each of its batches."""
+    total = stats.agg(
+        *[F.sum(c).alias(c) for c in ("messages_received", "messages_processed", "errors", "unknown_topics")],
+        F.min("first_message_at").alias("first_message_at"), F.max("last_message_at").alias("last_message_at"),
+    )
+    seconds = F.timestamp_diff("SECOND", F.col("first_message_at"), F.col("last_message_at")).cast("double")
+    return total.withColumn("processing_rate", F.col("messages_processed") / F.greatest(seconds, F.lit(1.0)))
+
+
 def write_stats(tables: Mapping[str, DataFrame], time: str = "_time") -> DataFrame:
     """Points written and the newest stamp, per table."""
     return reduce(DataFrame.unionByName, [

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 TIE = ("event_id",)
 # Tasks may each keep n rows of the same series; this many groups share them before the last step.
 LIMIT_SALTS = 32
+# Spark's own limit for ranking before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+OPTIMIZED_LIMIT = 1000
 
 
 def order_columns(df: DataFrame, time: str = "_time", ties: Sequence[str] = TIE) -> list[str]:
@@ -44,21 +47,30 @@ def mean_by(df: DataFrame, by: Sequence[str], value: str = "_value", name: str =
     return aggregate(df.where(F.col(value).isNotNull()), by, F.avg, value, name)
 
 
-def _whole_rows(df: DataFrame, by: Sequence[str], pick: Callable[[Column, Column], Column],
-                order: Sequence[str]) -> DataFrame:
-    others = [c for c in df.columns if c not in by]
-    chosen = df.groupBy(*by).agg(pick(F.struct(*others), F.struct(*order)).alias("row"))
-    return chosen.select(*by, "row.*").select(*df.columns)
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
+def _whole_rows(df: DataFrame, by: Sequence[str], latest: bool, order: Sequence[str]) -> DataFrame:
+    """One whole row per group: a hash aggregate of the time alone, then a choice among the rows that have it.
+
+    So no task sorts all its rows to keep one per group. The times are one row per group.
+    """
+    time, *ties = order
+    edge = df.groupBy(*by).agg((F.max if latest else F.min)(time).alias(time))
+    met = df.alias("r").join(edge.alias("e"), _same("r", "e", [*by, time]), "left_semi")
+    ranks = [F.col(c).desc() if latest else F.col(c).asc() for c in (ties or [time])]
+    return _first_n(met, by, 1, ranks)
 
 
 def last_by(df: DataFrame, by: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """The whole row with the greatest time of each group. Every task sends one row per group."""
-    return _whole_rows(df, by, F.max_by, order or order_columns(df))
+    """The whole row with the greatest time of each group."""
+    return _whole_rows(df, by, True, order or order_columns(df))
 
 
 def first_by(df: DataFrame, by: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """The whole row with the least time of each group."""
-    return _whole_rows(df, by, F.min_by, order or order_columns(df))
+    """The whole row with the least time of each group; rows without a time come after all others."""
+    return _whole_rows(df, by, False, order or order_columns(df))
 
 
 def _first_n(df: DataFrame, keys: Sequence[str], n: int, order: list[Column]) -> DataFrame:
@@ -71,14 +83,28 @@ def limit_per_series(df: DataFrame, by: Sequence[str], n: int, newest: bool = Fa
     """First (or newest) n rows of every series.
 
     A series may hold a third of all rows, and each task may pass on n of them; salted groups cut
-    them down to n * LIMIT_SALTS before one task sees the whole series.
+    them down to n * LIMIT_SALTS before one task sees the whole series. Spark ranks inside a task before
+    the shuffle only up to OPTIMIZED_LIMIT rows; beyond it rows are counted by hour first, and only the hours
+    that can hold the first n rows are ranked.
     """
     names = order or order_columns(df)
     columns = [F.col(c).desc() if newest else F.col(c).asc() for c in names]
+    if n > OPTIMIZED_LIMIT:
+        return _first_n(_edge_hours(df, by, n, newest, names[0]), by, n, columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*names), F.lit(LIMIT_SALTS)))
     return _first_n(_first_n(salted, [*by, "_salt"], n, columns).drop("_salt"), by, n, columns)
 
 
+def _edge_hours(df: DataFrame, by: Sequence[str], n: int, newest: bool, time: str) -> DataFrame:
+    """Rows of the hours in which the first (or newest) n rows of their series lie."""
+    timed = df.withColumn("_hour", F.date_trunc("hour", time))
+    counts = timed.groupBy(*by, "_hour").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.partitionBy(*by).orderBy(F.col("_hour").desc() if newest else F.col("_hour").asc())
+    before = F.sum("_rows").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
+    wanted = counts.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < n)
+    return timed.alias("r").join(wanted.alias("e"), _same("r", "e", [*by, "_hour"]), "left_semi").drop("_hour")
+
+
 def newest(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:
     """The n newest rows of the whole table, newest first."""
     names = order or order_columns(df)
@@ -95,11 +121,19 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("_value")).distinct()
 
 
-def to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """One row per present field: the id columns, `_field`, `_value`."""
-    same_type = df.select(*ids, *[F.col(f).cast("double").alias(f) for f in fields])
-    long = same_type.unpivot(list(ids), list(fields), "_field", "_value")
-    return long.where(F.col("_value").isNotNull())
+def to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str], extra: str | None = None) -> DataFrame:
+    """One row per present field: the id columns, `_field`, `_value`.
+
+    `extra` names a map column with further fields; they come out in the same pass over the rows.
+    """
+    if extra is None:
+        same_type = df.select(*ids, *[F.col(f).cast("double").alias(f) for f in fields])
+        long = same_type.unpivot(list(ids), list(fields), "_field", "_value")
+        return long.where(F.col("_value").isNotNull())
+    declared = F.array(*[F.struct(F.lit(f).alias("key"), F.col(f).cast("double").alias("value")) for f in fields])
+    others = F.coalesce(F.map_entries(F.col(extra).cast("map<string,double>")), F.array())
+    entries = F.filter(F.concat(declared, others), lambda e: e["value"].isNotNull())
+    return df.select(*ids, F.inline(entries).alias("_field", "_value"))
 
 
 def pivot_fields(df: DataFrame, keys: Sequence[str], fields: Sequence[str],
@@ -156,11 +190,12 @@ def legend(df: DataFrame, by: Sequence[str], value: str, time: str = "_time",
            order: Sequence[str] | None = None) -> DataFrame:
     """Last present value, maximum and mean of each series."""
     present = df.where(F.col(value).isNotNull())
-    rank = F.struct(*(order or order_columns(df, time)))
-    return present.groupBy(*by).agg(
-        F.max_by(value, rank).alias("last_value"),
-        F.max(value).alias("max_value"),
-        F.avg(value).alias("mean_value"),
+    figures = present.groupBy(*by).agg(F.max(value).alias("max_value"), F.avg(value).alias("mean_value"))
+    last = last_by(present, by, order or order_columns(present, time))
+    return (
+        last.select(*by, F.col(value).alias("last_value")).alias("l")
+        .join(figures.alias("f"), _same("l", "f", by))
+        .select(*[F.col(f"l.{c}").alias(c) for c in by], "last_value", "max_value", "mean_value")
     )
 
 

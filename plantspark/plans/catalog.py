@@ -16,7 +16,9 @@ from plantspark.functions import panels, plant, rules
 from plantspark.operators import alerts as alert_ops, neighbours, normalise, quality, rollups, series
 from plantspark.plans import reports
 from plantspark.session import new_folder, prepare
-from plantspark.schemas import EVENT_FIELDS, EXPECTED_MEASUREMENTS, PIECE_FIELDS, SYSTEM_FIELDS
+from plantspark.schemas import (
+    EVENT_FIELDS, EXPECTED_MEASUREMENTS, EXPECTED_STORES, PIECE_FIELDS, SENSOR_FIELDS, SYSTEM_FIELDS,
+)
 from plantspark.sources import benchmark_views as views, messages as bus, tables
 from plantspark.streaming import closed_ranges, ingest, windows
 
@@ -180,6 +182,16 @@ def to_long(spark, sf_dir):
     return series.to_long(sensor(spark, sf_dir), ["event_id", "_time", "machine"], WIDE_FIELDS)
 
 
+def decoded_readings(spark, sf_dir) -> DataFrame:
+    return normalise.sensor_readings(checked(spark, sf_dir))
+
+
+@query
+def to_long_all_fields(spark, sf_dir):
+    """Every field of decoded readings, those that no layout declares included."""
+    return plain(series.to_long(decoded_readings(spark, sf_dir), ["_time", "machine"], SENSOR_FIELDS, "extra_fields"))
+
+
 @query
 def dedup_points(spark, sf_dir):
     """Alerts of equal measurement, tags and stamp are one point; the rule written last stays."""
@@ -303,6 +315,13 @@ def limit_per_series(spark, sf_dir):
     return series.limit_per_series(rows, LONG_SERIES, 100)
 
 
+@query
+def limit_per_series_2000(spark, sf_dir):
+    """More rows per series than Spark ranks before a shuffle by itself."""
+    rows = sensor(spark, sf_dir).select("event_id", "_time", "machine", "temperature")
+    return series.limit_per_series(rows, ["machine"], 2000, newest=True)
+
+
 @query
 def keep_columns(spark, sf_dir):
     """Without the other columns series merge: counts per machine only."""
@@ -383,6 +402,14 @@ def machine_all_sensors(spark, sf_dir):
     return reports.machine_all_sensors(sensor(spark, sf_dir), AS_OF, LOOKBACK)
 
 
+@query
+def machine_all_fields(spark, sf_dir):
+    """All decoded fields of one machine."""
+    rows = reports.machine_all_sensors(decoded_readings(spark, sf_dir), AS_OF, LOOKBACK)
+    extra = [F.try_element_at("extra_fields", F.lit(f)).alias(f) for f in ("coolant_level", "door_open")]
+    return plain(rows.select("_time", "machine", "machine_type", "location", *WIDE_FIELDS, *extra))
+
+
 @query
 def power_by_machine(spark, sf_dir):
     return reports.power_by_machine(sensor(spark, sf_dir), AS_OF, LOOKBACK)
@@ -553,11 +580,17 @@ def availability_pct(spark, sf_dir):
         reports.availability(events(spark, sf_dir), AS_OF, LOOKBACK, by=["machine"]), "availability_pct")
 
 
+@query
+def availability_by_tool(spark, sf_dir):
+    """Pieces and tools told apart, in a range that processing reaches over on both sides."""
+    return rounded(reports.availability(events(spark, sf_dir), "2024-01-20 00:00:00", "10 days"), "availability_pct")
+
+
 @query
 def temperature_power_corr(spark, sf_dir):
-    """Correlation of temperature and power means over hours, per machine."""
-    rows = sensor(spark, sf_dir)
-    return rounded(reports.temperature_power_corr(rows, AS_OF, LOOKBACK), "correlation")
+    """Correlation of the hourly means of two fields that are measured apart, per machine."""
+    rows = long_sensor(spark, sf_dir)
+    return rounded(reports.field_corr(rows, "temperature", "power", AS_OF, LOOKBACK), "correlation")
 
 
 @query
@@ -576,12 +609,23 @@ def tool_wear_trend(spark, sf_dir):
 def _counts(spark, sf_dir) -> DataFrame:
     return quality.measurement_counts({
         "sensor_data": (sensor(spark, sf_dir), WIDE_FIELDS),
-        "machine_events": (events(spark, sf_dir), [f for f in EVENT_FIELDS if f != "duration"]),
-        "piece_tracking": (pieces(spark, sf_dir), [f for f in PIECE_FIELDS if f != "distance"]),
+        "machine_events": (events(spark, sf_dir), ["tool_wear", "cycle_time"]),
+        "piece_tracking": (pieces(spark, sf_dir), ["duration", "priority"]),
         "system_tracking": (system(spark, sf_dir), SYSTEM_FIELDS),
     })
 
 
+@query
+def measurement_counts_decoded(spark, sf_dir):
+    """Values of every field that decoded messages bring, text fields and undeclared ones included."""
+    rows = checked(spark, sf_dir)
+    return quality.measurement_counts({
+        "sensor_data": (normalise.sensor_readings(rows), [*SENSOR_FIELDS, "extra_fields"]),
+        "machine_events": (normalise.machine_events(rows), EVENT_FIELDS),
+        "piece_tracking": (normalise.piece_movements(rows), PIECE_FIELDS),
+    })
+
+
 @query
 def measurement_counts(spark, sf_dir):
     return _counts(spark, sf_dir)
@@ -604,6 +648,14 @@ def gap_detection(spark, sf_dir):
     return quality.gaps(rows, ["machine"])
 
 
+@query
+def gap_detection_field(spark, sf_dir):
+    """Gaps of one field: readings without it do not close a gap."""
+    rows = views.view(views.events(spark, sf_dir), [
+        "event_id", "_time", "machine", "case when event_type = 'view' then value end as temperature"])
+    return quality.gaps(rows, ["machine"], field="temperature").drop("temperature")
+
+
 @query
 def gap_summary(spark, sf_dir):
     rows = sensor(spark, sf_dir).select("event_id", "_time", "machine")
@@ -618,13 +670,26 @@ def tag_combinations(spark, sf_dir):
 @query
 def missing_tables(spark, sf_dir):
     """Expected measurements and alert tables without any row."""
-    stored = _counts(spark, sf_dir).where(F.col("records") > 0).select("_measurement")
-    found = stored.unionByName(alert_rows(spark, sf_dir).select("_measurement"))
-    expected = [
-        *EXPECTED_MEASUREMENTS, "system_metrics", "temperature_alerts", "vibration_alerts", "system_alerts"]
+    raised = alert_rows(spark, sf_dir)
+    alert_tables = ["temperature_alerts", "vibration_alerts", "system_alerts"]
+    found = quality.present_names({
+        "sensor_data": sensor(spark, sf_dir), "machine_events": events(spark, sf_dir),
+        "piece_tracking": pieces(spark, sf_dir), "system_tracking": system(spark, sf_dir),
+        **{name: raised.where(F.col("_measurement") == name) for name in alert_tables},
+    })
+    expected = [*EXPECTED_MEASUREMENTS, "system_metrics", *alert_tables]
     return quality.missing_names(spark, expected, found, "_measurement")
 
 
+@query
+def missing_stores(spark, sf_dir):
+    """Expected stores that storage does not hold, after two of them have been written."""
+    root = new_folder(spark, "stores")
+    for name, rows in {"industrial_data": events(spark, sf_dir), "alerts": alert_rows(spark, sf_dir)}.items():
+        tables.append_batch(rows, root, name, 0)
+    return quality.missing_names(spark, EXPECTED_STORES, tables.stored_names(spark, root, EXPECTED_STORES), "name")
+
+
 @query
 def schema_violations(spark, sf_dir):
     parts = [
@@ -653,6 +718,24 @@ def rollup_hourly(spark, sf_dir):
     return rounded(_stored(spark, rows, "sensor_data_1h"), *WIDE_FIELDS)
 
 
+@query
+def rollup_hourly_all_fields(spark, sf_dir):
+    """Hourly means of every decoded field, a row per field."""
+    rows = rollups.hourly_means_long(decoded_readings(spark, sf_dir), AS_OF, LOOKBACK, "0 hours")
+    return rounded(plain(rows), "_value")
+
+
+@query
+def rollup_rerun(spark, sf_dir):
+    """A rollup of a range that is run again when rows are gone: no window of the first run is left over."""
+    root, rows = new_folder(spark, "history"), sensor(spark, sf_dir)
+    fewer = rows.where((F.col("machine") != "Saw1") & (F.col("_time") < F.lit("2024-01-20").cast("timestamp_ntz")))
+    for part in (rows, fewer):
+        means = rollups.hourly_means(part, AS_OF, LOOKBACK, "0 hours", fields=["temperature"])
+        tables.merge_windows(means, root, "sensor_data_1h", *tables.bounds(rows, AS_OF, LOOKBACK))
+    return rounded(spark.read.parquet(f"{root}/sensor_data_1h").drop("window_date"), "temperature")
+
+
 @query
 def rollup_daily(spark, sf_dir):
     rows = rollups.daily_cycle_time(events(spark, sf_dir), AS_OF, LOOKBACK, "0 days")
@@ -718,6 +801,16 @@ def stream_ingest_route(spark, sf_dir):
     return plain(reduce(DataFrame.unionByName, parts))
 
 
+@query
+def stream_ingest_statistics(spark, sf_dir):
+    """Running counters, read back from what continuous ingestion has stored for its batches."""
+    root = new_folder(spark, "ingest")
+    source = views.messages(views.event_stream(spark, sf_dir, FILES_PER_BATCH))
+    ingest.ingest(source, root, f"{root}/checkpoint", every=None).awaitTermination()
+    totals = rollups.pipeline_totals(tables.read_table(spark, root, "pipeline_stats"))
+    return rounded(plain(totals), "processing_rate")
+
+
 @query
 def alerts_stream(spark, sf_dir):
     root = new_folder(spark, "alerts")
@@ -756,14 +849,13 @@ def stream_distinct_points(spark, sf_dir):
     return plain(spark.read.parquet(f"{root}/points"))
 
 
-def _followed(spark, sf_dir, columns: list[str], keep: list[str], start) -> DataFrame:
-    """Result of a closed-range stream over the benchmark events, in day-wide ranges."""
+def _followed(spark, sf_dir, columns: list[str], keep: list[str], start, operator) -> DataFrame:
+    """Result of a closed-range stream over the benchmark events, finished at the end of its input."""
     root = new_folder(spark, "ranges")
     stream, table = _zoned(columns)
-    start(
-        stream(spark, sf_dir).select(*keep), lambda: table(spark, sf_dir).select(*keep), root,
-        f"{root}/checkpoint",
-    ).awaitTermination()
+    rows = lambda: table(spark, sf_dir).select(*keep)
+    start(stream(spark, sf_dir).select(*keep), rows, root, f"{root}/checkpoint").awaitTermination()
+    closed_ranges.finish(rows, operator, root, f"{root}/checkpoint")
     return plain(closed_ranges.results(root, table(spark, sf_dir)))
 
 
@@ -772,6 +864,7 @@ def stream_gaps(spark, sf_dir):
     return _followed(
         spark, sf_dir, views.SENSOR_WIDE, ["event_id", "_time", "machine"],
         lambda s, t, root, cp: closed_ranges.gap_stream(s, t, ["machine"], root, cp, every=None),
+        closed_ranges.gaps_over(["machine"]),
     )
 
 
@@ -780,15 +873,17 @@ def stream_moving_average(spark, sf_dir):
     rows = _followed(
         spark, sf_dir, views.SENSOR_LONG, ["event_id", "_time", *LONG_SERIES, "_value"],
         lambda s, t, root, cp: closed_ranges.moving_average_stream(s, t, LONG_SERIES, 10, root, cp, every=None),
+        closed_ranges.means_over(LONG_SERIES, 10),
     )
     return rounded(rows, "_value")
 
 
 @query
 def stream_cycle_time(spark, sf_dir):
+    kinds = ("processing_start", "processing_end")
     rows = _followed(
         spark, sf_dir, views.MACHINE_EVENTS, ["event_id", "_time", "machine", "event_type"],
-        lambda s, t, root, cp: closed_ranges.pair_stream(
-            s, t, ["machine"], "processing_start", "processing_end", root, cp, every=None),
+        lambda s, t, root, cp: closed_ranges.pair_stream(s, t, ["machine"], *kinds, root, cp, every=None),
+        closed_ranges.pairs_over(["machine"], *kinds),
     )
     return rounded(rows, "seconds")

@@ -116,6 +116,14 @@ select * from (
     cast(floor(epoch(_time - lag(_time) over (partition by machine order by _time, event_id))) as bigint) as elapsed
   from sensor_wide)
 where elapsed > 10""",
+    "all_fields": """
+select * from (
+  select stamped as _time, machine, machine_type,
+    unnest(['temperature', 'power', 'vibration_level', 'rpm_spindle', 'coolant_level', 'door_open']) as _field,
+    unnest([temperature, power, vibration_level, rpm_spindle, cast(k as double),
+      case when k % 2 = 0 then 1.0e0 else 0.0e0 end]) as _value
+  from msg where kind = 'sensor' and reason is null)
+where _value is not null""",
     "counts": """
 select 'sensor_data' as _measurement,
   count(temperature) + count(power) + count(vibration_level) + count(rpm_spindle) as records from sensor_wide
@@ -130,7 +138,7 @@ select max(ts) - interval 1 hour as upto from events""",
 NEEDS = {
     "base": [], "sensor_wide": ["base"], "sensor_long": ["base"], "machine_events": ["base"],
     "piece_tracking": ["base"], "system_tracking": ["base"], "alert": ["sensor_wide"], "msg": ["base"],
-    "distance": [], "metres": ["distance"], "pairs": ["machine_events"], "gaps": ["sensor_wide"],
+    "all_fields": ["msg"], "distance": [], "metres": ["distance"], "pairs": ["machine_events"], "gaps": ["sensor_wide"],
     "counts": ["sensor_wide", "machine_events", "piece_tracking", "system_tracking"], "closed": [],
 }
 
@@ -182,6 +190,18 @@ def _violations(measurement: str, table: str, checks: list[tuple[str, str, str]]
     )
 
 
+def _availability(by: str, start: str, stop: str, days: int) -> str:
+    return f"""
+, e as (select *, lag(event_type) over w as before, lag(_time) over w as since, row_number() over w as from_start,
+    row_number() over (partition by {by} order by _time desc, event_id desc) as from_end
+  from machine_events where _time >= {start} and _time < {stop} window w as (partition by {by} order by _time, event_id)),
+busy as (select machine, epoch(_time - since) as seconds from e
+    where event_type = 'processing_end' and before = 'processing_start'
+  union all select machine, epoch(_time - {start}) from e where event_type = 'processing_end' and from_start = 1
+  union all select machine, epoch({stop} - _time) from e where event_type = 'processing_start' and from_end = 1)
+select machine, round(sum(seconds) / ({days} * 86400) * 100 + 3.7e-10, 6) as availability_pct from busy group by machine"""
+
+
 def _outside(column: str, low: str, high: str) -> tuple[str, str, str]:
     return column, "range", f"{column} < {low} or {column} > {high}"
 
@@ -440,11 +460,14 @@ select severity, case severity when 'critical' then '🔴 CRITICAL' else '🟡 W
 from alert group by all"""),
     "filter_machines": over("sensor_wide", """
 select event_id, _time, machine, temperature, power from sensor_wide where machine in ('Milling2', 'Saw1')"""),
-    "availability_pct": over("pairs", """
-select machine, round(sum(epoch(_time - start_time)) / (30 * 86400) * 100 + 3.7e-10, 6) as availability_pct
-from pairs group by machine"""),
-    "temperature_power_corr": over("sensor_wide", f"""
-select machine, round(corr(temperature, power) + 3.7e-10, 6) as correlation from sensor_wide where {RANGE} group by machine"""),
+    "availability_pct": over("machine_events", _availability("machine", START, STOP, 30)),
+    "availability_by_tool": over("machine_events", _availability(
+        "machine, piece_id, tool", "timestamp '2024-01-10 00:00:00'", "timestamp '2024-01-20 00:00:00'", 10)),
+    "temperature_power_corr": over("sensor_long", f"""
+, w as (select machine, avg(_value) filter (where _field = 'temperature') as a, avg(_value) filter (where _field = 'power') as b
+  from sensor_long where {RANGE} group by machine, {_bucket('1 hour')})
+select machine, round(corr(a, b) + 3.7e-10, 6) as correlation, count(*) filter (where a is not null and b is not null) as windows
+from w group by machine"""),
     "machine_status": over("machine_events", f"""
 select event_id, _time, machine, event_type, case when event_type like '%start' then 'active'
   when event_type like '%end' then 'completed' else 'unknown' end as status
@@ -453,6 +476,35 @@ from machine_events where {RANGE} qualify row_number() over (partition by machin
 select machine, tool, round(regr_slope(tool_wear, epoch(_time - {START}) / 3600) + 3.7e-10, 6) as wear_per_hour,
   count(*) as readings from machine_events where tool is not null and {RANGE} group by machine, tool"""),
     "measurement_counts": over("counts", "select * from counts"),
+    "measurement_counts_decoded": over("msg all_fields", """
+select 'sensor_data' as _measurement, count(*) as records from all_fields
+union all select 'machine_events', count(*) + count(*) filter (where event = 'processing_start')
+  + count(*) filter (where event = 'processing_end') from msg where kind = 'machine'
+union all select 'piece_tracking', 3 * count(*) from msg where kind = 'piece'
+union all select 'system_tracking', 0"""),
+    "to_long_all_fields": over("all_fields", "select _time, machine, _field, _value from all_fields"),
+    "machine_all_fields": over("msg", f"""
+select stamped as _time, machine, machine_type, 'workshop_A' as location, temperature, power, vibration_level, rpm_spindle,
+  cast(k as double) as coolant_level, case when k % 2 = 0 then 1.0e0 else 0.0e0 end as door_open
+from msg where kind = 'sensor' and reason is null and machine = 'Milling1' and stamped >= {START} and stamped < {STOP}"""),
+    "rollup_hourly_all_fields": over("all_fields", f"""
+select machine, machine_type, 'workshop_A' as location, _field, {_window_end('1 hour')} as _time,
+  round(avg(_value) + 3.7e-10, 6) as _value
+from all_fields where {RANGE} group by machine, machine_type, _field, {_window_end('1 hour')}"""),
+    "rollup_rerun": over("sensor_wide", f"""
+select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature) + 3.7e-10, 6) as temperature
+from sensor_wide where {RANGE} and machine <> 'Saw1' and _time < timestamp '2024-01-20 00:00:00'
+group by machine, machine_type, location, {_window_end('1 hour')}"""),
+    "limit_per_series_2000": over("sensor_wide", """
+select event_id, _time, machine, temperature from sensor_wide
+qualify row_number() over (partition by machine order by _time desc, event_id desc) <= 2000"""),
+    "gap_detection_field": over("base", """
+select * from (
+  select event_id, _time, machine,
+    cast(floor(epoch(_time - lag(_time) over (partition by machine order by _time, event_id))) as bigint) as elapsed
+  from base where event_type = 'view' and value is not null)
+where elapsed > 10"""),
+    "missing_stores": "select unnest(['historical_data', 'system_metrics']) as name",
     "volume_report": over("counts", """
 ,
 t as (select cast(sum(records) as bigint) as total_records, count(*) filter (where records = 0) as empty_measurements
@@ -510,7 +562,7 @@ select machine, {_window_end('1 hour')} as _time, round(sum(cycle_time) + 3.7e-1
 from machine_events where event_type = 'processing_end' and {RANGE} group by machine, {_window_end('1 hour')}"""),
     "retention_filter": over("base", f"""
 select event_id, _time, machine from base where _time >= {STOP} - interval 7 days"""),
-    "message_stats": over("msg", """
+    **dict.fromkeys(["message_stats", "stream_ingest_statistics"], over("msg", """
 ,
 c as (select count(*) filter (where kind <> 'bad_json') as messages_received,
     count(*) filter (where reason is null) as messages_processed,
@@ -518,7 +570,7 @@ c as (select count(*) filter (where kind <> 'bad_json') as messages_received,
     count(*) filter (where reason = 'unknown_topic') as unknown_topics,
     min(arrived_at) as first_message_at, max(arrived_at) as last_message_at from msg)
 select *, round(messages_processed / greatest(floor(epoch(last_message_at - first_message_at)), 1) + 3.7e-10, 6)
-  as processing_rate from c"""),
+  as processing_rate from c""")),
     "write_stats": over("alert machine_events piece_tracking system_tracking", "\nunion all ".join(
         f"select '{name}' as _table, count(*) as points_written, max(_time) as last_time from {view}"
         for name, view in {
@@ -549,11 +601,10 @@ union all select 'rejects', arrived_at, topic, reason from msg where reason is n
 select {_LONG}, {_HOUR_END} as _time, round(avg(_value) + 3.7e-10, 6) as _value, count(_value) as readings
 from sensor_long where {_HOUR_END} <= (select upto from closed) group by {_LONG}, {_HOUR_END}"""),
     "stream_distinct_points": over("sensor_wide", "select event_id, _time, machine, temperature from sensor_wide"),
-    "stream_gaps": over("gaps closed", f"select * from gaps where {_HOUR_END} <= (select upto from closed)"),
-    "stream_moving_average": over("sensor_long closed", _MOVING.format(
-        tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")
-        + f" and {_HOUR_END} <= (select upto from closed)"),
-    "stream_cycle_time": over("pairs closed", f"""
+    "stream_gaps": over("gaps", "select * from gaps"),
+    "stream_moving_average": over("sensor_long", _MOVING.format(
+        tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")),
+    "stream_cycle_time": over("pairs", """
 select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time) + 3.7e-10, 6) as seconds
-from pairs where {_HOUR_END} <= (select upto from closed)"""),
+from pairs"""),
 }

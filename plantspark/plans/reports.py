@@ -47,8 +47,8 @@ def machine_temperature(sensor: DataFrame, as_of: Moment, lookback: str = "1 hou
 
 def machine_all_sensors(sensor: DataFrame, as_of: Moment, lookback: str = "30 minutes",
                         machine: str = "Milling1") -> DataFrame:
-    """All fields of one machine, a row per stamp."""
-    fields = [f for f in SENSOR_FIELDS if f in sensor.columns]
+    """All fields of one machine, a row per stamp; undeclared ones in the map `extra_fields`, if the table has it."""
+    fields = [f for f in (*SENSOR_FIELDS, "extra_fields") if f in sensor.columns]
     rows = recent(sensor, as_of, lookback).where(F.col("machine") == machine)
     return rows.select(*_ids(sensor), "_time", *_tags(sensor), *fields)
 
@@ -152,14 +152,27 @@ def machine_status(events: DataFrame, as_of: Moment, lookback: str = "24 hours")
 
 def availability(events: DataFrame, as_of: Moment, lookback: str = "24 hours",
                  by: Sequence[str] = ("machine", "piece_id", "tool")) -> DataFrame:
-    """Percent of the range each machine spent between a processing start and its end."""
+    """Percent of the range each machine spent between a processing start and its end.
+
+    Processing that reaches over an edge of the range counts up to it: a series whose first event in
+    the range is an end was busy from the start of the range, one whose last event is a start is busy until
+    its stop.
+    """
     start, stop = bounds(events, as_of, lookback)
-    pairs = start_end_pairs(
-        time_range(events, start, stop).select(*_ids(events), "_time", "event_type", *by),
-        by, "processing_start", "processing_end",
+    inside = time_range(events, start, stop).select(*_ids(events), "_time", "event_type", *by)
+    named = inside.where(F.col("event_type").isNotNull())
+    pairs = start_end_pairs(inside, by, "processing_start", "processing_end").select("machine", "seconds")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    head = series.first_by(named, by).where(F.col("event_type") == "processing_end")
+    tail = series.last_by(named, by).where(F.col("event_type") == "processing_start")
+    busy = (
+        pairs.unionByName(head.select("machine", ((micros(F.col("_time")) - micros(start)) / F.lit(1e6)).alias("seconds")))
+        .unionByName(tail.select("machine", ((micros(stop) - micros(F.col("_time"))) / F.lit(1e6)).alias("seconds")))
+    )
+    span = (micros(stop) - micros(start)) / F.lit(1e6)
+    return busy.groupBy("machine").agg(F.sum("seconds").alias("seconds")).select(
+        "machine", (F.col("seconds") / span * 100.0).alias("availability_pct"),
     )
-    span = (F.unix_micros(stop.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
-    return pairs.groupBy("machine").agg((F.sum("seconds") / F.first(span) * 100.0).alias("availability_pct"))
 
 
 def tool_wear_trend(events: DataFrame, as_of: Moment, lookback: str = "24 hours") -> DataFrame:
@@ -257,11 +270,24 @@ def temperature_power(sensor: DataFrame, as_of: Moment, lookback: str = "2 hours
 
 
 def temperature_power_corr(sensor: DataFrame, as_of: Moment, lookback: str = "2 hours") -> DataFrame:
+    """Correlation over the readings that have both fields."""
     return recent(sensor, as_of, lookback).groupBy("machine").agg(
         F.corr("temperature", "power").alias("correlation"),
     )
 
 
+def field_corr(long: DataFrame, first: str, second: str, as_of: Moment, lookback: str = "24 hours",
+               every: str = "1 hour") -> DataFrame:
+    """Correlation, per machine, of the window means of two fields of a long table; windows without one of them are left out."""
+    rows = recent(long, as_of, lookback).where(F.col("_field").isin(first, second))
+    mean = lambda f: F.avg(F.when(F.col("_field") == f, F.col("_value"))).alias(f)
+    windows = series.window_aggregate(rows, ["machine"], every, [mean(first), mean(second)])
+    return windows.groupBy("machine").agg(
+        F.corr(first, second).alias("correlation"),
+        F.count_if(F.col(first).isNotNull() & F.col(second).isNotNull()).alias("windows"),
+    )
+
+
 def distinct_machines(sensor: DataFrame, as_of: Moment, lookback: str = "24 hours") -> DataFrame:
     return series.distinct_values(recent(sensor, as_of, lookback), "machine")
 

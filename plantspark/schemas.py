@@ -21,9 +21,9 @@ SENSOR_FIELDS = [
 ]
 SENSOR_TAGS = ["machine", "machine_type", "location"]
 EVENT_TAGS = ["machine", "event_type", "piece_id", "tool"]
-EVENT_FIELDS = ["duration", "tool_wear", "cycle_time"]
+EVENT_FIELDS = ["duration", "status", "tool_wear", "cycle_time"]
 PIECE_TAGS = ["piece_id", "event_type", "from_station", "to_station", "material"]
-PIECE_FIELDS = ["duration", "distance", "priority"]
+PIECE_FIELDS = ["duration", "distance", "operator", "priority"]
 SYSTEM_TAGS = ["component", "metric_type", "severity"]
 SYSTEM_FIELDS = ["cpu", "free_memory", "ram", "errors", "memory_used_percent", "uptime_seconds"]
 
@@ -51,6 +51,10 @@ ALERTS = _struct(
     message=S, value=D, resolved=B,
 )
 REJECTS = _struct(topic=S, payload=S, arrived_at=TS, reason=S)
+PIPELINE_STATS = _struct(
+    _time=TS, messages_received=L, messages_processed=L, errors=L, unknown_topics=L,
+    first_message_at=TS, last_message_at=TS, processing_rate=D,
+)
 
 TABLES = {
     "sensor_data": SENSOR_DATA,
@@ -59,6 +63,7 @@ TABLES = {
     "system_tracking": SYSTEM_TRACKING,
     "alerts": ALERTS,
     "rejects": REJECTS,
+    "pipeline_stats": PIPELINE_STATS,
 }
 
 # Measurements every plant store should hold, and its stores.

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plantspark.functions.panels import RANGE_PRESETS
 from plantspark.schemas import RETENTION_DAYS, TABLES
@@ -103,6 +103,11 @@ def days_of(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(name.split("=")[1] for name in names if name.startswith(f"{column}=") and not name.endswith("__"))
 
 
+def _names(spark: SparkSession, path: str) -> set[str]:
+    folder, files = _folder(spark, path)
+    return {status.getPath().getName() for status in files.listStatus(folder)}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     folder, files = _folder(spark, path)
     files.delete(folder, True)
@@ -150,9 +155,7 @@ def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Co
             kept = old.where(F.col("window_date").between(F.to_date(start), F.to_date(stop)))
             kept = kept.where((F.col(time) <= start) | (F.col(time) > stop))
             filed = filed.unionByName(kept, allowMissingColumns=True)
-        written = Observation()
-        if present:
-            filed = filed.observe(written, *[F.count_if(F.col("window_date") == F.lit(day)).alias(day) for day in present])
+        before = {day: _names(spark, f"{path}/window_date={day}") for day in present}
         (
             filed.hint("rebalance", "window_date")
             .write.mode("overwrite")
@@ -160,8 +163,8 @@ def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Co
             .partitionBy("window_date")
             .parquet(path)
         )
-        for day in present:
-            if not written.get[day]:
+        for day in present:  # every job names its files anew, so a day with its old files got no windows
+            if _names(spark, f"{path}/window_date={day}") == before[day]:
                 delete(spark, f"{path}/window_date={day}")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from plantspark.functions.rules import DEFAULTS, Thresholds
 from plantspark.operators import normalise
 from plantspark.operators.alerts import alerts
+from plantspark.operators.rollups import message_stats
 from plantspark.sources.messages import decode, route
 from plantspark.sources.tables import append_batch, run_of
 
@@ -46,7 +47,8 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
 
     A batch that is replayed after a failure replaces its own files, so nothing is lost or doubled; a
     job with a new checkpoint is a new run and adds to what is there.
-    Running counters are reported as the observed metrics `ingest` of each batch.
+    Running counters are reported as the observed metrics `ingest` of each batch, and every batch whose
+    tables are written leaves its statistics in `pipeline_stats`.
     """
     rows = checked(messages, deposit_as_piece)
     counted = rows.observe(
@@ -66,6 +68,8 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
                 writes = [pool.submit(append_batch, rows, root, name, batch_id, time, run) for name, rows, time in parts]
             for write in writes:
                 write.result()
+            stats = message_stats(batch).withColumn("_time", F.col("last_message_at")).where("_time is not null")
+            append_batch(stats, root, "pipeline_stats", batch_id, "_time", run)
         finally:
             batch.unpersist()
 

@@ -193,3 +193,91 @@ def test_expired_days_are_dropped(spark, root):
         assert sorted(r["temperature"] for r in spark.table("plant.sensor_data").collect()) == [float(d) for d in range(2, 10)]
     finally:
         spark.sql("drop database plant cascade")
+
+
+def test_expired_days_of_stored_tables_are_deleted(spark, root):
+    rows = sensor(spark, *[(d * 86400, "Saw1", float(d), 1.0) for d in range(10)])
+    for batch in (0, 1):
+        tables.append_batch(rows, root, "sensor_data", batch)
+    gone = tables.expire_stored_days(spark, root, "sensor_data", "industrial_data", datetime(2024, 1, 10).date())
+    assert gone == ["2024-01-01", "2024-01-02"]
+    assert tables.read_table(spark, root, "sensor_data").count() == 16
+    assert tables.days_of(spark, f"{root}/sensor_data", "event_date")[0] == "2024-01-03"
+
+
+def test_a_fresh_checkpoint_is_a_new_run(spark, root):
+    first, second = (tables.run_of(spark, f"{root}/{name}") for name in ("a", "b"))
+    assert first != second and tables.run_of(spark, f"{root}/a") == first
+    tables.append_batch(sensor(spark, (0, "Saw1", 1.0, 1.0)), root, "sensor_data", 0, run=first)
+    tables.append_batch(sensor(spark, (0, "Lathe1", 2.0, 1.0)), root, "sensor_data", 0, run=second)
+    tables.append_batch(sensor(spark, (0, "Lathe1", 3.0, 1.0)), root, "sensor_data", 0, run=second)
+    assert sorted(r["temperature"] for r in tables.read_table(spark, root, "sensor_data").collect()) == [1.0, 3.0]
+
+
+def test_stored_and_empty_tables_have_one_layout(spark, root):
+    empty = tables.read_table(spark, root, "sensor_data")
+    tables.append_batch(sensor(spark, (0, "Saw1", 1.0, 1.0)), root, "sensor_data", 0)
+    assert tables.read_table(spark, root, "sensor_data").schema == empty.schema
+
+
+def merge(spark, root, rows, now="2024-01-04 00:00:00", lookback="3 days"):
+    start, stop = tables.bounds(rows, now, lookback)
+    tables.merge_windows(rollups.hourly_means(rows, now, lookback, "0 hours", fields=["temperature"]), root, "h", start, stop)
+    return sorted(r["_time"] for r in spark.read.schema("_time timestamp").parquet(f"{root}/h").collect())
+
+
+def test_a_merge_that_yields_less_leaves_nothing_behind(spark, root):
+    rows = sensor(spark, *[(d * 86400 + h * 3600, "Saw1", 1.0, 1.0) for d in range(3) for h in (1, 5)])
+    assert len(merge(spark, root, rows)) == 6
+    assert merge(spark, root, rows.where("_time < '2024-01-02'")) == [at(2 * 3600), at(6 * 3600)]
+    assert merge(spark, root, rows.where("temperature > 5")) == []
+    assert len(merge(spark, root, rows)) == 6
+    assert len(merge(spark, root, rows.limit(0), "2024-01-02 00:00:00", "1 day")) == 4
+
+
+def test_a_second_merge_is_refused_while_one_runs(spark, root):
+    rows = sensor(spark, (0, "Saw1", 1.0, 1.0))
+    folder, files = tables._folder(spark, f"{root}/h.lock")
+    files.createNewFile(folder)
+    with pytest.raises(RuntimeError):
+        merge(spark, root, rows)
+    files.delete(folder, False)
+    assert len(merge(spark, root, rows)) == 1
+
+
+def test_processing_that_reaches_over_the_edges_counts(spark):
+    columns = "event_id bigint, _time timestamp, machine string, event_type string, piece_id string, tool string"
+    rows = spark.createDataFrame(
+        [(0, at(-7200), "a", "processing_start", "P", None), (1, at(3600), "a", "processing_end", "P", None),
+         (2, at(7200), "a", "processing_start", "Q", None), (3, at(100_000), "a", "processing_end", "Q", None)], columns)
+    found = reports.availability(rows, "2024-01-02 00:00:00").first()["availability_pct"]
+    assert found == pytest.approx(100 * 23 / 24)
+
+
+def test_counts_include_text_and_undeclared_fields(spark):
+    rows = spark.createDataFrame(
+        [(1.0, "ok", {"x": 1.0, "y": None}), (None, None, None)], "temperature double, status string, extra_fields map<string,double>")
+    counts = quality.measurement_counts({"sensor_data": (rows, ["temperature", "status", "extra_fields"])}, ["sensor_data"])
+    assert counts.collect() == [("sensor_data", 3)]
+
+
+def test_gaps_of_one_field(spark):
+    rows = sensor(spark, (0, "Saw1", 1.0, 1.0), (8, "Saw1", None, 1.0), (16, "Saw1", 2.0, 1.0))
+    assert quality.gaps(rows, ["machine"]).count() == 0
+    assert [r["elapsed"] for r in quality.gaps(rows, ["machine"], field="temperature").collect()] == [16]
+
+
+def test_limits_are_checked_however_they_are_made():
+    from plantspark.functions.rules import Thresholds
+
+    for wrong in ({"temperature_warning": -1.0}, {"power_critical": 1.0}, {"milling_rpm": (5.0, 1.0)}):
+        with pytest.raises(ValueError):
+            Thresholds(**wrong)
+
+
+def test_hourly_means_of_every_field(spark):
+    rows = spark.createDataFrame(
+        [(at(10), "Saw1", 1.0, {"coolant": 4.0}), (at(20), "Saw1", 3.0, {"coolant": 6.0})],
+        "_time timestamp, machine string, temperature double, extra_fields map<string,double>")
+    found = rollups.hourly_means_long(rows, "2024-01-01 02:00:00", by=["machine"], fields=["temperature"])
+    assert sorted((r["_field"], r["_value"]) for r in found.collect()) == [("coolant", 5.0), ("temperature", 2.0)]

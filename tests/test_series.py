@@ -89,17 +89,57 @@ def test_pairs_are_exact_for_any_chunking(spark, skewed, chunking):
 @pytest.mark.parametrize("max_rows", [3])
 def test_chunks_are_bounded(spark, skewed, max_rows):
     chunked, keys = neighbours.in_chunks(table(spark, skewed), ["machine"], tie="event_id", chunking=Chunking(max_rows))
-    assert keys == ["_piece"]
+    assert keys == ["machine", "_chunk", "_sub"]
     sizes = chunked.groupBy("machine", "_chunk", "_sub").count().agg(F.max("count")).first()[0]
     assert sizes <= max_rows
 
 
-def test_pieces_that_share_a_hash_stay_apart(spark, skewed, monkeypatch):
-    expected = neighbours.elapsed(table(spark, skewed), ["machine"], chunking=CHUNKINGS[1]).collect()
-    monkeypatch.setattr(neighbours, "piece_hash", lambda by: F.pmod(F.xxhash64(*by, "_chunk"), F.lit(3)))
-    found = neighbours.elapsed(table(spark, skewed), ["machine"], chunking=CHUNKINGS[1])
-    assert sorted(r["event_id"] * 10**6 + r["elapsed"] for r in found.collect()) == sorted(
-        r["event_id"] * 10**6 + r["elapsed"] for r in expected)
+@pytest.mark.parametrize("width", [1, 3_900, 15_000_000])
+def test_any_width_gives_the_same(spark, skewed, width):
+    rows = table(spark, skewed)
+    plain = sorted(neighbours.elapsed(rows, ["machine"]).collect())
+    assert sorted(neighbours.elapsed(rows, ["machine"], chunking=Chunking(width=width)).collect()) == plain
+
+
+def test_no_job_runs_before_the_result_is_asked_for(spark, skewed):
+    rows = table(spark, skewed)
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    neighbours.elapsed(rows, ["machine"])
+    neighbours.moving_average(rows, ["machine"], 10)
+    neighbours.start_end_pairs(rows.withColumn("event_type", F.lit("start")), ["machine"], "start", "end")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_one_row_per_group_needs_no_sorted_aggregate(spark, skewed):
+    rows = table(spark, skewed)
+    for found in (series.last_by(rows, ["machine"]), series.first_by(rows, ["machine"]), series.legend(rows, ["machine"], "_value")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("newest", [False, True])
+def test_limits_beyond_what_spark_ranks_by_itself(spark, skewed, newest, monkeypatch):
+    monkeypatch.setattr(series, "OPTIMIZED_LIMIT", 4)
+    expected = []
+    for group in by_machine(skewed).values():
+        expected += [r[0] for r in (group[-7:] if newest else group[:7])]
+    found = series.limit_per_series(table(spark, skewed), ["machine"], 7, newest=newest)
+    assert sorted(r["event_id"] for r in found.collect()) == sorted(expected)
+
+
+def test_rows_of_equal_time_and_missing_tags(spark):
+    rows = table(spark, [(1, at(5), None, 1.0), (2, at(5), None, 2.0), (3, at(4), None, 3.0), (4, at(5), "a", 4.0)])
+    assert sorted(r["event_id"] for r in series.last_by(rows, ["machine"]).collect()) == [2, 4]
+    assert sorted(r["event_id"] for r in series.first_by(rows, ["machine"]).collect()) == [3, 4]
+    assert sorted((r["machine"] or "", r["last_value"]) for r in series.legend(rows, ["machine"], "_value").collect()) == [("", 2.0), ("a", 4.0)]
+
+
+def test_long_rows_of_undeclared_fields(spark):
+    rows = spark.createDataFrame(
+        [(1, 2.0, {"coolant": 5.0, "none": None}), (2, None, None)], "event_id bigint, temperature double, extra_fields map<string,double>")
+    found = series.to_long(rows, ["event_id"], ["temperature"], "extra_fields")
+    assert sorted(found.collect()) == [(1, "coolant", 5.0), (1, "temperature", 2.0)]
 
 
 def test_pairs_need_the_same_piece_and_tool(spark):

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from plantspark.operators import alerts as alert_ops, neighbours, quality, series
+from plantspark.operators import alerts as alert_ops, neighbours, quality, rollups, series
 from plantspark.sources import benchmark_views as views, messages as bus, tables
 from plantspark.streaming import closed_ranges, ingest, windows
 
@@ -157,3 +157,32 @@ def test_pairs_over_closed_ranges(spark, root):
         spark, root, lambda s, t, out, cp: closed_ranges.pair_stream(s, t, ["machine"], "start", "end", out, cp, every=None))
     expected = neighbours.start_end_pairs(table, ["machine"], "start", "end").where(closed)
     assert expected.count() > 20 and same(found.select(*expected.columns), expected)
+
+
+def test_finished_ranges_equal_the_batch(spark, root):
+    by = ["machine"]
+    table, _, _ = follow(spark, root, lambda s, t, out, cp: closed_ranges.gap_stream(s, t, by, out, cp, longer_than=60, every=None))
+    expected = quality.gaps(table, by, longer_than=60)
+    for _ in range(2):
+        closed_ranges.finish(lambda: table, closed_ranges.gaps_over(by, 60), f"{root}/out", f"{root}/checkpoint")
+        assert same(closed_ranges.results(f"{root}/out", table).select(*expected.columns), expected)
+
+
+def test_only_the_newest_history_is_kept_and_silent_series_are_forgotten(spark, root):
+    by = ["machine"]
+    follow(spark, root, lambda s, t, out, cp: closed_ranges.gap_stream(
+        s, t, by, out, cp, longer_than=60, every=None, forget_after="1 hour"))
+    kept = spark.read.parquet(f"{root}/out/history")
+    assert kept.select("batch").distinct().count() <= 2 and kept.count() <= 6
+
+
+def test_statistics_of_ingestion_are_stored(spark, root):
+    rows = [("/plant/data/Saw1", '{"entity":"Saw1","data":{"temperature":1}}', T0), ("/plant/data/Saw1", "{", T0), ("/plant/x", "{}", T0)]
+    for k in range(2):
+        part = spark.createDataFrame([(t, p, at + timedelta(seconds=k)) for t, p, at in rows], "topic string, payload string, arrived_at timestamp")
+        store(part, f"{root}/in", k)
+        ingest.ingest(bus.message_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
+    stats = tables.read_table(spark, f"{root}/out", "pipeline_stats")
+    found = rollups.pipeline_totals(stats).first()
+    assert stats.count() == 2 and (found["messages_received"], found["messages_processed"], found["unknown_topics"]) == (4, 2, 2)
+    assert found["processing_rate"] == 2.0
