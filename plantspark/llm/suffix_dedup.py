@@ -41,6 +41,7 @@ DENSE = 128
 NARROWER = (16, 1)
 SEGMENT = 1 << 18
 SHARD_BYTES = 2_000_000
+RANGES = "array<struct<a: bigint, z: bigint>>"
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -148,21 +149,29 @@ def sorted_directly(places: np.ndarray, word: np.ndarray, hashes: np.ndarray, de
     _, one, which = np.unique(hashes[places], return_index=True, return_inverse=True)
     chosen = places[one]
     rank = np.zeros(len(chosen), dtype=np.int64)
-    open_ = np.arange(len(chosen))
+    # the undecided ones, in order of what has been compared; equal so far: same group, numbered by its first rank
+    open_, group = np.arange(len(chosen)), np.zeros(len(chosen), dtype=np.int64)
     for at in range(0, depth, 8):
         if not len(open_):
             break
         key = word[chosen[open_] + at]
-        order = np.lexsort((key, rank[open_]))
-        sorted_, key, old = open_[order], key[order], rank[open_][order]
-        new = np.concatenate(([True], (old[1:] != old[:-1]) | (key[1:] != key[:-1])))
+        head = np.concatenate(([True], group[1:] != group[:-1]))
+        differ = np.concatenate(([False], key[1:] != key[:-1])) & ~head
+        if not differ.any():
+            continue
+        number = np.cumsum(head) - 1
+        mixed = np.zeros(number[-1] + 1, dtype=bool)
+        mixed[number[differ]] = True
+        part = np.flatnonzero(mixed[number])  # only groups that fall apart here are sorted
+        order = np.lexsort((key[part], number[part])) if number[-1] else np.argsort(key[part], kind="stable")
+        open_[part], key[part] = open_[part][order], key[part][order]
+        new = head | np.concatenate(([True], key[1:] != key[:-1]))
         first = np.flatnonzero(new)
-        head = np.concatenate(([True], old[1:] != old[:-1]))
-        start = np.maximum.accumulate(np.where(head, np.arange(len(old)), 0))
-        place = np.repeat(first, np.diff(np.append(first, len(old))))
-        rank[sorted_] = old + place - start
-        alone = np.repeat(np.diff(np.append(first, len(old))) == 1, np.diff(np.append(first, len(old))))
-        open_ = sorted_[~alone]
+        size = np.diff(np.append(first, len(key)))
+        group = group + np.repeat(first, size) - np.flatnonzero(head)[number]
+        rank[open_] = group
+        left = np.repeat(size > 1, size)
+        open_, group = open_[left], group[left]
     return places[np.argsort(rank[which], kind="stable")]
 
 
@@ -249,7 +258,7 @@ def cut(body: bytes, place: int, width: int, narrow: int, length: int) -> Iterat
 
 
 def spans_of(pieces: DataFrame, length: int, width: int, dense: int, narrower: tuple[int, ...]) -> DataFrame:
-    """pieces: core, p1, p2, n, place, size, body; distinct. Returns p1, p2, from, to (of bytes that go)."""
+    """pieces: core, p1, p2, n, place, size, body; distinct. Returns p1, p2, ranges (of bytes that go), a row per piece."""
     spark = pieces.sparkSession
     sizes = pieces.groupBy("core").agg(F.count("*").alias("k"))
     dense_cores = stored(sizes.filter(F.col("k") > dense).select("core"), "suffix-dense") if narrower else None
@@ -260,12 +269,14 @@ def spans_of(pieces: DataFrame, length: int, width: int, dense: int, narrower: t
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["p1", "p2"])
-        rows = list(repeated_spans(group["body"].tolist(), group["n"].to_numpy(), length))
-        index = [r[0] for r in rows]
-        return pd.DataFrame({"p1": group["p1"].to_numpy()[index], "p2": group["p2"].to_numpy()[index], "from": [r[1] for r in rows], "to": [r[2] for r in rows]})
+        found: dict[int, list[dict]] = {}
+        for i, a, z in repeated_spans(group["body"].tolist(), group["n"].to_numpy(), length):
+            found.setdefault(i, []).append({"a": a, "z": z})
+        index = np.array(list(found), dtype=np.int64)
+        return pd.DataFrame({"p1": group["p1"].to_numpy()[index], "p2": group["p2"].to_numpy()[index], "ranges": list(found.values())})
 
     shard = F.pmod(F.xxhash64("core"), F.lit(shards)).alias("shard")
-    schema = "p1 long, p2 long, from long, to long"
+    schema = f"p1 long, p2 long, ranges {RANGES}"
     out = stored(thin.select("p1", "p2", "n", "body", shard).groupBy("shard").applyInPandas(sort, schema), "suffix-spans")
     if not some:
         return out
@@ -285,11 +296,25 @@ def spans_of(pieces: DataFrame, length: int, width: int, dense: int, narrower: t
         F.sum("n").alias("n"), F.first("place").alias("place"), F.first("size").alias("size"), F.first("body").alias("body")
     )
     below = spans_of(stored(own, "suffix-pieces"), length, narrower[0], dense, narrower[1:])
-    back = parts.select("up1", "up2", "at", "p1", "p2").join(below, ["p1", "p2"])
-    back = back.select(F.col("up1").alias("p1"), F.col("up2").alias("p2"), (F.col("from") + F.col("at")).alias("from"), (F.col("to") + F.col("at")).alias("to"))
+    moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["z"] + F.col("at")).alias("z")))
+    back = parts.select("up1", "up2", "at", "p1", "p2").join(below, ["p1", "p2"]).select("up1", "up2", moved.alias("ranges"))
+    back = together(back.withColumnsRenamed({"up1": "p1", "up2": "p2"}), ["p1", "p2"])
     return out.unionByName(stored(back, "suffix-back"))
 
 
+def together(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Collects the ranges of each key (those of one text or piece) and merges them."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))
+        for batch in batches:
+            out = [[{"a": a, "z": z} for a, z in merged([(r["a"], r["z"]) for r in x])] for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=[*by, "ranges"])
+
+    found = rows.groupBy(*by).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return found.mapInArrow(merge, f"{by[0]} long, {by[1]} long, ranges {RANGES}")
+
+
 def merged(ranges: list) -> list[tuple[int, int]]:
     """Ranges that overlap or touch become one."""
     out: list[list[int]] = []
@@ -307,7 +332,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     keyed = with_key(docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")), "_id", "_text")
     keyed = keyed.select(*KEY, "_id", F.coalesce(F.col("_text").cast("binary"), F.lit(b"")).alias("_raw"))
     found = stored(search_pieces(keyed, length, core), "suffix-search")
-    twice = found.groupBy("core").agg(F.count("*").alias("k")).filter("k > 1").select("core")
+    twice = stored(found.groupBy("core").agg(F.count("*").alias("k")).filter("k > 1").select("core"), "suffix-twice")
     found = stored(found.join(twice, "core"), "suffix-found")
     own = found.groupBy("core", "p1", "p2").agg(
         F.count("*").alias("n"), F.min("size").alias("size"), F.min("place").alias("place"),
@@ -319,23 +344,25 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     pieces = stored(texts.join(own, KEY).select("core", "p1", "p2", "n", "place", "size", body), "suffix-pieces")
     spans = spans_of(pieces, length, length - core + 1, dense, narrower)
 
-    ranges = found.select(*KEY, "start", "p1", "p2").join(spans, ["p1", "p2"])
-    ranges = ranges.select(*KEY, F.struct((F.col("start") + F.col("from")).alias("a"), (F.col("start") + F.col("to")).alias("z")).alias("r"))
-    ranges = stored(ranges.groupBy(*KEY).agg(F.collect_list("r").alias("_ranges")), "suffix-ranges")
+    moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["z"] + F.col("start")).alias("z")))
+    ranges = found.select(*KEY, "start", "p1", "p2").join(spans, ["p1", "p2"]).select(*KEY, moved.alias("ranges"))
+    ranges = stored(together(ranges, KEY), "suffix-ranges")
 
-    def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         for batch in batches:
             spans_, kept = [], []
-            for body_, ranges_ in zip(batch["_raw"], batch["_ranges"], strict=True):
-                goes = merged([(r["a"], r["z"]) for r in ranges_])
+            for body_, ranges_ in zip(batch.column(1), batch.column(2), strict=True):
+                goes = [(r["a"], r["z"]) for r in ranges_.as_py()]
+                body_ = body_.as_py()
                 edges = [0, *[x for s in goes for x in s], len(body_)]
                 kept.append(b"".join(body_[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
                 spans_.append([{"from": a, "to": z} for a, z in goes])
-            yield pd.DataFrame({"_id": batch["_id"], "_raw": batch["_raw"], "spans": spans_, "kept": kept})
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans_, kind), pa.array(kept, pa.binary())], names=["_id", "_raw", "spans", "kept"])
 
     kind = keyed.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, _raw binary, spans array<struct<from: long, to: long>>, kept binary"
-    some = having(keyed, ranges.select(*KEY), "suffix-keys").join(ranges, KEY).select("_id", "_raw", "_ranges").mapInPandas(cut_out, schema)
+    some = having(keyed, ranges.select(*KEY), "suffix-keys").join(ranges, KEY).select("_id", "_raw", "ranges").mapInArrow(cut_out, schema)
     whole = without(keyed, ranges.select(*KEY)).select(
         "_id", "_raw", F.array().cast("array<struct<from: bigint, to: bigint>>").alias("spans"), F.col("_raw").alias("kept")
     )
