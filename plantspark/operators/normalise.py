@@ -9,8 +9,9 @@ from plantspark.functions.plant import event_status, machine_type, piece_materia
 from plantspark.functions.rules import DEFAULTS, Thresholds, anomalies, described
 from plantspark.functions.stamps import parse_timestamp
 from plantspark.schemas import SENSOR_FIELDS
+from plantspark.sources.messages import numeric_fields
 
-MADE_BY_DECODE = ["readable", "is_object", "entity", "event", "stamp", "data", "data_kind", "kind", "reason"]
+MADE_BY_DECODE = ["readable", "is_object", "entity", "event", "stamp", "body", "data", "data_kind", "kind", "reason"]
 
 
 def _data(key: str) -> str:
@@ -100,13 +101,8 @@ def rejects(checked: DataFrame) -> DataFrame:
     return checked.where("reason is not null").select("topic", "payload", "arrived_at", "reason")
 
 
-def numeric_fields() -> str:
-    """Map of the numeric and boolean entries of `data`, as doubles."""
-    return "transform_values(map_filter(data, (name, e) -> e.number is not null), (name, e) -> e.number)"
-
-
 def numeric_fields_long(decoded: DataFrame) -> DataFrame:
-    """One row per numeric entry of `data`: `_field`, `_value`."""
+    """One row per numeric entry of the data: `_field`, `_value`."""
     keep = [c for c in decoded.columns if c not in MADE_BY_DECODE]
     return decoded.select(*keep, F.explode(F.expr(numeric_fields())).alias("_field", "_value"))
 

@@ -97,7 +97,7 @@ def decode_envelope(spark, sf_dir):
     rows = bus.decode(views.messages(views.events(spark, sf_dir)))
     return plain(rows.where("readable").select(
         "arrived_at", F.col("entity.text").alias("entity"), F.col("event.text").alias("event"),
-        F.size("data").cast("bigint").alias("entries"),
+        F.size("body").cast("bigint").alias("entries"),
     ))
 
 

@@ -59,11 +59,21 @@ def _entry(value: str) -> str:
     )
 
 
+def numeric_fields(body: str = "body") -> str:
+    """Map of the numeric and boolean entries of a decoded body, as doubles."""
+    return (
+        f"map_filter(transform_values({body}, (name, v) -> if(schema_of_variant(v) rlike '{NUMERIC}',"
+        f" try_variant_get(v, '$', 'double'), null)), (name, n) -> n is not null)"
+    )
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Parses payloads once, keeping JSON types apart: the text "5" is no number, null is not absent.
 
-    Adds `readable` (it is JSON), `is_object`, `entity`, `event`, `stamp` and the map `data`, whose
-    entries are structs (kind, text, number) with the kind VOID for a JSON null; and `data_kind`.
+    Adds `readable` (it is JSON), `is_object`, `entity`, `event` and `stamp` as structs (kind, text,
+    number) with the kind VOID for a JSON null; `data_kind`; the data as the map `body` of raw values; and, for
+    tracking messages, as the map `data` of such structs. Numbers of readings are taken from
+    `body` by `numeric_fields` where they are asked for, and nowhere else.
     """
     keep = messages.columns
     head = {"entity": "entity", "event": "event", "stamp": "timestamp"}
@@ -82,7 +92,8 @@ def decode(messages: DataFrame) -> DataFrame:
         f"""inline(array(named_struct('readable', readable,
           'is_object', readable and substr(ltrim(' \t\r\n', payload), 1, 1) = '{{',
           {''.join(f"'{name}', if({name} is null, null, {_entry(name)}), " for name in head)}
-          'data', transform_values(_map, (name, v) -> {_entry('v')}),
+          'body', _map,
+          'data', if(contains(topic, '/plant/tracking/'), transform_values(_map, (name, v) -> {_entry('v')}), null),
           'data_kind', if(_map is not null, if(size(_map) > 0, 'OBJECT', 'OBJECT<>'), schema_of_variant(_data)))))""",
     )
 
