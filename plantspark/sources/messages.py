@@ -11,6 +11,12 @@ from plantspark.schemas import MESSAGE
 # The topics a plant publishes on; `+` stands for one level.
 TOPICS = ["/plant/data/+", "/plant/tracking/+", "/plant/alerts/+"]
 
+# Files and bus records that one micro-batch takes from a backlog.
+FILES_PER_BATCH, OFFSETS_PER_BATCH = 1000, 5_000_000
+
+# Numbers that JSON does not have, where a value stands; some senders write them.
+NOT_JSON = r"(?<=[:\\[,\\s])(-?Infinity|NaN)(?=[,}\\]\\s])"
+
 # JSON types that count as numbers; booleans are 1 and 0.
 NUMERIC = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
 
@@ -20,12 +26,22 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).schema(MESSAGE).load(path)
 
 
-def message_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
-    """Stored messages as a stream that follows new files."""
-    reader = spark.readStream.format(fmt).schema(MESSAGE)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+def message_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """Stored messages as a stream that follows new files; a backlog is taken in portions of `max_files`."""
+    return spark.readStream.format(fmt).schema(MESSAGE).option("maxFilesPerTrigger", max_files).load(path)
+
+
+def bus_options(servers: str, topic: str, max_offsets: int = OFFSETS_PER_BATCH, starting: str = "earliest") -> dict[str, str]:
+    """Options of a Kafka reader for the bus topic; a backlog is taken in portions."""
+    return {
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+        "maxOffsetsPerTrigger": str(max_offsets), "failOnDataLoss": "true",
+    }
+
+
+def bus_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """Messages of a Kafka topic as a stream; needs Spark's Kafka package on the cluster."""
+    return from_bus_records(spark.readStream.format("kafka").options(**bus_options(servers, topic, **options)).load())
 
 
 def from_bus_records(records: DataFrame) -> DataFrame:
@@ -59,6 +75,11 @@ def _entry(value: str) -> str:
     )
 
 
+def _mended(payload: str) -> str:
+    """A payload that is no JSON only because of NaN or an infinity is read with null in their place."""
+    return f"if({payload} rlike '{NOT_JSON}', try_parse_json(regexp_replace({payload}, '{NOT_JSON}', 'null')), null)"
+
+
 def numeric_fields(body: str = "body") -> str:
     """Map of the numeric and boolean entries of a decoded body, as doubles."""
     return (
@@ -78,7 +99,7 @@ def decode(messages: DataFrame) -> DataFrame:
     keep = messages.columns
     head = {"entity": "entity", "event": "event", "stamp": "timestamp"}
     split = (
-        messages.selectExpr(*keep, "try_parse_json(payload) as _body")
+        messages.selectExpr(*keep, f"coalesce(try_parse_json(payload), {_mended('payload')}) as _body")
         .selectExpr(
             *keep, "_body is not null as readable",
             *[f"try_variant_get(_body, '$.{key}', 'variant') as {name}" for name, key in head.items()],

@@ -180,3 +180,15 @@ def test_every_message_leads_to_one_row_or_one_refusal(spark):
     counts = {name: part.count() for name, part, _ in outputs(rows)}
     assert sum(n for name, n in counts.items() if name != "alerts") == 1000
     assert all(counts.values())
+
+
+def test_numbers_that_json_lacks_are_read_as_null(spark):
+    payloads = ['{"entity":"a","data":{"power":NaN,"temperature":5,"note":"NaN, Infinity"}}', '{"entity":"a","data":{"power":-Infinity}}', '{"entity":NaNs}']
+    rows = batch(spark, *[("/plant/data/a", p) for p in payloads])
+    found = checked(rows).select("reason", F.expr(bus.numeric_fields()).alias("numbers"), F.expr("try_variant_get(body['note'], '$', 'string')").alias("note"))
+    assert [tuple(r) for r in found.collect()] == [(None, {"temperature": 5.0}, "NaN, Infinity"), (None, {}, None), ("bad_json", None, None)]
+
+
+def test_bus_reader_takes_a_backlog_in_portions():
+    options = bus.bus_options("host:1", "plant", max_offsets=10)
+    assert options["subscribe"] == "plant" and options["maxOffsetsPerTrigger"] == "10"
