@@ -12,7 +12,8 @@ that repeat inside their own text; it is found without any shuffle.
 Defined cases: ids are whole numbers; null ids come last in the order. Rows with the same id count as versions of one
 document: they don't remove each other's windows, and equal rows all get the same result. A null text stays null and has no lines;
 texts under three lines have no windows and stay whole. A text that loses all lines becomes empty. Other columns are kept
-as they are, whatever their names (except names that start with an underscore). Empty tables give empty results.
+as they are, except that columns named n_lines or n_removed are replaced by the results; names that start with an underscore
+are taken. Empty tables give empty results.
 """
 
 from __future__ import annotations
