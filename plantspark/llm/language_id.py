@@ -3,7 +3,7 @@
 For every record four kinds of evidence on its language are multiplied, as if independent given the language:
 
 - text: byte trigrams of the letters, a naive Bayes model with one class per language and one, `und`, for text that is no known
-  language, in which every trigram is equally likely. The model is fitted on at most FIT_ROWS declared records per language.
+  language, in which every trigram is equally likely. The model is fitted on about FIT_ROWS declared records per language.
 - declared: the language that markup or metadata declares. How far to trust it is counted over all records:
   P(declared | language), smoothed.
 - address suffix: the last label of the host (`fr`, `com`); P(suffix | language), counted the same way.
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantspark.llm.common import KEY, map_texts, stored, with_key
@@ -62,12 +62,12 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def fit(records: DataFrame, languages: tuple[str, ...], rows: int) -> np.ndarray:
-    """Log likelihood of each slot per language, from at most `rows` records of each."""
+    """Log likelihood of each slot per language, from about `rows` records of each."""
     known = records.filter(F.col("declared").isin(*languages) & F.col("text").isNotNull())
-    # ids first, so that no text passes the window
-    chosen = known.select("declared", *KEY, F.xxhash64(*KEY).alias("h"))
-    pick = Window.partitionBy("declared").orderBy("h", *KEY)
-    chosen = stored(chosen.withColumn("r", F.row_number().over(pick)).filter(F.col("r") <= rows).select(*KEY).distinct(), "language-sample")
+    sizes = {r["declared"]: r["n"] for r in known.groupBy("declared").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(0)
+    for language, n in sizes.items():  # about `rows` of each, chosen by a hash, whatever their number
+        share = F.when(F.col("declared") == language, int(min(1.0, rows / n) * (1 << 30))).otherwise(share)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.zeros((len(languages), SLOTS), dtype=np.int64)
@@ -77,7 +77,7 @@ def fit(records: DataFrame, languages: tuple[str, ...], rows: int) -> np.ndarray
         at, slot = np.nonzero(table)
         yield pd.DataFrame({"language": at, "slot": slot, "n": table[at, slot]})
 
-    sample = known.join(F.broadcast(chosen), KEY, "left_semi").select("declared", "text")
+    sample = known.filter(F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) < share).select("declared", "text")
     counts = sample.mapInPandas(count, "language long, slot long, n long").groupBy("language", "slot").agg(F.sum("n").alias("n"))
     found = counts.toPandas()  # at most len(languages) * SLOTS rows
     table = np.full((len(languages), SLOTS), 0.5)
