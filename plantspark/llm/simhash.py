@@ -19,7 +19,6 @@ is never the smallest unless no other is there. Empty tables give empty results;
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantspark.llm.common import WORD, map_texts, stored
+from plantspark.llm.common import map_texts, stored
 from plantspark.llm.graph import components
 
 BITS = 64
@@ -38,9 +37,10 @@ DENSE = 4096
 SEED = 42
 
 
-def fingerprint(text: str | None, width: int, word=re.compile(WORD.encode())) -> int:
+def fingerprint(text: str | None, width: int) -> int:
     """Unsigned 64-bit SimHash; bit j is set if it is set in over half of the shingles' hashes."""
-    words = word.findall((text or "").encode("utf-8", "surrogatepass").lower())  # of bytes: A-Z only
+    # of bytes, `lower` changes A-Z only and `split` cuts at the six white-space characters
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     line = b" ".join(words)
