@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 from plantspark.llm.common import stored
 
 SAMPLE = 32_768
-BRANCHES = 8
-LEAF = 32
+BRANCHES = 16
+LEAF = 256
 #: Queries of the calibration.
 PROBES = 64
 SMALLEST_BLOCK, LARGEST_BLOCK = 64, 16_384
+#: Rows that a task hands on at a time when it lists the leaves of queries.
+AT_ONCE = 4096
 
 
 @dataclass
@@ -129,9 +131,10 @@ def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: n
 
 
 def valid(table: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """id, vec (array of doubles) of the rows that take part."""
+    """id, vec (array of doubles, or of floats where the table has them) of the rows that take part."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    vec = F.col(vector).cast("array<double>")
+    single = table.schema[vector].dataType.simpleString() == "array<float>"
+    vec = F.col(vector) if single else F.col(vector).cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("id"), vec.alias("vec"))
     rows = rows.filter("id is not null and vec is not null").filter(~F.exists("vec", bad) & F.exists("vec", lambda x: x != 0))
     common = rows.groupBy(F.size("vec").alias("n")).agg(F.count("*").alias("k")).orderBy(F.desc("k"), "n").first()
@@ -139,7 +142,7 @@ def valid(table: DataFrame, id_column: str, vector: str) -> DataFrame:
 
 
 def search(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10,
-           recall: float = 0.97) -> DataFrame:
+           recall: float = 0.95) -> DataFrame:
     """Queries are the rows whose id is divisible by `every`: query_id, rank, vec_id, score."""
     spark = table.sparkSession
     kept = stored(valid(table, id_column, vector), "vectors")
@@ -149,6 +152,7 @@ def search(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding
         return spark.createDataFrame([], schema)
     order = F.xxhash64("id", "vec")
     share = F.pmod(order, F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))  # about SAMPLE rows, whatever n is
+    kind = kept.schema["vec"].dataType.simpleString()
     tree = Tree.fit(matrix(kept.filter(share).toPandas().sort_values("id", kind="stable")["vec"]))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,20 +160,23 @@ def search(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding
             if len(batch):
                 yield batch.assign(leaf=tree.place(matrix(batch["vec"])))
 
-    placed = stored(kept.mapInPandas(place, "id long, vec array<double>, leaf long"), "vectors-placed")
+    placed = stored(kept.mapInPandas(place, f"id long, vec {kind}, leaf long"), "vectors-placed")
     queries = placed.filter(F.col("id") % every == 0).select("id", "vec").distinct()
     visits = calibrated(placed, queries.orderBy(order).limit(PROBES).toPandas(), tree, k, recall)
     if n <= k * tree.leaves // max(1, visits):  # so few rows that the visited leaves may hold under k
         visits = tree.leaves
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, AT_ONCE // visits)
         for batch in batches:
-            found = batch.assign(leaf=[tree.visit(q, visits) for q in matrix(batch["vec"])] if len(batch) else [])
-            yield found.explode("leaf").astype({"leaf": "int64"})
+            for i in range(0, len(batch), step):
+                part = batch.iloc[i : i + step]
+                found = part.assign(leaf=[tree.visit(q, visits) for q in matrix(part["vec"])])
+                yield found.explode("leaf").astype({"leaf": "int64"})
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     block = max(SMALLEST_BLOCK, min(LARGEST_BLOCK, n // (2 * parts)))
-    asked = stored(queries.mapInPandas(walk, "id long, vec array<double>, leaf long"), "vectors-asked")
+    asked = stored(queries.mapInPandas(walk, f"id long, vec {kind}, leaf long"), "vectors-asked")
     sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / block).alias("row_blocks"))
     sizes = sizes.join(asked.groupBy("leaf").agg(F.ceil(F.count("*") / block).alias("query_blocks")), "leaf")
     sizes = F.broadcast(stored(sizes, "vectors-sizes"))  # one row per leaf, under SAMPLE / LEAF * BRANCHES
