@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from plantspark.plans.catalog import QUERIES
+from plantspark.plans.oracle import ORACLE as SQL
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,11 +20,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry_points.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, duck, name):
-    found = entry_points.queries()[name](spark, SF).toArrow()
+    found = QUERIES[name](spark, SF).toArrow()
     assert found.num_rows > 0
     assert difference(found, duck.sql(SQL[name]).to_arrow_table()) == ""
