@@ -61,3 +61,12 @@ def test_entry_points_hold_all_ten():
     names = __spark_entry__.queries()
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
     assert "op3_line_dedup" in __spark_entry__.oracle_sql()
+
+
+def test_line_dedup_equals_its_sql(spark):
+    import __spark_entry__
+    from tests.compare import connect, difference
+
+    folder = "/root/testdata/sf0.001"
+    found = __spark_entry__.queries()["op3_line_dedup"](spark, folder).toArrow()
+    assert difference(found, connect(folder).sql(__spark_entry__.oracle_sql()["op3_line_dedup"]).to_arrow_table()) == ""
