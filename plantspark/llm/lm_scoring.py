@@ -23,7 +23,6 @@ probability 1/256. Empty tables give empty results.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,14 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantspark.llm.common import WORD, read_parts, stored
+from plantspark.llm.common import read_parts, stored
 from plantspark.session import new_folder
 
 ORDER = 6
-SHARD_GRAMS = 3_000_000
+SHARD_GRAMS = 8_000_000
 HOT_WORDS = 300_000
-#: Bytes scored or counted at a time.
-STRIP = 1 << 21
+#: Distinct grams that a task holds before it hands them on.
+MOST_HELD = 3_000_000
+#: Bytes of texts gathered before the shards are read in turn, where there are several.
+BUFFER = 1 << 26
+#: Bytes counted and bytes scored at a time.
+COUNTED, SCORED_AT_ONCE = 1 << 21, 1 << 18
 END = b"\n"
 #: Spread pairs of bytes over shards.
 MIX, PRIME = 40_503, 65_537
@@ -50,16 +53,17 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def tokens(text: str | None, word=re.compile(WORD.encode())) -> list[bytes]:
-    return word.findall((text or "").encode("utf-8", "surrogatepass").lower())  # of bytes: A-Z only
+def tokens(text: str | None) -> list[bytes]:
+    """Of bytes, `lower` changes A-Z only, and `split` cuts at the six white-space characters."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def strips(documents: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of documents with about STRIP bytes."""
+def strips(documents: list[bytes], bytes_: int) -> Iterator[tuple[int, int]]:
+    """Ranges of documents with about so many bytes."""
     first, size = 0, 0
     for i, d in enumerate(documents):
         size += len(d)
-        if size >= STRIP:
+        if size >= bytes_:
             yield first, i + 1
             first, size = i + 1, 0
     if first < len(documents):
@@ -84,15 +88,14 @@ class Trie:
     """Contexts and counts of one shard. tables: for order 0, 1, ... the grams (sorted) and their counts."""
 
     def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]]):
-        self.grams = [g for g, _ in tables]
-        self.counts = [n.astype(np.float64) for _, n in tables]
+        self.grams, self.counts = [g for g, _ in tables], [n for _, n in tables]
         self.contexts, self.total, self.distinct, self.free_total, self.free_distinct = [], [], [], [], []
         for k, (g, n) in enumerate(zip(self.grams, self.counts, strict=True)):
             context = g >> np.uint64(8)
             first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(g) else np.zeros(0, int)
             self.contexts.append(context[first])
-            self.total.append(np.add.reduceat(n, first) if len(g) else n)
-            self.distinct.append(np.diff(np.append(first, len(g))).astype(np.float64))
+            self.total.append((np.add.reduceat(n, first) if len(g) else n).astype(np.float64))
+            self.distinct.append(np.diff(np.append(first, len(g))).astype(np.float32))
             if k and len(g):  # what is left of the next shorter context when this one's bytes are excluded
                 short = g & self.mask(k)
                 seen = np.add.reduceat(self.counts[k - 1][np.searchsorted(self.grams[k - 1], short)], first)
@@ -103,6 +106,10 @@ class Trie:
                 self.free_total.append(np.zeros(0))
                 self.free_distinct.append(np.zeros(0))
 
+        g, n = tables[-1]
+        size = self.distinct[-1].astype(np.int64)
+        self.whole = np.log10((2 * n - 1) / (2 * np.repeat(self.total[-1], size)))  # of the longest grams
+
     @staticmethod
     def mask(width: int) -> np.uint64:
         return np.uint64((1 << 8 * width) - 1)
@@ -116,8 +123,10 @@ class Trie:
 
     def score(self, keys: np.ndarray) -> np.ndarray:
         """log10 of the probability of the last byte of each gram after the bytes before it."""
-        out = np.zeros(len(keys))
-        todo, longer = np.arange(len(keys)), np.full(len(keys), -1)
+        at, hit = self.find(self.grams[-1], keys)
+        out = np.where(hit, self.whole[at] if len(self.whole) else 0.0, 0.0)  # most are known whole
+        todo = np.flatnonzero(~hit)
+        longer = np.full(len(todo), -1)
         for k in reversed(range(len(self.grams))):
             part = keys[todo] & self.mask(k + 1)
             at, hit = self.find(self.grams[k], part)
@@ -131,21 +140,22 @@ class Trie:
             escape = ~hit & (distinct > 0)
             out[todo[escape]] += np.log10(distinct[escape] / (2 * total[escape]))
             longer, todo = np.where(known, context, -1)[~hit], todo[~hit]
-        root = self.distinct[0][0] if len(self.distinct[0]) else 0.0
+        root = float(self.distinct[0][0]) if len(self.distinct[0]) else 0.0
         out[todo] -= np.log10(256 - root)
         return out
 
 
 def read_shard(folder: str, shard: int) -> Trie:
-    tables = [read_parts(f"{folder}/shard={s}", ["size", "gram", "n"], may_miss=True) for s in (-1, shard)]
-    empty = pa.table({c: pa.array([], pa.int64()) for c in ("size", "gram", "n")})
-    found = [t if t.num_columns else empty for t in tables]
-    size, gram, n = (np.concatenate([t.column(c).to_numpy().astype(np.int64) for t in found]) for c in ("size", "gram", "n"))
+    """A shard's rows lie sorted by size and gram in its file."""
+    parts = [read_parts(f"{folder}/shard={s}", ["size", "gram", "n"], may_miss=True) for s in (-1, shard)]
+    empty = pa.table({"size": pa.array([], pa.int32()), "gram": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    parts = [t if t.num_columns else empty for t in parts]
     out = []
     for k in range(ORDER + 1):
-        own = np.flatnonzero(size == k)
-        own = own[np.argsort(gram[own])]
-        out.append((gram[own].astype(np.uint64), n[own]))
+        source = parts[0] if k < 2 else parts[1]
+        own = np.searchsorted(source.column("size").to_numpy(), (k, k + 1))
+        gram, n = (source.column(c).slice(own[0], own[1] - own[0]).to_numpy() for c in ("gram", "n"))
+        out.append((gram.view(np.uint64), n))
     return Trie(out)
 
 
@@ -176,12 +186,12 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         documents = [b" ".join(tokens(t.as_py())) + END for t in batch.column(0)]
-        for a, z in strips(documents):
+        for a, z in strips(documents, COUNTED):
             keys, n = np.unique(grams(documents[a:z])[0], return_counts=True)
             held.append((keys, n.astype(np.int64)))
             if len(held) >= 8:
                 held[:] = [merged()]
-                if len(held[0][0]) > SHARD_GRAMS:
+                if len(held[0][0]) > MOST_HELD:
                     yield rows()
                     held.clear()
     if held:
@@ -202,8 +212,8 @@ def train(texts: DataFrame) -> tuple[str, int]:
     last_two = F.shiftright("gram", 8).bitwiseAND(F.lit(65535).cast("long"))
     shard = F.when(F.col("size") < 2, -1).otherwise((last_two * MIX % PRIME % shards).cast("int"))
     folder = new_folder(texts.sparkSession, "ppm-shards")
-    spread = F.pmod(F.xxhash64("gram"), F.lit(8))
-    every.withColumn("shard", shard).repartition("shard", spread).write.partitionBy("shard").parquet(folder)
+    sorted_ = every.withColumn("shard", shard).repartition(shards + 1, "shard").sortWithinPartitions("shard", "size", "gram")
+    sorted_.write.partitionBy("shard").parquet(folder)
     return folder, shards
 
 
@@ -223,53 +233,73 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
+def buffered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """Ids, marks and texts of some batches together: as many as hold `least` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= least:
+            yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+            held = []
+    if held:
+        yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+
+
+def unigrams(rows: range, ids: pa.Array, held: pa.Array, documents: list[bytes], scores: np.ndarray,
+             hot: dict[bytes, float]) -> Iterator[pa.RecordBatch]:
+    """A row per document, and one for each of its words that is not among the frequent ones."""
+    rare_row, rare_word, rare_n, sums, known, sizes = [], [], [], [], [], []
+    for row, document in zip(rows, documents, strict=True):
+        words = document[:-1].split()
+        total, n_known = 0.0, 0
+        for word, n in Counter(words).items():
+            log = hot.get(word)
+            if log is None:
+                rare_row.append(row)
+                rare_word.append(word)
+                rare_n.append(n)
+            else:
+                total += n * log
+                n_known += n
+        sums.append(total)
+        known.append(n_known)
+        sizes.append(len(words) + 1)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(rows, pa.int64()), ids, held, pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+        pa.array(sums, pa.float64()), pa.array(scores), pa.nulls(len(rows), pa.binary()),
+    ], names=SCORED)
+    k = len(rare_row)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(rare_row, pa.int64()), pa.nulls(k, ids.type), pa.nulls(k, pa.bool_()), pa.array(rare_n, pa.int64()),
+        pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(rare_word, pa.binary()),
+    ], names=SCORED)
+
+
 def scorer(trie: str, shards: int, frequent: str):
-    """Scores batches: a row per document, and one for each of its words that is not among the frequent ones."""
+    """Scores batches of ids, marks and texts."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = read_parts(frequent, ["word", "n"])
-        hot = dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True)) if table.num_columns else {}
+        hot = {}
+        if table.num_columns:
+            hot = dict(zip(table.column(0).to_pylist(), np.log10(table.column(1).to_numpy() + 0.1).tolist(), strict=True))
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            words = [tokens(t.as_py()) for t in batch.column(2)]
-            documents = [b" ".join(w) + END for w in words]
-            scores = np.zeros(len(words))
+        for ids, held, texts in buffered(batches, BUFFER if shards > 1 else 0):
+            documents = [b" ".join(tokens(t.as_py())) + END for t in texts]
+            scores = np.zeros(len(documents))
             for shard in range(shards):
                 model = shard_of(trie, shard)
-                for a, z in strips(documents):
+                for a, z in strips(documents, SCORED_AT_ONCE):
                     keys, lengths = grams(documents[a:z])
                     which = np.repeat(np.arange(a, z), lengths)
                     if shards > 1:
                         own = in_shard(keys, shards) == shard
                         keys, which = keys[own], which[own]
                     each, place = np.unique(keys, return_inverse=True)
-                    scores += np.bincount(which, weights=model.score(each)[place], minlength=len(words))
-            rows, rare_row, rare_word, rare_n, sums, known = [], [], [], [], [], []
-            for own in words:
-                total, n_known = 0.0, 0
-                for word, n in Counter(own).items():
-                    c = hot.get(word)
-                    if c is None:
-                        rare_row.append(row)
-                        rare_word.append(word)
-                        rare_n.append(n)
-                    else:
-                        total += n * math.log10(c + 0.1)
-                        n_known += n
-                rows.append(row)
-                sums.append(total)
-                known.append(n_known)
-                row += 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows, pa.int64()), batch.column(0), batch.column(1), pa.array([len(w) + 1 for w in words], pa.int64()),
-                pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores), pa.nulls(len(rows), pa.binary()),
-            ], names=SCORED)
-            if rare_row:
-                k = len(rare_row)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rare_row, pa.int64()), pa.nulls(k, batch.schema.field(0).type), pa.nulls(k, pa.bool_()), pa.array(rare_n, pa.int64()),
-                    pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(rare_word, pa.binary()),
-                ], names=SCORED)
+                    scores += np.bincount(which, weights=model.score(each)[place], minlength=len(documents))
+            for a, z in strips(documents, COUNTED):
+                yield from unigrams(range(row + a, row + z), ids[a:z], held[a:z], documents[a:z], scores[a:z], hot)
+            row += len(documents)
 
     return score
 
