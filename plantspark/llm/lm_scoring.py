@@ -39,11 +39,11 @@ ORDER = 6
 SHARD_GRAMS = 8_000_000
 HOT_WORDS = 300_000
 #: Distinct grams that a task holds before it hands them on.
-MOST_HELD = 3_000_000
+MOST_HELD = 2_000_000
 #: Bytes of texts gathered before the shards are read in turn, where there are several.
 BUFFER = 1 << 26
 #: Bytes counted and bytes scored at a time.
-COUNTED, SCORED_AT_ONCE = 1 << 21, 1 << 18
+COUNTED, SCORED_AT_ONCE = 1 << 20, 1 << 18
 END = b"\n"
 #: Spread pairs of bytes over shards.
 MIX, PRIME = 40_503, 65_537
