@@ -193,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_column: str = "doc
                 for w in closed:
                     out.window(w, part << 31 | number, part, False)
                     number += 1
-                if len(out.data) >= 4096:
+                if len(out.data) >= 512:
                     yield out.table()
         if out:
             for w in packer.open:
