@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -17,8 +19,8 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries of the cache of one task process; it starts anew when full.
-CACHE_ENTRIES = 700_000
+#: Entries of the cache of one task process; a full one starts anew.
+CACHE_ENTRIES = 350_000
 #: Unicode white space, and the split patterns of the two kinds of tokenizer.
 SPACE = "\t-\r \x85\xa0  -     　"
 BYTE_SPLIT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
@@ -34,6 +36,18 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
+class Remembered(dict):
+    """A dictionary that makes its missing values."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
 class Encoder:
     """Encodes texts to arrays of ids. path: a tokenizer file; the ids are those of encode(add_special_tokens=False)."""
 
@@ -43,38 +57,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # words are remembered here
         self.words = self.tokenizer.normalizer is not None  # lower case, white space dropped
         # without a normaliser, a run of white space gives its last space to the chunk that follows
         self.chunk = re.compile(f"[^{SPACE}]+" if self.words else f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
         self.split = regex.compile(WORD_SPLIT if self.words else BYTE_SPLIT)
         self.letters = byte_letters()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.cache = Remembered(self.ids)
+
+    def part(self, part: str) -> list[int]:
+        """Ids of one split part, which the model merges as a whole."""
+        plain = part.isascii() and part.isprintable() and " " not in part  # bytes that stand for themselves
+        mapped = part if plain else part.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(mapped)]
 
     def ids(self, chunk: str) -> bytes:
-        simple = max(chunk) < SIMPLE and "İ" not in chunk and (self.words or "'" not in chunk)
-        if simple and (self.words or not chunk.isspace()):
-            if self.words:
-                chunk = chunk.lower()
-            found: list[int] = []
-            for part in self.split.findall(chunk):
-                mapped = part.encode().decode("latin-1").translate(self.letters)
-                found += [t.id for t in self.model.tokenize(mapped)]
+        simple = chunk.isascii() or (max(chunk) < SIMPLE and "İ" not in chunk)
+        if simple and (self.words or ("'" not in chunk and not chunk.isspace())):
+            chunk = chunk.lower() if self.words else chunk
+            parts = [chunk] if chunk.lstrip(" ").isalpha() else self.split.findall(chunk)
+            found = [i for p in parts for i in self.part(p)]
         else:
             found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(found, dtype=self.dtype).tobytes()
+        return array(self.code, found).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
-        chunks = self.chunk.findall(text or "")
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        try:
-            packed = b"".join(map(cache.__getitem__, chunks))
-        except KeyError:
-            for c in set(chunks).difference(cache):
-                cache[c] = self.ids(c)
-            packed = b"".join(map(cache.__getitem__, chunks))
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        packed = b"".join(map(self.cache.__getitem__, self.chunk.findall(text or "")))
         return np.frombuffer(packed, dtype=self.dtype)
 
 
