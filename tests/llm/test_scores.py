@@ -189,6 +189,17 @@ def test_vector_search(spark, n):
     assert got[10_000] == want[10_000] if n > 100 else got[0] == want[0]
 
 
+def test_vector_search_finds_the_neighbours_it_is_calibrated_for(spark):
+    m = np.random.default_rng(2).normal(size=(6400, 8)).astype("f4")  # no clusters, and no more queries than probes
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    got = defaultdict(set)
+    for r in vector_tree.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    want = plain_neighbours(rows, 10)
+    assert len(want) <= vector_tree.PROBES
+    assert np.mean([len(got[q] & {i for i, _ in x}) / len(x) for q, x in want.items()]) >= 0.97
+
+
 def test_vector_search_of_nothing(spark):
     assert vector_tree.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
