@@ -43,7 +43,7 @@ def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compression.compression_bands(read_table(spark, sf_dir, "documents"))
+    return compression.compression_bands(read_table(spark, sf_dir, "documents"), labels=read_table(spark, sf_dir, "labels"))
 
 
 def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:

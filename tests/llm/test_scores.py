@@ -51,6 +51,35 @@ def test_compression_verdicts(spark):
     assert got[4].n_bad_chunks >= got[4].n_chunks // 3
 
 
+def test_long_english_is_inside_without_labels():
+    for n, ratio in ((26_000, 0.368), (23_000, 0.364), (35_000, 0.359)):  # LGPL-2.1, GFDL-1.3, GPL-3
+        assert compression.inside(n, ratio)
+
+
+def test_compression_limits_follow_the_labels(spark):
+    draw = random.Random(6)
+    vocabulary = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(90)]
+    rows = [(i, " ".join(draw.choices(vocabulary, k=draw.randint(200, 1400)))) for i in range(600)]
+    docs = spark.createDataFrame([*rows, *[(1000 + i, rows[0][1]) for i in range(300)]], "doc_id long, text string")
+    labels = [(i, 1) for i in range(400)] + [(0, 0), (450, None), (None, 1)] + [(1000 + i, 1) for i in range(300)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    without = {r.doc_id: r.kept for r in compression.compression_bands(docs).collect()}
+    got = {r.doc_id: r for r in compression.compression_bands(docs, labels=labels).collect()}
+    assert len(got) == len(without) == 900
+    # the unlabelled are like the labelled
+    assert np.mean([without[i] for i in range(400, 600)]) < 0.5 and np.mean([got[i].kept for i in range(400, 600)]) > 0.99
+    bands = compression.fitted(docs, labels, "doc_id", "text", compression.Limits())
+    assert {at for at in bands if bands[at] != compression.BANDS[at]} == {compression.length_class(got[i].n_bytes) for i in range(600)}
+    assert compression.fitted(docs, labels.filter("doc_id < 20"), "doc_id", "text", compression.Limits()) == compression.BANDS
+
+
+def test_lower_limit_leaves_room():
+    few, many = (compression.lower_limit(0.41, n, 0.466, 0.483, 0.513) for n in (100, 10_000))
+    assert 0.41 <= few < many < 0.466  # under the smallest labelled, further where labels are few
+    assert compression.lower_limit(0.41, 29, 0.466, 0.483, 0.513) == 0.41
+    assert compression.lower_limit(0.41, 10_000, 0.40, 0.405, 0.43) < 0.40
+
+
 def test_repeats_with_many_words():
     draw = random.Random(3)
     words = [str(draw.randrange(9000)) for _ in range(20_000)]
