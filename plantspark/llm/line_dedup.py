@@ -1,7 +1,7 @@
 """Line dedup by overlapping windows of three lines, in DataFrame operations only.
 
 Every three consecutive lines of a text make a window, known by a 128-bit hash. A window that occurs more than once in the
-table stays where it occurs first (smallest id, then smallest position) and goes elsewhere: all lines
+table stays where it occurs first (smallest id, then smallest key of the row, then smallest position) and goes elsewhere: all lines
 that a later occurrence covers are removed. Later windows overlap, so their positions are merged before lines are
 cut. Every removed line has an equal one at an earlier place, and the earliest of them is never removed.
 
@@ -9,8 +9,9 @@ Texts are not shuffled for the search: windows travel as hashes, occurrences of
 before they meet, and the join back is one that Spark splits where a window is very common. `again` marks windows
 that repeat inside their own text; it is found without any shuffle.
 
-Defined cases: ids are whole numbers; null ids come last in the order. Rows with the same id count as versions of one
-document: they don't remove each other's windows, and equal rows all get the same result. A null text stays null and has no lines;
+Defined cases: ids are whole numbers; null ids come last in the order. Different texts under one id, or without an id, are
+ordered by the 128-bit key of id and text, and lose what an earlier one has. Rows equal in id and text are copies of one row: they
+don't remove each other's windows, and all get the same result. A null text stays null and has no lines;
 texts under three lines have no windows and stay whole. A text that loses all lines becomes empty. Other columns are kept
 as they are, except that columns named n_lines or n_removed are replaced by the results; names that start with an underscore
 are taken. Empty tables give empty results.
@@ -32,7 +33,7 @@ def lines_of(text: str) -> Column:
 
 
 def windows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """One row per window: the key of its row, order of the document, position, hash, `again`."""
+    """One row per window: the key of its row, order of the document, whether that has no id, position, hash, `again`."""
     n = F.size("_lines")
 
     def window(i: Column) -> Column:
@@ -45,19 +46,25 @@ def windows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         return F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), x["pos"].alias("pos"), again.alias("again"))
 
     order = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("_order")
-    rows = docs.select(*KEY, order, lines_of(text).alias("_lines")).filter(n >= WINDOW)
-    rows = rows.select(*KEY, "_order", F.array_sort(F.transform(F.sequence(F.lit(0), n - WINDOW), window)).alias("_windows"))
-    return rows.select(*KEY, "_order", F.inline(F.transform("_windows", mark)))
+    none = F.col(id_column).isNull().alias("_none")
+    rows = docs.select(*KEY, order, none, lines_of(text).alias("_lines")).filter(n >= WINDOW)
+    rows = rows.select(*KEY, "_order", "_none", F.array_sort(F.transform(F.sequence(F.lit(0), n - WINDOW), window)).alias("_windows"))
+    return rows.select(*KEY, "_order", "_none", F.inline(F.transform("_windows", mark)))
 
 
 def remove_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with later occurrences cut from `text`, and the columns n_lines and n_removed (long)."""
     keyed = with_key(docs, id_column, text)
     found = stored(windows(keyed, id_column, text), "line-windows")
-    first = found.groupBy("h1", "h2").agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
-    first = first.filter(F.col("_first") < F.col("_last"))
-    elsewhere = found.join(first, ["h1", "h2"]).filter(F.col("_order") > F.col("_first")).select(*KEY, "pos")
-    later = elsewhere.unionByName(found.filter("again").select(*KEY, "pos"))
+    first = found.groupBy("h1", "h2").agg(F.min("_order").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    early = (F.col("_order") == F.col("_first")).alias("_early")
+    met = stored(found.join(first, ["h1", "h2"]).select(*KEY, "_none", "h1", "h2", "pos", early), "line-repeats")
+    elsewhere = met.filter("not _early").select(*KEY, "pos")
+    tied = met.filter("_early").withColumn("_row", F.struct("_none", *KEY))
+    owners = tied.groupBy("h1", "h2").agg(F.min("_row").alias("_owner"), F.max("_row").alias("_last"))
+    owners = stored(owners.filter(F.col("_owner") < F.col("_last")).select("h1", "h2", "_owner"), "line-owners")  # none if ids are unique
+    tied = tied.join(owners, ["h1", "h2"]).filter(F.col("_row") > F.col("_owner")).select(*KEY, "pos")
+    later = elsewhere.unionByName(tied).unionByName(found.filter("again").select(*KEY, "pos"))
     starts = later.groupBy(*KEY).agg(F.collect_set("pos").alias("_starts"))
     covered = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.array(*[p + k for k in range(WINDOW)]))))
     starts = starts.select(*KEY, covered.alias("_covered"))

@@ -45,6 +45,25 @@ def test_line_windows_overlap(spark, none):
     assert line_dedup.remove_repeated_windows(none).count() == 0
 
 
+def test_line_windows_of_rows_that_share_an_id(spark):
+    draw, last = random.Random(8), 2**63 - 1
+    ids = [None] * 30 + [5] * 10 + [6] * 10 + [last] * 5 + list(range(10, 20))
+    rows = [(i, "\n".join(draw.choice("abcde") for _ in range(draw.randint(0, 9)))) for i in ids]
+    rows += [(None, "p\nq\nr"), (None, "p\nq\nr\ns"), (None, "p\nq\nr"), (last, "t\nu\nv"), (None, "t\nu\nv"), (None, "w\nw\nx\nx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keys = {(r.doc_id, r.text): (r._key_a, r._key_b) for r in line_dedup.with_key(docs).collect()}
+    first, want = {}, []
+    for at, row in enumerate(sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, keys[r]))):
+        lines, gone = row[1].split("\n"), set()
+        for p in range(len(lines) - 2):
+            if first.setdefault(tuple(lines[p : p + 3]), (at, p)) != (at, p):
+                gone |= {p, p + 1, p + 2}
+        kept = "\n".join(x for p, x in enumerate(lines) if p not in gone) if gone else row[1]
+        want += [(row[0], len(lines), len(gone), kept)] * rows.count(row)
+    got = line_dedup.remove_repeated_windows(docs).select("doc_id", "n_lines", "n_removed", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_line_windows_plan_is_native(odd):
     plan = line_dedup.remove_repeated_windows(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
