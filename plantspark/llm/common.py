@@ -60,22 +60,22 @@ def joined(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFr
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
-
-
 def schema_text(df: DataFrame, without: str = "") -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != without)
 
 
-def map_texts(rows: DataFrame, text: str, make: Callable[[], Callable[[list], dict[str, pa.Array]]], schema: str) -> DataFrame:
+def map_texts(rows: DataFrame, text: str, make: Callable[[], Callable[..., dict[str, pa.Array]]], schema: str,
+              as_list: bool = True) -> DataFrame:
     """Replaces the column `text` by columns made from it; the others pass as they are, nulls and large numbers included.
 
-    make: called once per task, gives the function from the texts of a batch to the new columns."""
+    make: called once per task, gives the function from the texts of a batch, as a list or as an Arrow array, to the new columns."""
     names = [c for c in rows.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_texts = make()
         for batch in batches:
-            new = of_texts(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            texts = batch.column(batch.schema.get_field_index(text))
+            new = of_texts(texts.to_pylist() if as_list else texts)
             old = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*old, *new.values()], names=[*names, *new])
 
