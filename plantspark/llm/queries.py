@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantspark.llm import compression, filter_audit, importance, language_id, line_dedup, lm_scoring, mixing, packing, simhash, suffix_dedup, token_files, vector_tree
+from plantspark.llm import compression, filter_audit, importance, language_id, line_dedup, lm_scoring, mixing, packing, pieces, simhash, suffix_dedup, token_files, vector_tree
 from plantspark.llm.common import read_table
 from plantspark.session import new_folder
 
@@ -67,6 +67,11 @@ def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.ppm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.coded(read_table(spark, sf_dir, "documents"), model, with_values=False)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -79,7 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_evidence, op2_bounded_packing, op3_line_dedup, op4_wavelet_files, op5_kmeans_tree, op6_compression_bands,
-        op7_suffix_arrays, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores, op12_importance_resampling, op13_filter_audit,
+        op7_suffix_arrays, op8_simhash_bk_trees, op9_cube_mixing, op10_ppm_scores, op11_piece_agenda, op12_importance_resampling,
+        op13_filter_audit,
     )
 }
 
