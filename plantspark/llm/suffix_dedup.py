@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -42,6 +41,8 @@ NARROWER = (16, 1)
 SEGMENT = 1 << 18
 SHARD_BYTES = 2_000_000
 RANGES = "array<struct<a: bigint, z: bigint>>"
+ARROW_RANGES = pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))
+PARTS = ["up1", "up2", "at", "n", "core", "p1", "p2", "place", "size", "body"]
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -267,31 +268,34 @@ def spans_of(pieces: DataFrame, length: int, width: int, dense: int, narrower: t
     total = thin.agg(F.sum("size")).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
 
-    def sort(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["p1", "p2"])
+    def sort(group: pa.Table) -> pa.Table:
+        """The pieces with repeats; in many shards there are none."""
+        group = group.sort_by([("p1", "ascending"), ("p2", "ascending")])
         found: dict[int, list[dict]] = {}
-        for i, a, z in repeated_spans(group["body"].tolist(), group["n"].to_numpy(), length):
+        for i, a, z in repeated_spans(group.column("body").to_pylist(), group.column("n").to_numpy(), length):
             found.setdefault(i, []).append({"a": a, "z": z})
-        index = np.array(list(found), dtype=np.int64)
-        return pd.DataFrame({"p1": group["p1"].to_numpy()[index], "p2": group["p2"].to_numpy()[index], "ranges": list(found.values())})
+        some = group.select(["p1", "p2"]).take(pa.array(list(found), pa.int64()))
+        return some.append_column("ranges", pa.array(list(found.values()), ARROW_RANGES))
 
     shard = F.pmod(F.xxhash64("core"), F.lit(shards)).alias("shard")
     schema = f"p1 long, p2 long, ranges {RANGES}"
-    out = stored(thin.select("p1", "p2", "n", "body", shard).groupBy("shard").applyInPandas(sort, schema), "suffix-spans")
+    out = stored(thin.select("p1", "p2", "n", "body", shard).groupBy("shard").applyInArrow(sort, schema), "suffix-spans")
     if not some:
         return out
 
-    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64()] * 7 + [pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             rows = []
-            for r in batch.itertuples():
-                for at, body, place, _, size in cut(r.body, r.place, width, narrower[0], length):
-                    rows.append((r.p1, r.p2, at, r.n, signed(xxhash.xxh3_64_intdigest(body[place : place + size])), *pair(body), place, len(body), body))
-            yield pd.DataFrame(rows, columns=["up1", "up2", "at", "n", "core", "p1", "p2", "place", "size", "body"])
+            for p1, p2, n, place_, whole in zip(*(batch.column(c).to_pylist() for c in ("p1", "p2", "n", "place", "body")), strict=True):
+                for at, body, place, _, size in cut(whole, place_, width, narrower[0], length):
+                    rows.append((p1, p2, at, n, signed(xxhash.xxh3_64_intdigest(body[place : place + size])), *pair(body), place, len(body), body))
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=PARTS)
 
     wide = pieces.join(dense_cores, "core", "left_semi").select("p1", "p2", "n", "place", "body")
     names = "up1 long, up2 long, at long, n long, core long, p1 long, p2 long, place int, size int, body binary"
-    parts = stored(wide.mapInPandas(narrow, names), "suffix-narrow")
+    parts = stored(wide.mapInArrow(narrow, names), "suffix-narrow")
     own = parts.groupBy("core", "p1", "p2").agg(
         F.sum("n").alias("n"), F.first("place").alias("place"), F.first("size").alias("size"), F.first("body").alias("body")
     )
@@ -306,10 +310,9 @@ def together(rows: DataFrame, by: list[str]) -> DataFrame:
     """Collects the ranges of each key (those of one text or piece) and merges them."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))
         for batch in batches:
             out = [[{"a": a, "z": z} for a, z in merged([(r["a"], r["z"]) for r in x])] for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=[*by, "ranges"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, ARROW_RANGES)], names=[*by, "ranges"])
 
     found = rows.groupBy(*by).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     return found.mapInArrow(merge, f"{by[0]} long, {by[1]} long, ranges {RANGES}")

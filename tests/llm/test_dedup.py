@@ -133,6 +133,26 @@ def test_suffix_dedup_splits_dense_cores(spark):
     check_bytes(docs, rows, length=50, core=16, dense=3, narrower=(8, 1))
 
 
+def test_suffix_dedup_with_more_shards_than_repeats(spark):
+    """Pieces fall into 40 shards, most without pieces or without a repeat."""
+    draw = random.Random(9)
+    word = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    long_, pair_ = word(100), word(70)
+    rows = [(i, word(draw.randint(0, 90)) + (long_ if i < 30 else pair_ if i < 32 else "") + word(draw.randint(0, 30))) for i in range(60)]
+    # neighbours share a core each, but never a whole window
+    rows += [(100 + i, word(30) + x + word(30)) for i in range(20) for x in [word(25)] for _ in range(2)]
+    rows += [(200, "z" * 300), (201, None), (202, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        check_bytes(docs, rows, length=50, core=16, dense=8, narrower=(8, 1))
+        alone = [(i, word(30) + x + word(30)) for i in range(6) for x in [word(25)] for _ in range(2)]
+        check_bytes(spark.createDataFrame(alone, "doc_id long, text string"), alone, length=50, core=16)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_long_text_in_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 64)
     raw = b"abcdefghij" * 30 + bytes(random.Random(2).choices(b"abcdef", k=400)) + b"abcdefghij" * 10
