@@ -8,9 +8,10 @@ counts. Below the empty context all bytes not yet excluded are equally likely.
 
 Counting is a grouped aggregate over the whole training part: each task counts the longest grams of its texts, the counts meet
 by gram, and shorter contexts are sums over longer ones. The trie is cut into shards of about SHARD_GRAMS grams by the
-last two bytes of the context, to which all longer contexts of a byte belong; contexts of 0 and 1 byte (at most
-65,792 grams) are in every shard. A task reads one shard at a time from the shared folder and scores the bytes of a
-batch that belong to it. So a task's memory is one shard and one batch, whatever the corpus; no count is dropped.
+last three bytes of the context, to which all longer contexts that end so belong, so that grams after a common pair of bytes are spread;
+contexts of fewer bytes (a few hundred thousand grams in texts, 256 ** 3 at most) are in every shard. A task finds the
+distinct grams of about BUFFER bytes of texts, reads one shard at a time from the shared folder, and scores the grams that belong to
+it. No count is dropped. A shard grows beyond SHARD_GRAMS only by the grams that follow one context of three bytes.
 
 The base score of a word is its add-0.1 unigram probability. Counts of words come from an aggregate as well; the most frequent
 ones, at most HOT_WORDS, go to every task, the other words of the documents meet their counts in a join.
@@ -32,21 +33,24 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantspark.llm.chunks import strips as text_strips
 from plantspark.llm.common import read_parts, stored
 from plantspark.session import new_folder
 
 ORDER = 6
-SHARD_GRAMS = 8_000_000
+SHARD_GRAMS = 4_000_000
 HOT_WORDS = 300_000
-#: Distinct grams that a task holds before it hands them on.
-MOST_HELD = 2_000_000
-#: Bytes of texts gathered before the shards are read in turn, where there are several.
+#: Grams that a task holds, in runs, before it merges them and hands them on; grams handed on at a time.
+MOST_HELD, HANDED = 1_500_000, 200_000
+#: Bytes of texts whose distinct grams are looked up together, which reads all shards once.
 BUFFER = 1 << 26
-#: Bytes counted and bytes scored at a time.
-COUNTED, SCORED_AT_ONCE = 1 << 20, 1 << 18
+#: Bytes cut into grams and grams scored at a time.
+COUNTED, AT_ONCE = 1 << 20, 1 << 19
 END = b"\n"
-#: Spread pairs of bytes over shards.
-MIX, PRIME = 40_503, 65_537
+#: Contexts are dealt to shards by so many last bytes.
+DEALT = 3
+#: Spread these over shards.
+MIX, PRIME = 40_503, 16_777_259
 
 
 def held_out(id_column: str) -> Column:
@@ -58,16 +62,10 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def strips(documents: list[bytes], bytes_: int) -> Iterator[tuple[int, int]]:
-    """Ranges of documents with about so many bytes."""
-    first, size = 0, 0
-    for i, d in enumerate(documents):
-        size += len(d)
-        if size >= bytes_:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(documents):
-        yield first, len(documents)
+def documents_of(texts: pa.Array) -> Iterator[list[bytes]]:
+    """The documents of a batch, about COUNTED bytes at a time."""
+    for part in text_strips(texts.fill_null(""), COUNTED):
+        yield [b" ".join(tokens(t)) + END for t in part.to_pylist()]
 
 
 def grams(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +150,7 @@ def read_shard(folder: str, shard: int) -> Trie:
     parts = [t if t.num_columns else empty for t in parts]
     out = []
     for k in range(ORDER + 1):
-        source = parts[0] if k < 2 else parts[1]
+        source = parts[0] if k < DEALT else parts[1]
         own = np.searchsorted(source.column("size").to_numpy(), (k, k + 1))
         gram, n = (source.column(c).slice(own[0], own[1] - own[0]).to_numpy() for c in ("gram", "n"))
         out.append((gram.view(np.uint64), n))
@@ -170,32 +168,49 @@ def shard_of(folder: str, shard: int) -> Trie:
     return _held[folder, shard]
 
 
-def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+class Counts:
+    """Sorted distinct grams with their numbers, from runs that are merged when they hold MOST_HELD rows together."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rows = self.merged = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        keys.sort()
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        self.runs.append((keys[first], np.diff(np.append(first, len(keys)))))
+        self.rows += len(first)
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(keys)
+    def merge(self) -> None:
+        keys, n = (np.concatenate(x) for x in zip(*self.runs, strict=True)) if self.runs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.runs = []
+        order = np.argsort(keys, kind="stable")  # of sorted runs: merges them
         keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[first], np.add.reduceat(n, first)
+        del order
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        self.runs = [(keys[first], np.add.reduceat(n, first) if len(first) else n)]
+        self.rows = self.merged = len(first)
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        """What is held, which is then forgotten."""
+        if self.runs:
+            self.merge()
+            keys, n = self.runs.pop()
+            self.rows = self.merged = 0
+            for a in range(0, len(keys), HANDED):
+                yield pa.RecordBatch.from_pydict({"gram": keys[a : a + HANDED].view(np.int64), "n": n[a : a + HANDED]})
 
-    def rows() -> pa.RecordBatch:
-        keys, n = merged()
-        return pa.RecordBatch.from_pydict({"gram": keys.astype(np.int64), "n": n})
 
+def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = Counts()
     for batch in batches:
-        documents = [b" ".join(tokens(t.as_py())) + END for t in batch.column(0)]
-        for a, z in strips(documents, COUNTED):
-            keys, n = np.unique(grams(documents[a:z])[0], return_counts=True)
-            held.append((keys, n.astype(np.int64)))
-            if len(held) >= 8:
-                held[:] = [merged()]
-                if len(held[0][0]) > MOST_HELD:
-                    yield rows()
-                    held.clear()
-    if held:
-        yield rows()
+        for documents in documents_of(batch.column(0)):
+            held.add(grams(documents)[0])
+            if held.rows >= MOST_HELD:
+                held.merge()
+                if held.rows > MOST_HELD // 2:
+                    yield from held.taken()
+    yield from held.taken()
 
 
 def train(texts: DataFrame) -> tuple[str, int]:
@@ -209,8 +224,8 @@ def train(texts: DataFrame) -> tuple[str, int]:
     for k, t in enumerate(tables[1:], 1):
         every = every.unionByName(t.select(F.lit(k).alias("size"), "gram", "n"))
     shards = max(1, math.ceil(every.count() / SHARD_GRAMS))
-    last_two = F.shiftright("gram", 8).bitwiseAND(F.lit(65535).cast("long"))
-    shard = F.when(F.col("size") < 2, -1).otherwise((last_two * MIX % PRIME % shards).cast("int"))
+    last = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * DEALT) - 1).cast("long"))
+    shard = F.when(F.col("size") < DEALT, -1).otherwise((last * MIX % PRIME % shards).cast("int"))
     folder = new_folder(texts.sparkSession, "ppm-shards")
     sorted_ = every.withColumn("shard", shard).repartition(shards + 1, "shard").sortWithinPartitions("shard", "size", "gram")
     sorted_.write.partitionBy("shard").parquet(folder)
@@ -233,16 +248,16 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def buffered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
-    """Ids, marks and texts of some batches together: as many as hold `least` bytes."""
+def buffered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Some batches together: as many as hold `least` bytes."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
         if sum(b.nbytes for b in held) >= least:
-            yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+            yield held
             held = []
     if held:
-        yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+        yield held
 
 
 def unigrams(rows: range, ids: pa.Array, held: pa.Array, documents: list[bytes], scores: np.ndarray,
@@ -284,33 +299,50 @@ def scorer(trie: str, shards: int, frequent: str):
         if table.num_columns:
             hot = dict(zip(table.column(0).to_pylist(), np.log10(table.column(1).to_numpy() + 0.1).tolist(), strict=True))
         row = TaskContext.get().partitionId() << 40
-        for ids, held, texts in buffered(batches, BUFFER if shards > 1 else 0):
-            documents = [b" ".join(tokens(t.as_py())) + END for t in texts]
-            scores = np.zeros(len(documents))
-            for shard in range(shards):
-                model = shard_of(trie, shard)
-                for a, z in strips(documents, SCORED_AT_ONCE):
-                    keys, lengths = grams(documents[a:z])
-                    which = np.repeat(np.arange(a, z), lengths)
-                    if shards > 1:
-                        own = in_shard(keys, shards) == shard
-                        keys, which = keys[own], which[own]
-                    each, place = np.unique(keys, return_inverse=True)
-                    scores += np.bincount(which, weights=model.score(each)[place], minlength=len(documents))
-            for a, z in strips(documents, COUNTED):
-                yield from unigrams(range(row + a, row + z), ids[a:z], held[a:z], documents[a:z], scores[a:z], hot)
-            row += len(documents)
+        for held in buffered(batches, BUFFER):
+            keys, logs = gram_logs(held, trie, shards)
+            for batch in held:
+                ids, marks, at = batch.column(0), batch.column(1), 0
+                for documents in documents_of(batch.column(2)):
+                    z = at + len(documents)
+                    grams_, lengths = grams(documents)
+                    each, place = np.unique(grams_, return_inverse=True)
+                    which = np.repeat(np.arange(len(documents)), lengths)
+                    scores = np.bincount(which, weights=logs[np.searchsorted(keys, each)][place], minlength=len(documents))
+                    yield from unigrams(range(row + at, row + z), ids[at:z], marks[at:z], documents, scores, hot)
+                    at = z
+                row += at
 
     return score
 
 
+def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of some texts, sorted, and log10 of the probability of their last byte; one shard at a time."""
+    found = Counts()
+    for batch in batches:
+        for documents in documents_of(batch.column(2)):
+            found.add(grams(documents)[0])
+            if found.rows >= MOST_HELD + found.merged:
+                found.merge()
+    found.merge()
+    keys = found.runs[0][0]
+    del found
+    logs, home = np.zeros(len(keys)), in_shard(keys, shards)
+    for shard in range(shards):
+        own, model = np.flatnonzero(home == shard), shard_of(trie, shard)
+        for a in range(0, len(own), AT_ONCE):
+            part = own[a : a + AT_ONCE]
+            logs[part] = model.score(keys[part])
+    return keys, logs
+
+
 SCORED = ["row", "id", "held_out", "n", "known", "sum", "score", "word"]
 
 
 def in_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each gram, by the last two bytes of its context."""
-    pairs = ((keys >> np.uint64(8)) & np.uint64(65535)).astype(np.int64)
-    return pairs * MIX % PRIME % shards
+    """The shard of each gram, by the last DEALT bytes of its context."""
+    last = ((keys >> np.uint64(8)) & np.uint64((1 << 8 * DEALT) - 1)).astype(np.int64)
+    return last * MIX % PRIME % shards
 
 
 def ppm_scores(docs: DataFrame, id_column: str = "doc_id", text: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:

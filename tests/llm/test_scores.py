@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -248,9 +249,40 @@ def plain_ppm(trie_counts, context, symbol, order):
     return out - math.log10(256 - len(seen))
 
 
+def test_gram_counts_are_bounded(monkeypatch):
+    """Counts stay right however small the runs are, and what waits is handed on early."""
+    draw = random.Random(6)
+    texts = [" ".join("".join(draw.choices("abcd", k=draw.randint(1, 6))) for _ in range(draw.randint(0, 90))) for _ in range(80)] + [None, ""]
+    want = Counter()
+    for t in texts:
+        want.update(lm_scoring.grams([b" ".join(lm_scoring.tokens(t)) + b"\n"])[0].view(np.int64).tolist())
+    monkeypatch.setattr(lm_scoring, "MOST_HELD", 500)
+    monkeypatch.setattr(lm_scoring, "HANDED", 100)
+    monkeypatch.setattr(lm_scoring, "COUNTED", 300)
+    got, sizes = Counter(), []
+    for rows in lm_scoring.count_grams(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts[a : a + 7], pa.string())}) for a in range(0, len(texts), 7)])):
+        sizes.append(rows.num_rows)
+        for gram, n in zip(*(rows.column(i).to_pylist() for i in (0, 1)), strict=True):
+            got[gram] += n
+    assert got == want and max(sizes) <= 100 and len(sizes) > 10
+
+
+def test_grams_of_one_pair_are_spread():
+    """Contexts that end in one common pair of bytes go to many shards, all longer contexts of a triple to one."""
+    keys = np.array([(a << 32 | b << 24 | 0x6865 << 8 | 0x20) for a in range(40) for b in range(97, 123)], dtype=np.uint64)  # "?he" + blank
+    home = lm_scoring.in_shard(keys, 8)
+    assert len(set(home.tolist())) == 8
+    assert all(len(set(home[b::26].tolist())) == 1 for b in range(26))
+
+
 @pytest.mark.parametrize("shard_grams", [3_000_000, 400])
 def test_ppm(spark, odd, odd_rows, shard_grams, monkeypatch):
     monkeypatch.setattr(lm_scoring, "SHARD_GRAMS", shard_grams)
+    if shard_grams == 400:
+        monkeypatch.setattr(lm_scoring, "MOST_HELD", 3000)
+        monkeypatch.setattr(lm_scoring, "AT_ONCE", 700)
+        monkeypatch.setattr(lm_scoring, "COUNTED", 2000)
+        monkeypatch.setattr(lm_scoring, "BUFFER", 9000)
     got = lm_scoring.ppm_scores(odd, hot_words=20).collect()
     lower = lambda t: [w.lower() for w in WORDS.findall(t or "")] if (t or "").isascii() else [w.translate({i: i + 32 for i in range(65, 91)}) for w in WORDS.findall(t or "")]
     held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in odd_rows]
