@@ -709,7 +709,7 @@ def _stored(spark: SparkSession, rollup: DataFrame, name: str) -> DataFrame:
     """Merges a rollup of the whole range into history and reads it back."""
     root = new_folder(spark, "history")
     tables.merge_windows(rollup, root, name, *tables.bounds(rollup, AS_OF, LOOKBACK))
-    return spark.read.parquet(f"{root}/{name}").select(*rollup.columns)
+    return tables.read_windows(spark, root, name).select(*rollup.columns)
 
 
 @query
@@ -733,7 +733,7 @@ def rollup_rerun(spark, sf_dir):
     for part in (rows, fewer):
         means = rollups.hourly_means(part, AS_OF, LOOKBACK, "0 hours", fields=["temperature"])
         tables.merge_windows(means, root, "sensor_data_1h", *tables.bounds(rows, AS_OF, LOOKBACK))
-    return rounded(spark.read.parquet(f"{root}/sensor_data_1h").drop("window_date"), "temperature")
+    return rounded(tables.read_windows(spark, root, "sensor_data_1h").drop("window_date"), "temperature")
 
 
 @query
@@ -742,6 +742,27 @@ def rollup_daily(spark, sf_dir):
     return rounded(_stored(spark, rows, "machine_events_1d"), "cycle_time")
 
 
+def stored_in_batches(spark: SparkSession, rows: DataFrame, root: str, name: str, batches: int = 20) -> None:
+    """Files rows in a table as a stream does that gets them in so many portions."""
+    rows.repartitionByRange(batches, "event_id").write.parquet(f"{root}/in")
+    portions = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    writer = portions.writeStream.foreachBatch(lambda batch, number: tables.append_batch(batch, root, name, number))
+    ingest.start(writer, f"{root}/checkpoint", every=None).awaitTermination()
+
+
+@query
+def compacted_batches(spark, sf_dir):
+    """Readings that came in 20 micro-batches, after compaction: figures, and folders, of each day."""
+    root = new_folder(spark, "compacted")
+    stored_in_batches(spark, views.zoned(sensor(spark, sf_dir)), root, "sensor_data")
+    tables.compact(spark, root, "sensor_data")
+    folders = [(day, n) for day, n in tables.folders_of(spark, root, "sensor_data").items()]
+    days = spark.createDataFrame(folders, "event_date string, folders int").withColumn("event_date", F.col("event_date").cast("date"))
+    rows = tables.read_table(spark, root, "sensor_data").groupBy("event_date", "machine").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("temperature").alias("temperature"), F.max("_time").alias("last_time"))
+    return rounded(plain(rows.join(F.broadcast(days), "event_date")), "temperature")
+
+
 @query
 def machine_efficiency_1h(spark, sf_dir):
     rows = rollups.hourly_efficiency(events(spark, sf_dir), AS_OF, LOOKBACK, "0 hours")

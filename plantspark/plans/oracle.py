@@ -495,6 +495,10 @@ from all_fields where {RANGE} group by machine, machine_type, _field, {_window_e
 select machine, machine_type, location, {_window_end('1 hour')} as _time, round(avg(temperature) + 3.7e-10, 6) as temperature
 from sensor_wide where {RANGE} and machine <> 'Saw1' and _time < timestamp '2024-01-20 00:00:00'
 group by machine, machine_type, location, {_window_end('1 hour')}"""),
+    "compacted_batches": over("sensor_wide", """
+select cast(_time as date) as event_date, machine, count(*) as readings, round(sum(temperature) + 3.7e-10, 6) as temperature,
+  max(_time) as last_time, 1 as folders
+from sensor_wide group by 1, 2"""),
     "limit_per_series_2000": over("sensor_wide", """
 select event_id, _time, machine, temperature from sensor_wide
 qualify row_number() over (partition by machine order by _time desc, event_id desc) <= 2000"""),

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plantspark.functions.panels import RANGE_PRESETS
 from plantspark.schemas import RETENTION_DAYS, TABLES
+from plantspark.sources import snapshots
+from plantspark.sources.snapshots import delete, folder_of as _folder
 
 
 def stamp(df: DataFrame, moment: datetime | str, time: str = "_time") -> Column:
@@ -48,12 +48,26 @@ def stored_layout(name: str) -> T.StructType:
     return T.StructType([*TABLES[name].fields, T.StructField("event_date", T.DateType())])
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A measurement table with its declared columns and `event_date`, also while nothing has been written."""
-    layout = stored_layout(name)
-    with_batch = T.StructType([*layout.fields, T.StructField("batch", T.StringType())])
-    stored = _stored(spark, f"{root}/{name}", with_batch)
-    return stored.drop("batch") if stored is not None else spark.createDataFrame([], layout)
+def read_table(spark: SparkSession, root: str, name: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """A measurement table with its declared columns and `event_date`, also while nothing has been written.
+
+    first, last: days outside are not even listed. What is read is one state of the table, whatever is written meanwhile.
+    """
+    layout, path = stored_layout(name), f"{root}/{name}"
+    now = snapshots.state(spark, path)
+    days = [d for d in now.days if (first is None or d >= first) and (last is None or d <= last)]
+    found = snapshots.read(spark, path, "event_date", layout, days, now)
+    return spark.createDataFrame([], layout) if found is None else found
+
+
+def read_windows(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A rollup table with `window_date`: one state of it, whatever is merged meanwhile. None before its first window."""
+    return snapshots.read(spark, f"{root}/{name}", "window_date")
+
+
+def folders_of(spark: SparkSession, root: str, name: str) -> dict[str, int]:
+    """In how many folders each day of a table lies."""
+    return {day: len(versions) for day, versions in sorted(snapshots.state(spark, f"{root}/{name}").days.items())}
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -72,100 +86,57 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def append_batch(rows: DataFrame, root: str, name: str, batch_id: int, time: str = "_time", run: str = "r0") -> None:
-    """Writes one micro-batch of a run under event_date / batch, replacing what an earlier try of it left.
+    """Adds one micro-batch of a run, in the place of what an earlier try of it left.
 
-    Batches of other runs are never touched. `rebalance` gathers each day into few files and splits a
-    day that is too large for one task.
+    Batches of other runs are never touched. Readers see all of a batch or nothing. `compact` rewrites days that many batches
+    have added to; a batch whose rows it has taken in is stored for good.
     """
-    (
-        rows.withColumn("event_date", F.to_date(time))
-        .withColumn("batch", F.lit(f"{run}-{batch_id}"))
-        .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch")
-        .parquet(f"{root}/{name}")
-    )
+    snapshots.add_batch(rows.withColumn("event_date", F.to_date(time)), f"{root}/{name}", run, batch_id, "event_date")
 
 
-def _folder(spark: SparkSession, path: str) -> tuple:
-    """A path and its file system, as the cluster sees them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def compact(spark: SparkSession, root: str, name: str, most: int = 1) -> list[str]:
+    """Rewrites the days of a measurement table that lie in over `most` folders into few files each; the days rewritten."""
+    return snapshots.compact(spark, f"{root}/{name}", "event_date", stored_layout(name), most)
 
 
 def days_of(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of the outer partition column that a table has folders for; one listing of its top folder."""
-    folder, files = _folder(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    """Values of the outer partition column that a table holds: as its state says, or from one listing of a plain folder."""
+    now = snapshots.state(spark, path)
+    if now.number >= 0:
+        return sorted(day for day in now.days if not day.endswith("__"))
+    names = snapshots.names_in(spark, path)
     return sorted(name.split("=")[1] for name in names if name.startswith(f"{column}=") and not name.endswith("__"))
 
 
-def _names(spark: SparkSession, path: str) -> set[str]:
-    folder, files = _folder(spark, path)
-    return {status.getPath().getName() for status in files.listStatus(folder)}
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    try:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
-@contextmanager
-def _alone(spark: SparkSession, path: str) -> Iterator[None]:
-    """Lets one merge into a table at a time: two at once would lose windows of a day both write."""
-    folder, files = _folder(spark, path)
-    if not files.createNewFile(folder):
-        raise RuntimeError(f"another merge holds {path}; delete that file if its job has died")
-    try:
-        yield
-    finally:
-        files.delete(folder, False)
-
-
-def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Column, time: str = "_time") -> None:
+def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Column, time: str = "_time",
+                  lock_seconds: float = 6 * 3600, tries: int = 3) -> None:
     """Replaces the windows of start..stop in a rollup table, so that a second run changes nothing.
 
     A window is filed under the day before its end. Only the days of the range are read and written,
-    and their other windows are kept. Days that are left without any window go after the new files are
-    in place; a job that dies in between is simply run again. The swap of files is not atomic for
-    readers, and a second merge into the same table is refused while one runs.
+    and their other windows are kept. Readers (`read_windows`) have the windows before or after the merge, never some of each.
+    A second merge into the same table is refused while one runs; the lock of a job that died ends after `lock_seconds`.
+    A merge that finds its days changed by a job that outlived its lock is made again.
     """
     spark, path = rows.sparkSession, f"{root}/{name}"
     inside = F.col(time) - F.expr("INTERVAL 1 MICROSECOND")
     filed = rows.withColumn("window_date", F.to_date(inside))
     top, files = _folder(spark, root)
     files.mkdirs(top)
-    with _alone(spark, f"{root}/{name}.lock"):
-        old, present = _stored(spark, path), []
-        if old is not None:
-            first, last = spark.range(1).select(F.to_date(start).cast("string"), F.to_date(stop).cast("string")).first()
-            present = [day for day in days_of(spark, path, "window_date") if first <= day <= last]
-            kept = old.where(F.col("window_date").between(F.to_date(start), F.to_date(stop)))
-            kept = kept.where((F.col(time) <= start) | (F.col(time) > stop))
-            filed = filed.unionByName(kept, allowMissingColumns=True)
-        before = {day: _names(spark, f"{path}/window_date={day}") for day in present}
-        (
-            filed.hint("rebalance", "window_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_date")
-            .parquet(path)
-        )
-        for day in present:  # every job names its files anew, so a day with its old files got no windows
-            if _names(spark, f"{path}/window_date={day}") == before[day]:
-                delete(spark, f"{path}/window_date={day}")
+    first, last = spark.range(1).select(F.to_date(start).cast("string"), F.to_date(stop).cast("string")).first()
+    with snapshots.Lock(spark, f"{root}/{name}.lock", lock_seconds):
+        for left in reversed(range(tries)):
+            base = snapshots.state(spark, path)
+            days = [day for day in base.days if first <= day <= last]
+            old, merged = snapshots.read(spark, path, "window_date", None, days, base), filed
+            if old is not None:
+                kept = old.where((F.col(time) <= start) | (F.col(time) > stop))
+                merged = filed.unionByName(kept, allowMissingColumns=True)
+            try:
+                snapshots.replace_days(merged, path, "window_date", base, days)
+                return
+            except snapshots.Changed:
+                if not left:
+                    raise
 
 
 def retained(df: DataFrame, store: str, as_of: datetime | str, time: str = "_time") -> DataFrame:
@@ -189,20 +160,17 @@ def expire_days(spark: SparkSession, table: str, store: str, as_of: date) -> lis
 
 def expire_stored_days(spark: SparkSession, root: str, name: str, store: str, as_of: date,
                        column: str = "event_date") -> list[str]:
-    """Deletes the whole days of a table under `root` that are past retention, files included; the days that went.
+    """Takes the whole days of a table under `root` that are past retention out of it; the days that went.
 
-    Only the day folders are listed, whatever they hold. Run it where no job is reading those days.
+    Readers that have begun go on; `snapshots.clean` deletes the files when no kept state names them.
     """
     first = (as_of - timedelta(days=RETENTION_DAYS[store])).isoformat()
-    expired = [day for day in days_of(spark, f"{root}/{name}", column) if day < first]
-    for day in expired:
-        delete(spark, f"{root}/{name}/{column}={day}")
-    return expired
+    return snapshots.drop_days(spark, f"{root}/{name}", lambda day: day < first)
 
 
 def stored_names(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
-    """Those of the named tables that exist under a root."""
-    found = [(name,) for name in names if _stored(spark, f"{root}/{name}") is not None]
+    """Those of the named tables that have been written under a root."""
+    found = [(name,) for name in names if snapshots.state(spark, f"{root}/{name}").number >= 0]
     return spark.createDataFrame(found, "name string")
 
 
