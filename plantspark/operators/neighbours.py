@@ -190,3 +190,31 @@ def start_end_pairs(df: DataFrame, by: Sequence[str], start: str, end: str, even
         )
         .select(*df.columns, "start_time", "seconds")
     )
+
+
+def nearest_starts(df: DataFrame, by: Sequence[str], start: str, end: str, within: str | None = None, event: str = "event_type",
+                   time: str = "_time", chunking: Chunking = Chunking()) -> DataFrame:
+    """End events with the nearest start event before them in their series (or at the same time), whatever lies between: adds
+    `start_time`, `seconds`. Ends without one, or with none inside the interval `within`, are left out.
+
+    Each piece of a series needs its own rows and one time from the pieces before, the latest start. That is a running maximum over a row per
+    piece, so no task gets a whole series.
+    """
+    kinds = df.where(F.col(event).isin(start, end))
+    cut, keys = in_chunks(kinds, by, time, None, chunking)
+    begun = F.when(F.col(event) == start, F.col(time))
+    latest = cut.groupBy(*keys).agg(F.max(begun).alias("_latest"))
+    before = Window.partitionBy(*by).orderBy(*CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.withColumn("_carried", F.max("_latest").over(before)).drop("_latest")
+    own = Window.partitionBy(*keys).orderBy(F.col(time)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut.withColumn("_own", F.max(begun).over(own)).where(F.col(event) == end).alias("r")
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+    found = rows.join(carried.alias("c"), same).select("r.*", F.coalesce("r._own", "c._carried").alias("start_time"))
+    found = found.where(F.col("start_time").isNotNull()).select(*df.columns, "start_time", seconds_between("start_time", time))
+    return found.where(F.col("start_time") >= F.col(time) - F.expr(f"INTERVAL {within}")) if within else found
+
+
+def seconds_between(first: str, second: str) -> Column:
+    """Seconds from one time to another, as `seconds`."""
+    micros = [F.unix_micros(F.col(c).cast("timestamp")) for c in (first, second)]
+    return ((micros[1] - micros[0]) / F.lit(1e6)).alias("seconds")

@@ -20,7 +20,7 @@ from plantspark.schemas import (
     EVENT_FIELDS, EXPECTED_MEASUREMENTS, EXPECTED_STORES, PIECE_FIELDS, SENSOR_FIELDS, SYSTEM_FIELDS,
 )
 from plantspark.sources import benchmark_views as views, messages as bus, tables
-from plantspark.streaming import closed_ranges, ingest, windows
+from plantspark.streaming import closed_ranges, ingest, live, windows
 
 AS_OF = "2024-01-31 00:00:00"
 LOOKBACK = "30 days"
@@ -30,6 +30,8 @@ WIDE_FIELDS = ["temperature", "power", "vibration_level", "rpm_spindle"]
 LONG_FIELDS = ["temperature", "power", "vibration_level", "rpm_spindle", "feed_rate"]
 LONG_SERIES = ["machine", "machine_type", "_field"]
 
+PROCESSING = ("processing_start", "processing_end")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -384,6 +386,13 @@ def cycle_time_pairs(spark, sf_dir):
     return rounded(neighbours.start_end_pairs(rows, ["machine"], "processing_start", "processing_end"), "seconds")
 
 
+@query
+def nearest_starts(spark, sf_dir):
+    """Every end of processing with the latest start of its piece on its machine, other pieces' events in between or not."""
+    rows = events(spark, sf_dir).select("event_id", "_time", "machine", "piece_id", "event_type")
+    return rounded(neighbours.nearest_starts(rows, ["machine", "piece_id"], *PROCESSING, within="6 hours"), "seconds")
+
+
 # --- named reports ----------------------------------------------------------------------------
 
 
@@ -908,3 +917,59 @@ def stream_cycle_time(spark, sf_dir):
         closed_ranges.pairs_over(["machine"], *kinds),
     )
     return rounded(rows, "seconds")
+
+
+def _portions(spark: SparkSession, rows: DataFrame, root: str, n: int = 4) -> DataFrame:
+    """A stream that gets rows in n portions, by their number and not by their time."""
+    rows.repartitionByRange(n, "event_id").sortWithinPartitions("event_id").write.parquet(f"{root}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+
+@query
+def stream_live_windows(spark, sf_dir):
+    """Hourly means kept up by a stream whose rows come in no order of time; windows that late rows belong to are repaired."""
+    root = new_folder(spark, "live")
+    rows = views.zoned(long_sensor(spark, sf_dir))
+    stream, mean = _portions(spark, rows, root), [F.avg("_value").alias("_value"), F.count("_value").alias("readings")]
+    live.live_windows(stream, LONG_SERIES, "1 hour", mean, root, "means", f"{root}/a", every=None).awaitTermination()
+    live.note_late(stream, "1 hour", root, "late", f"{root}/b", every=None).awaitTermination()
+    live.repair_windows(rows, LONG_SERIES, "1 hour", mean, root, "means", "late")
+    return rounded(plain(tables.read_windows(spark, root, "means").drop("window_date")), "_value")
+
+
+@query
+def stream_last_rows(spark, sf_dir):
+    """The last reading of every machine, kept up by a stream."""
+    root = new_folder(spark, "last")
+    rows = views.zoned(sensor(spark, sf_dir)).select("event_id", "_time", "machine", "temperature")
+    live.follow_last(_portions(spark, rows, root), ["machine"], root, "last", f"{root}/checkpoint", every=None).awaitTermination()
+    return plain(live.last_rows(spark, root, "last"))
+
+
+@query
+def stream_merged_points(spark, sf_dir):
+    """Points whose fields come in different micro-batches: one row each, with the field values that came last."""
+    root = new_folder(spark, "points")
+    key = ["machine", "_time"]
+    rows = views.zoned(sensor(spark, sf_dir)).withColumn("_time", F.date_trunc("minute", "_time")).selectExpr(
+        "event_id", *key, "if(event_id % 2 = 0, temperature, null) as temperature", "if(event_id % 3 = 0, power, null) as power")
+    points = live.merged_points(_portions(spark, rows, root), key, ["event_id"], delay="60 days")
+    day = F.to_date("_time").alias("event_date")
+    keep = lambda batch, _: tables.merge_rows(batch.select("*", day), root, "points", key, "event_date")
+    writer = points.writeStream.foreachBatch(keep).outputMode("update")
+    ingest.start(writer, f"{root}/checkpoint", every=None).awaitTermination()
+    return plain(tables.read_parts(spark, root, "points", "event_date").drop("event_date"))
+
+
+@query
+def stream_nearest_starts(spark, sf_dir):
+    """`nearest_starts` on a stream; an end and a later start far in the future end the input."""
+    root = new_folder(spark, "starts")
+    rows = views.zoned(events(spark, sf_dir)).select("event_id", "_time", "machine", "piece_id", "event_type")
+    last = [(2**62, "2100-01-01", None, None, PROCESSING[1]), (2**62 + 1, "2100-01-02", None, None, PROCESSING[0])]
+    marks = spark.createDataFrame(last, "event_id long, _time string, machine string, piece_id string, event_type string")
+    rows.unionByName(views.zoned(marks)).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+    pairs = live.nearest_start_stream(stream, ["machine", "piece_id"], *PROCESSING, within="6 hours", unique="event_id")
+    ingest.start(pairs.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", every=None).awaitTermination()
+    return rounded(plain(spark.read.parquet(f"{root}/out")), "seconds")

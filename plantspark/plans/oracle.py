@@ -214,6 +214,16 @@ _MACHINES = "'Milling1','Milling2','Lathe1','Saw1'"
 _STATIONS = "'Warehouse','Saw1','Milling1','Milling2','Lathe1'"
 _PIECE = ("piece_id", "pattern", "not regexp_full_match(piece_id, 'PZ[0-9]{3}')")
 
+_NEAREST = """
+select event_id, _time, machine, piece_id, event_type, start_time,
+  round(epoch(_time - start_time) + 3.7e-10, 6) as seconds
+from (
+  select event_id, _time, machine, piece_id, event_type,
+    max(case when event_type = 'processing_start' then _time end)
+      over (partition by machine, piece_id order by _time range between unbounded preceding and current row) as start_time
+  from machine_events)
+where event_type = 'processing_end' and start_time >= _time - interval 6 hours"""
+
 ORACLE: dict[str, str] = {
     "topic_filter": over("msg", """
 select concat('/plant/', split_part(topic, '/', 3), '/+') as subscription, topic, count(*) as messages
@@ -611,4 +621,17 @@ from sensor_long where {_HOUR_END} <= (select upto from closed) group by {_LONG}
     "stream_cycle_time": over("pairs", """
 select event_id, _time, machine, event_type, start_time, round(epoch(_time - start_time) + 3.7e-10, 6) as seconds
 from pairs"""),
+    "nearest_starts": over("machine_events", _NEAREST),
+    "stream_nearest_starts": over("machine_events", _NEAREST),
+    "stream_live_windows": over("sensor_long", f"""
+select {_LONG}, {_HOUR_END} as _time, round(avg(_value) + 3.7e-10, 6) as _value, count(_value) as readings
+from sensor_long group by {_LONG}, {_HOUR_END}"""),
+    "stream_last_rows": over("sensor_wide", """
+select event_id, _time, machine, temperature from sensor_wide
+qualify row_number() over (partition by machine order by _time desc, event_id desc) = 1"""),
+    "stream_merged_points": over("sensor_wide", """
+select machine, date_trunc('minute', _time) as _time,
+  arg_max(temperature, event_id) filter (event_id % 2 = 0 and temperature is not null) as temperature,
+  arg_max(power, event_id) filter (event_id % 3 = 0 and power is not null) as power
+from sensor_wide group by 1, 2"""),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -139,6 +140,38 @@ def merge_windows(rows: DataFrame, root: str, name: str, start: Column, stop: Co
                     raise
 
 
+def merge_rows(rows: DataFrame, root: str, name: str, keys: Sequence[str], column: str, tries: int = 10) -> list[str]:
+    """Puts rows in the place of those of equal keys in a versioned table, and adds the others. `column` names the part (a day, a shard) that a
+    row lies in, which follows from its keys; it is in the rows. Only parts with new rows are read and written, and
+    readers see all of the change or nothing. Doing it again changes nothing. Returns the parts written."""
+    spark, path = rows.sparkSession, f"{root}/{name}"
+    rows = rows.withColumn(column, F.col(column).cast("string"))
+    parts = [r[0] for r in rows.select(column).distinct().collect()]
+    if not parts:
+        return []
+    for left in reversed(range(tries)):
+        base = snapshots.state(spark, path)
+        old, merged = snapshots.read(spark, path, column, None, parts, base), rows
+        if old is not None:
+            old = old.withColumn(column, F.col(column).cast("string")).alias("old")
+            same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in (*keys, column)]
+            kept = old.join(rows.select(*keys, column).alias("new"), reduce(lambda a, b: a & b, same), "left_anti")
+            merged = rows.unionByName(kept, allowMissingColumns=True)
+        try:
+            snapshots.replace_days(merged, path, column, base, parts)
+            return sorted(parts)
+        except snapshots.Changed:
+            if not left:
+                raise
+    return []
+
+
+def read_parts(spark: SparkSession, root: str, name: str, column: str, like: T.StructType | None = None) -> DataFrame | None:
+    """A table that `merge_rows` keeps, one state of it; without its first row nothing, or an empty table of the given layout."""
+    found = snapshots.read(spark, f"{root}/{name}", column)
+    return spark.createDataFrame([], like) if found is None and like else found
+
+
 def retained(df: DataFrame, store: str, as_of: datetime | str, time: str = "_time") -> DataFrame:
     """Rows still inside the store's retention."""
     rows = df.where(F.col(time) >= stamp(df, as_of, time) - F.expr(f"INTERVAL {RETENTION_DAYS[store]} DAYS"))
