@@ -9,14 +9,19 @@ from plantspark.functions.plant import event_status, machine_type, piece_materia
 from plantspark.functions.rules import DEFAULTS, Thresholds, anomalies, described
 from plantspark.functions.stamps import parse_timestamp
 from plantspark.schemas import SENSOR_FIELDS
-from plantspark.sources.messages import numeric_fields
+from plantspark.sources.messages import made_once, numeric_fields, with_entries
 
-MADE_BY_DECODE = ["readable", "is_object", "entity", "event", "stamp", "body", "data", "data_kind", "kind", "reason"]
+#: Entries of the data that decide whether a message is refused.
+JUDGED = ["piece_id", "duration", "tool_wear", "cycle_time"]
+MADE_BY_DECODE = [
+    "readable", "is_object", "entity", "event", "stamp", "body", "data", "data_kind", "kind", "reason",
+    *[f"entry_{key}" for key in JUDGED],
+]
 
 
 def _data(key: str) -> str:
-    """Entry of the message's data: a struct (kind, text, number), NULL when the key is absent."""
-    return f"try_element_at(data, '{key}')"
+    """Entry of the message's data: a struct (kind, text, number), NULL when the key is absent. See `with_entries`."""
+    return f"entry_{key}"
 
 
 def _is_text(entry: str) -> str:
@@ -79,8 +84,9 @@ def reject_reason() -> str:
 
 
 def check(routed: DataFrame) -> DataFrame:
-    """Adds `reason`, NULL for messages that can be normalised."""
-    return routed.selectExpr("*", f"{reject_reason()} as reason")
+    """Adds `reason`, NULL for messages that can be normalised, and the entries it was found from."""
+    rows = with_entries(routed, JUDGED)
+    return made_once(rows, [c for c in rows.columns if c != "kind"], kind="kind", reason=reject_reason())
 
 
 def stamped(rows: DataFrame) -> DataFrame:
@@ -129,7 +135,7 @@ def machine_events(checked: DataFrame, null_text: str | None = None) -> DataFram
     """Rows of `machine_events`; `null_text` is what a tag that is JSON null is written as."""
     event, status = "event.text", _data("status")
     given = f"if({status} is not null, {_text(status)}, 'unknown')"
-    return stamped(accepted(checked, "machine")).selectExpr(
+    return stamped(with_entries(accepted(checked, "machine"), ["tool", "status"])).selectExpr(
         "_time",
         f"{_text('entity')} as machine",
         f"{event} as event_type",
@@ -148,7 +154,7 @@ def piece_movements(checked: DataFrame, null_text: str | None = None) -> DataFra
     event, piece = "event.text", f"{_data('piece_id')}.text"
     origin, target, priority = _data("from"), _data("to"), _data("priority")
     distance = station_distance(_text(origin, "None"), _text(target, "None"))
-    return stamped(accepted(checked, "piece")).selectExpr(
+    return stamped(with_entries(accepted(checked, "piece"), ["from", "to", "priority"])).selectExpr(
         "_time",
         f"{piece} as piece_id",
         f"{event} as event_type",

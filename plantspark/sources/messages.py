@@ -17,8 +17,8 @@ FILES_PER_BATCH, OFFSETS_PER_BATCH = 1000, 5_000_000
 # Numbers that JSON does not have, where a value stands; some senders write them.
 NOT_JSON = r"(?<=[:\\[,\\s])(-?Infinity|NaN)(?=[,}\\]\\s])"
 
-# JSON types that count as numbers; booleans are 1 and 0.
-NUMERIC = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
+# JSON types that count as numbers, besides decimals of any size; booleans are 1 and 0.
+NUMERIC = "'BIGINT', 'DOUBLE', 'FLOAT', 'BOOLEAN'"
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -67,11 +67,16 @@ def subscribed(messages: DataFrame, patterns: list[str] | None = None) -> DataFr
     return messages.where(wanted)
 
 
-def _entry(value: str) -> str:
-    """Variant as (kind, text, number): JSON type, text form, value if it is a number."""
+def _is_numeric(kind: str) -> str:
+    return f"({kind} in ({NUMERIC}) or startswith({kind}, 'DECIMAL'))"
+
+
+def entry(value: str) -> str:
+    """Variant as (kind, text, number): JSON type, text form, value if it is a number; NULL for no variant."""
+    kind = f"schema_of_variant({value})"
     return (
-        f"named_struct('kind', schema_of_variant({value}), 'text', try_variant_get({value}, '$', 'string'),"
-        f" 'number', if(schema_of_variant({value}) rlike '{NUMERIC}', try_variant_get({value}, '$', 'double'), null))"
+        f"if({value} is null, null, named_struct('kind', {kind}, 'text', try_variant_get({value}, '$', 'string'),"
+        f" 'number', if({_is_numeric(kind)}, try_variant_get({value}, '$', 'double'), null)))"
     )
 
 
@@ -83,42 +88,48 @@ def _mended(payload: str) -> str:
 def numeric_fields(body: str = "body") -> str:
     """Map of the numeric and boolean entries of a decoded body, as doubles."""
     return (
-        f"map_filter(transform_values({body}, (name, v) -> if(schema_of_variant(v) rlike '{NUMERIC}',"
+        f"map_filter(transform_values({body}, (name, v) -> if({_is_numeric('schema_of_variant(v)')},"
         f" try_variant_get(v, '$', 'double'), null)), (name, n) -> n is not null)"
     )
 
 
+def made_once(rows: DataFrame, keep: list[str], **columns: str) -> DataFrame:
+    """Adds columns that come out of a generator, below which filters are not moved: each use would make them again."""
+    inside = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return rows.selectExpr(*keep, f"inline(array(named_struct({inside})))")
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Parses payloads once, keeping JSON types apart: the text "5" is no number, null is not absent.
 
     Adds `readable` (it is JSON), `is_object`, `entity`, `event` and `stamp` as structs (kind, text,
-    number) with the kind VOID for a JSON null; `data_kind`; the data as the map `body` of raw values; and, for
-    tracking messages, as the map `data` of such structs. Numbers of readings are taken from
-    `body` by `numeric_fields` where they are asked for, and nowhere else.
+    number) with the kind VOID for a JSON null; `data`, a variant, and its `data_kind`; and its entries as the map `body` of
+    raw values. Nothing of that is made for a query that does not ask for it, but for the parsing.
     """
     keep = messages.columns
+    parsed = made_once(messages, keep, _body=f"coalesce(try_parse_json(payload), {_mended('payload')})")
     head = {"entity": "entity", "event": "event", "stamp": "timestamp"}
-    split = (
-        messages.selectExpr(*keep, f"coalesce(try_parse_json(payload), {_mended('payload')}) as _body")
-        .selectExpr(
-            *keep, "_body is not null as readable",
-            *[f"try_variant_get(_body, '$.{key}', 'variant') as {name}" for name, key in head.items()],
-            "try_variant_get(_body, '$.data', 'variant') as _data",
-            "try_variant_get(_body, '$.data', 'map<string,variant>') as _map",
-        )
+    split = parsed.selectExpr(
+        *keep, "_body is not null as readable",
+        *[f"try_variant_get(_body, '$.{key}', 'variant') as {name}" for name, key in head.items()],
+        "try_variant_get(_body, '$.data', 'variant') as data",
+        "try_variant_get(_body, '$.data', 'map<string,variant>') as body",
     )
-    # Filters on decoded columns are not moved below a generator, where each use would parse again.
     return split.selectExpr(
-        *keep,
-        f"""inline(array(named_struct('readable', readable,
-          'is_object', readable and substr(ltrim(' \t\r\n', payload), 1, 1) = '{{',
-          {''.join(f"'{name}', if({name} is null, null, {_entry(name)}), " for name in head)}
-          'body', _map,
-          'data', if(contains(topic, '/plant/tracking/'), transform_values(_map, (name, v) -> {_entry('v')}), null),
-          'data_kind', if(_map is not null, if(size(_map) > 0, 'OBJECT', 'OBJECT<>'), schema_of_variant(_data)))))""",
+        *keep, "readable",
+        "readable and substr(ltrim(' \t\r\n', payload), 1, 1) = '{' as is_object",
+        *[f"{entry(name)} as {name}" for name in head],
+        "body", "data",
+        "if(body is not null, if(size(body) > 0, 'OBJECT', 'OBJECT<>'), schema_of_variant(data)) as data_kind",
     )
 
 
+def with_entries(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds entries of the data as structs (kind, text, number), named `entry_<key>`; NULL where the key is absent."""
+    raw = rows.selectExpr("*", *[f"try_variant_get(data, '$.{key}', 'variant') as _{key}" for key in keys])
+    return raw.selectExpr(*rows.columns, *[f"{entry(f'_{key}')} as entry_{key}" for key in keys])
+
+
 def route(decoded: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
     """Adds `kind`: sensor, piece, machine, unknown, or bad_json.
 
@@ -127,7 +138,7 @@ def route(decoded: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
     """
     is_piece = "(entity.kind = 'STRING' and entity.text = 'piece')"
     if deposit_as_piece:
-        is_piece += " or (event.text = 'deposit' and try_element_at(data, 'piece_id').text <> '')"
+        is_piece += " or (event.text = 'deposit' and try_variant_get(data, '$.piece_id', 'string') <> '')"
     return decoded.selectExpr(
         "*",
         f"""case when not readable then 'bad_json' when contains(topic, '/plant/data/') then 'sensor'
