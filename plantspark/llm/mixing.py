@@ -11,9 +11,12 @@ constraint on documents first and draws the last one.
 Each flight preserves the inclusion probabilities, and each block preserves its totals, so the words taken from a
 source differ from its target by less than its largest document, or two for a tiny source.
 
+Blocks are dealt by a hash of id, text and the number of the copy: rows that agree in all that is read are counted first and
+then numbered, RUN of them at a time, so that no row, however often it occurs, fills a block or a task.
+
 Defined cases: a null text has size 0; a null source is a source of its own, the last one; sources without words
-get target 0 and nothing is taken from them; repeated ids and rows are documents of their own; draws depend on the seed, the id
-and the size only, so reruns agree (equal rows are interchangeable). An empty table gives an empty result.
+get target 0 and nothing is taken from them; repeated ids and rows are documents of their own; draws depend on the seed, the id,
+the text and the number of the copy only, so reruns agree (equal rows are interchangeable). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 #: Documents per block of the first round; blocks merged into one in later rounds.
 BLOCK, MERGE = 128, 64
+#: Copies of one row that a task numbers.
+RUN = 4096
 EPS = 1e-9
 
 
@@ -150,6 +155,16 @@ def decided(rows: DataFrame, seed: int) -> DataFrame:
         rows = rows.filter(is_open).withColumn("_block", F.pmod("_block", merged)).withColumn("_blocks", merged)
 
 
+def copies_numbered(rows: DataFrame) -> DataFrame:
+    """All rows again, with the number `_copy` of each among those that agree with it."""
+    same = stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("_k")), "mix-copies")
+    runs = same.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_k") - 1) / RUN))))
+    if same.filter(F.col("_k") > RUN).limit(1).count():
+        runs = runs.repartition(*rows.columns, "_run")
+    first = F.col("_run") * RUN
+    return runs.withColumn("_copy", F.explode(F.sequence(first, F.least(first + RUN, "_k") - 1))).drop("_k", "_run")
+
+
 def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = 11, carry: list[str] = ()) -> DataFrame:
     """One row per document: size, source_size, target, copies, taken (copies x size), and the columns named in `carry`."""
@@ -159,6 +174,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
             F.col(id_column).alias("_id"),
             F.col(source).alias("source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64(text).alias("_text"),
             *[F.col(c).alias(h) for c, h in zip(carry, held, strict=True)],
         ),
         "mix-sizes",
@@ -166,7 +182,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     sources = stored(targets(sources, weights, most), "mix-targets").drop("weight")
     small = sources.count() <= 10_000
-    rows = sized.withColumnRenamed("source", "_s").join(
+    rows = copies_numbered(sized).withColumnRenamed("source", "_s").join(
         F.broadcast(sources) if small else sources, F.col("_s").eqNullSafe(F.col("source"))
     )
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -175,7 +191,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
         "_id", "size", "source_size", "target", "source_no", "_n", *held,
         F.floor("_ratio").cast("long").alias("_whole"),
         (F.col("_ratio") - F.floor("_ratio")).alias("pi"),
-        F.xxhash64(F.lit(seed), "_id", "size").alias("_order"),
+        F.xxhash64(F.lit(seed), "_id", "size", "_text", "_copy").alias("_order"),
     )
     copies = F.col("_whole") + F.round("pi").cast("long")
     return decided(rows, seed).select(

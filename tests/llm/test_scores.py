@@ -174,6 +174,21 @@ def test_mixing(spark, odd, odd_rows, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_of_one_row_many_times(spark, monkeypatch):
+    """Equal rows are dealt over blocks, whatever their number; reruns agree."""
+    monkeypatch.setattr(mixing, "RUN", 50)
+    rows = [(None, "a b c", "x")] * 1500 + [(i, "w " * (i % 9 + 1), "y") for i in range(300)] + [(7, "one two", "x")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    sized = mixing.copies_numbered(docs.select("doc_id", "text"))
+    assert sorted(r._copy for r in sized.filter("text = 'a b c'").collect()) == list(range(1500))
+    order = sized.filter("text = 'a b c'").select(mixing.F.xxhash64(mixing.F.lit(11), "doc_id", "_copy").alias("h"))
+    assert order.distinct().count() == 1500
+    got, again = (Counter(map(tuple, mixing.mix(d).collect())) for d in (docs, docs.repartition(7)))
+    assert got == again and sum(got.values()) == len(rows)
+    for target in {r[3] for r in got}:
+        assert abs(sum(r[5] * n for r, n in got.items() if r[3] == target) - target) <= 10
+
+
 def test_flight_keeps_totals_and_probabilities():
     sizes = np.random.default_rng(0).integers(1, 50, 40).astype(float)
     rows = np.vstack([np.ones(40), sizes])
