@@ -40,6 +40,8 @@ from plantspark.session import new_folder
 ORDER = 6
 SHARD_GRAMS = 4_000_000
 HOT_WORDS = 300_000
+#: Distinct words that a task counts before it hands them on.
+MOST_WORDS = 200_000
 #: Grams that a task holds, in runs, before it merges them and hands them on; grams handed on at a time.
 MOST_HELD, HANDED = 1_500_000, 200_000
 #: Bytes of texts whose distinct grams are looked up together, which reads all shards once.
@@ -157,17 +159,6 @@ def read_shard(folder: str, shard: int) -> Trie:
     return Trie(out)
 
 
-_held: dict[tuple[str, int], Trie] = {}
-
-
-def shard_of(folder: str, shard: int) -> Trie:
-    """The shard, kept until another one is asked for."""
-    if (folder, shard) not in _held:
-        _held.clear()
-        _held[folder, shard] = read_shard(folder, shard)
-    return _held[folder, shard]
-
-
 class Counts:
     """Sorted distinct grams with their numbers, from runs that are merged when they hold MOST_HELD rows together."""
 
@@ -241,7 +232,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column(0):
             found.update(tokens(text.as_py()))
-        if len(found) > 500_000:
+        if len(found) > MOST_WORDS:
             yield rows()
             found.clear()
     if found:
@@ -299,8 +290,9 @@ def scorer(trie: str, shards: int, frequent: str):
         if table.num_columns:
             hot = dict(zip(table.column(0).to_pylist(), np.log10(table.column(1).to_numpy() + 0.1).tolist(), strict=True))
         row = TaskContext.get().partitionId() << 40
+        only = [read_shard(trie, 0)] if shards == 1 else []  # goes with the task
         for held in buffered(batches, BUFFER):
-            keys, logs = gram_logs(held, trie, shards)
+            keys, logs = gram_logs(held, trie, shards, only)
             for batch in held:
                 ids, marks, at = batch.column(0), batch.column(1), 0
                 for documents in documents_of(batch.column(2)):
@@ -316,8 +308,10 @@ def scorer(trie: str, shards: int, frequent: str):
     return score
 
 
-def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct grams of some texts, sorted, and log10 of the probability of their last byte; one shard at a time."""
+def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int, models: list[Trie]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of some texts, sorted, and log10 of the probability of their last byte; one shard at a time.
+
+    models: the shards, or none if they are to be read in turn."""
     found = Counts()
     for batch in batches:
         for documents in documents_of(batch.column(2)):
@@ -329,10 +323,11 @@ def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int) -> tuple[np
     del found
     logs, home = np.zeros(len(keys)), in_shard(keys, shards)
     for shard in range(shards):
-        own, model = np.flatnonzero(home == shard), shard_of(trie, shard)
+        own, model = np.flatnonzero(home == shard), models[shard] if models else read_shard(trie, shard)
         for a in range(0, len(own), AT_ONCE):
             part = own[a : a + AT_ONCE]
             logs[part] = model.score(keys[part])
+        del model
     return keys, logs
 
 
