@@ -181,12 +181,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_column: str = "doc
     kind = rows.schema["doc"].dataType
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, part, number = encoder(tokenizer).encode, Packer(spec), TaskContext.get().partitionId(), 0
+        encode, packer, part, number = encoder(tokenizer).encode_batch, Packer(spec), TaskContext.get().partitionId(), 0
         out: Rows | None = None
         for batch in batches:
             out = out or Rows(batch.schema.field(0).type, with_ids)
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encode(body.as_py()), np.uint16(end_id) if end_id < 1 << 16 else np.uint32(end_id))
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                ids = np.append(ids, np.uint16(end_id) if end_id < 1 << 16 else np.uint32(end_id))
                 closed = []
                 for at in range(0, len(ids), spec.width):
                     closed += packer.put([Piece(doc, at, ids[at : at + spec.width], len(ids))])

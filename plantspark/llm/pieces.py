@@ -7,9 +7,8 @@ end becomes byte pieces.
 
 No piece holds a character followed by the space mark unless that character is one too. So no merge crosses the start of a run of spaces,
 and the chunks from there to the next are encoded by themselves, each distinct one once per strip of an Arrow batch. Nor does a merge join two
-characters that are neighbours in no piece: between these a chunk falls into atoms. The agendas of all short atoms of a strip advance
-together, a merge each per round: they are rows of one matrix with the ranks of the pairs, and the best pair of a row is
-its leftmost minimum. Atoms of over WIDEST characters have an agenda of their own, a heap.
+characters that are neighbours in no piece: between these a chunk falls into atoms. The agendas of all short atoms of a strip
+advance together, a merge each per round (`merges`).
 
 Decoding. Pieces are put in a row, byte pieces as bytes (what is not UTF-8 becomes U+FFFD), control pieces as nothing, the unknown
 piece as its sign; space marks become spaces and the first space goes.
@@ -25,7 +24,6 @@ one. Other columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 from hashlib import sha256
@@ -39,16 +37,12 @@ from pyspark.sql import functions as F
 
 from plantspark.llm.chunks import binaries, chunked, in_place, strips
 from plantspark.llm.common import map_texts
+from plantspark.llm.merges import Merges
 
 #: The mark of a space in pieces, and how the unknown piece is written in texts.
 MARK, UNKNOWN = "▁", " ⁇ "
-#: Atoms of up to so many characters are merged together, in matrices as wide as the longest.
-WIDTHS = (4, 8, 16, 32)
-WIDEST = WIDTHS[-1]
 #: Chunks that the library checks at a time.
 CHECKED = 50_000
-#: No pair, behind the last rank.
-NONE = np.int32(2**31 - 1)
 #: Texts that a vocabulary must leave alone.
 PROBES = ["ﬁ Ａ  x ", " \t\n é é İ ", "​﻿\x00\x7f", "½ ㍿ ﷺ"]
 
@@ -71,7 +65,6 @@ class PieceCoder:
             raise ValueError(f"{path}: not a vocabulary with byte pieces, the space mark and no unused pieces")
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError(f"{path}: pieces reach over spaces")
-        self.scores = {p: lib.get_score(i) for p, i in self.ids.items()}
         shown = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
         self.shown = shown | {i: b"" for i in special if lib.is_control(i)} | {lib.unk_id(): UNKNOWN.encode()}
         self.is_byte, self.silent = set(self.bytes.values()), {i for i in special if lib.is_control(i)}
@@ -103,79 +96,12 @@ class PieceCoder:
                 self.neighbours[place[p[k - 1]], place[p[k]]] = True
                 left, right = self.number.get(p[:k]), self.number.get(p[k:])
                 if left is not None and right is not None:
-                    pairs[left * self.base + right] = i
-        keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_keys, self.pair_made = keys, np.array([pairs[k] for k in keys.tolist()], dtype=np.int32)
-        made = sorted(set(pairs.values()))
-        scores = np.array([self.library.get_score(i) for i in made])
-        self.rank = np.full(size + 1, NONE, dtype=np.int32)  # by score, best first, equal scores alike; the last one is of no pair
-        self.rank[made] = np.unique(-scores, return_inverse=True)[1]
+                    pairs[left, right] = i
+        best_first = sorted({-self.library.get_score(i) for i in pairs.values()})  # equal scores have one rank
+        rank = {x: k for k, x in enumerate(best_first)}
+        self.merges = Merges({pair: (i, rank[-self.library.get_score(i)]) for pair, i in pairs.items()}, self.base)
         self.byte_ids = np.array([self.bytes[b] for b in range(256)], dtype=np.int32)
 
-    def merged(self, atom: str) -> list[str]:
-        """The symbols that are left when no two neighbours make a piece."""
-        scores, symbols = self.scores, list(atom)
-        n = len(symbols)
-        if n < 2:
-            return symbols
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda = []
-        for i in range(n - 1):
-            piece = symbols[i] + symbols[i + 1]
-            if (score := scores.get(piece)) is not None:
-                agenda.append((-score, i, piece))
-        heapq.heapify(agenda)
-        while agenda:
-            _, i, piece = heapq.heappop(agenda)
-            j = after[i]
-            if j < 0 or not symbols[i] or symbols[i] + symbols[j] != piece:
-                continue  # one of the two is gone, or has grown
-            symbols[i], symbols[j] = piece, ""
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                new = piece + symbols[k]
-                if (score := scores.get(new)) is not None:
-                    heapq.heappush(agenda, (-score, i, new))
-            if (h := before[i]) >= 0:
-                new = symbols[h] + piece
-                if (score := scores.get(new)) is not None:
-                    heapq.heappush(agenda, (-score, h, new))
-        return [s for s in symbols if s]
-
-    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that two symbols make; `size` if none."""
-        keys = left.astype(np.int64) * self.base + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_made[at], self.size).astype(np.int32)
-
-    def together(self, symbols: np.ndarray, lengths: np.ndarray):
-        """Merges in all rows of a matrix of symbols (-1 beyond the length); yields rows and their symbols when they are done."""
-        rows = np.arange(len(symbols))
-        made = self.pair(symbols[:, :-1], symbols[:, 1:])
-        while len(rows):
-            if not made.shape[1]:
-                yield rows, symbols
-                return
-            ranks = self.rank[made]
-            best = ranks.argmin(axis=1)
-            every = np.arange(len(rows))
-            more = ranks[every, best] != NONE
-            if not more.all():
-                yield rows[~more], symbols[~more]
-                rows, symbols, made, best = rows[more], symbols[more], made[more], best[more]
-                every = np.arange(len(rows))
-            width = symbols.shape[1] - 1
-            columns = np.arange(width)
-            piece = made[every, best]
-            symbols = np.take_along_axis(symbols, columns + (columns > best[:, None]), axis=1)
-            symbols[every, best] = piece
-            made = np.take_along_axis(made, columns[:-1] + (columns[:-1] >= best[:, None]), axis=1)
-            left = np.flatnonzero(best > 0)
-            made[left, best[left] - 1] = self.pair(symbols[left, best[left] - 1], piece[left])
-            right = np.flatnonzero(best < width - 1)
-            made[right, best[right]] = self.pair(piece[right], symbols[right, best[right] + 1])
-
     def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and where those of each begin and the last ones end. Chunks: spaces, then other characters."""
         text = "".join(chunks.to_pylist()).replace(" ", MARK)
@@ -190,33 +116,8 @@ class PieceCoder:
         starts = np.flatnonzero(cut)
         sizes = np.diff(np.append(starts, len(points)))
         known = self.symbol[points]
-        first = np.where(known < 0, -points - 1, known)  # of a character in no piece: less than 0
-
-        counts = np.ones(len(starts), dtype=np.int64)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        low = 1
-        for width in WIDTHS:
-            atoms = np.flatnonzero((sizes > low) & (sizes <= width))
-            low = width
-            if not len(atoms):
-                continue
-            columns = np.arange(width)
-            inside = columns < sizes[atoms][:, None]
-            matrix = np.where(inside, first[np.minimum(starts[atoms][:, None] + columns, len(first) - 1)], -1)
-            for rows, symbols in self.together(matrix, sizes[atoms]):
-                counts[atoms[rows]] = (symbols >= 0).sum(axis=1)
-                done.append((atoms[rows], symbols))
-        for atom in np.flatnonzero(sizes > WIDEST).tolist():
-            found = self.merged(text[starts[atom] : starts[atom] + sizes[atom]])
-            counts[atom] = len(found)
-            done.append((np.array([atom]), np.array([[self.number[x] for x in found]])))
-        at = np.cumsum(counts) - counts
-        out = np.empty(int(counts.sum()), dtype=np.int32)
-        single = np.flatnonzero(sizes == 1)
-        out[at[single]] = first[starts[single]]
-        for atoms, symbols in done:
-            own = symbols >= 0
-            out[(at[atoms][:, None] + np.arange(symbols.shape[1]))[own]] = symbols[own]
+        first = np.where(known < 0, -points - 2, known)  # of a character in no piece: below -1
+        out, counts = self.merges.run(first, starts, sizes)
         of_chunk = np.repeat(np.searchsorted(ends, starts, side="right") - 1, counts)
         return self.with_bytes(out, of_chunk, len(chunks))
 
@@ -226,7 +127,7 @@ class PieceCoder:
         lengths = np.ones(len(symbols), dtype=np.int64)
         points = symbols[missing].astype(np.int64)
         own = points >= 0
-        points[own], points[~own] = self.extra_points[points[own] - self.size], -points[~own] - 1
+        points[own], points[~own] = self.extra_points[points[own] - self.size], -points[~own] - 2
         distinct, which = np.unique(points, return_inverse=True)
         raw = [chr(x).encode() for x in distinct.tolist()]
         lengths[missing] = np.array([len(x) for x in raw], dtype=np.int64)[which]

@@ -182,7 +182,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = shared_file_system(folder)
         fs.create_dir(root, recursive=True)
-        encode, task = encoder(tokenizer).encode, TaskContext.get()
+        encode, task = encoder(tokenizer).encode_batch, TaskContext.get()
         part, number, first = task.partitionId(), 0, 0
         docs_, arrays, total = [], [], 0
         end = np.array([end_id], dtype="<u4")
@@ -204,9 +204,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             return row
 
         for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 docs_.append(doc)
-                arrays.append(encode(body.as_py()))
+                arrays.append(ids)
                 total += len(arrays[-1]) + 1
                 if total >= shard_tokens:
                     yield flush()

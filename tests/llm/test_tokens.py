@@ -5,11 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from plantspark.llm import packing, token_files
+from plantspark.llm import chunks, packing, token_files
 from plantspark.llm.encoding import Encoder
 from plantspark.session import new_folder
 
@@ -21,12 +22,17 @@ def plain(name, texts, end):
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_encoder_equals_the_library(name):
+def test_encoder_equals_the_library(name, monkeypatch):
     draw = random.Random(1)
-    letters = [*"aA éÉß'' st \n\t  　\x1c\x85ǅ1²Ⅷ漢🙂éİſΣς'll've.,-_", "<|endoftext|>", "  "]
+    letters = ["\u2003", " \u2003 ", "\xa0\n", *"aA éÉß'' st \n\t  　\x1c\x85ǅ1²Ⅷ漢🙂éİſΣς'll've.,-_", "<|endoftext|>", "  "]
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 50))) for _ in range(1500)]
     encoder = Encoder(public_tokenizers.path(name))
-    assert [encoder.encode(t).tolist() for t in texts] == [ids[:-1] for ids in plain(name, texts, 0)]
+    want = [ids[:-1] for ids in plain(name, texts, 0)]
+    assert [ids.tolist() for ids in encoder.encode_batch(pa.array(texts))] == want
+    monkeypatch.setattr(chunks, "STRIP", 200)
+    some = [None, *texts[:100], None]
+    got = [ids.tolist() for ids in encoder.encode_batch(pa.array(some).slice(1))]
+    assert got == [*want[:100], []]
 
 
 def test_packing_keeps_every_id_once(spark, odd, odd_rows):
