@@ -20,7 +20,7 @@ from plantspark.schemas import (
     EVENT_FIELDS, EXPECTED_MEASUREMENTS, EXPECTED_STORES, PIECE_FIELDS, SENSOR_FIELDS, SYSTEM_FIELDS,
 )
 from plantspark.sources import benchmark_views as views, messages as bus, tables
-from plantspark.streaming import closed_ranges, ingest, live, windows
+from plantspark.streaming import closed_ranges, in_order, ingest, live, windows
 
 AS_OF = "2024-01-31 00:00:00"
 LOOKBACK = "30 days"
@@ -973,3 +973,38 @@ def stream_nearest_starts(spark, sf_dir):
     pairs = live.nearest_start_stream(stream, ["machine", "piece_id"], *PROCESSING, within="6 hours", unique="event_id")
     ingest.start(pairs.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", every=None).awaitTermination()
     return rounded(plain(spark.read.parquet(f"{root}/out")), "seconds")
+
+
+def _ended(spark: SparkSession, rows: DataFrame, root: str, **series_of_the_mark: str) -> DataFrame:
+    """A stream over rows in four portions in the order of time, and then one row far in the future, which ends the input."""
+    mark = rows.limit(1).select(*[
+        (F.lit("2100-01-01") if c == "_time" else F.lit(series_of_the_mark.get(c))).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+    micros = F.unix_micros("_time")
+    low, high = rows.agg(F.min(micros), F.max(micros)).first()
+    quarter = F.least(F.floor((micros - low) * 4 / max(1, high - low)), F.lit(3))
+    for part in (*[rows.where(quarter == k) for k in range(4)], mark):  # files are taken by their age
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+
+def _arrived(spark: SparkSession, found: DataFrame, root: str) -> DataFrame:
+    with in_order.rocksdb(spark):
+        query = ingest.start(found.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", every=None)
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query
+def stream_gaps_on_arrival(spark, sf_dir):
+    """Gaps as soon as the watermark has passed them, from state and timers of each machine."""
+    root = new_folder(spark, "arrival")
+    rows = views.zoned(sensor(spark, sf_dir)).select("event_id", "_time", "machine")
+    return plain(_arrived(spark, in_order.gaps_on_arrival(_ended(spark, rows, root, machine="end"), ["machine"]), root))
+
+
+@query
+def stream_moving_average_on_arrival(spark, sf_dir):
+    root = new_folder(spark, "arrival")
+    rows = views.zoned(long_sensor(spark, sf_dir)).select("event_id", "_time", *LONG_SERIES, "_value")
+    found = in_order.means_on_arrival(_ended(spark, rows, root, machine="end", _value="0"), LONG_SERIES, 10)
+    return rounded(plain(_arrived(spark, found, root)), "_value")

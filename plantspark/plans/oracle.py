@@ -634,4 +634,7 @@ select machine, date_trunc('minute', _time) as _time,
   arg_max(temperature, event_id) filter (event_id % 2 = 0 and temperature is not null) as temperature,
   arg_max(power, event_id) filter (event_id % 3 = 0 and power is not null) as power
 from sensor_wide group by 1, 2"""),
+    "stream_gaps_on_arrival": over("gaps", "select * from gaps"),
+    "stream_moving_average_on_arrival": over("sensor_long", _MOVING.format(
+        tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")),
 }
