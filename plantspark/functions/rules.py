@@ -64,9 +64,14 @@ def _anomaly(rule: str, value: str, unit: str, *cases: tuple[str, str, str]) ->
     return f"case {found} end"
 
 
-def _above(value: str, limit: float) -> str:
+def _sql(limit: float | str) -> str:
+    """A limit as SQL: a number, or an expression where limits come from a table."""
+    return limit if isinstance(limit, str) else f"{limit}d"
+
+
+def _above(value: str, limit: float | str) -> str:
     # Spark orders NaN above every number; a NaN reading must not trip a rule.
-    return f"({value} > {limit}d and not isnan({value}))"
+    return f"({value} > {_sql(limit)} and not isnan({value}))"
 
 
 # The label texts and units of the rules below.
@@ -93,13 +98,13 @@ def power_rule(value: str = "power", limits: Thresholds = DEFAULTS) -> str:
         "power", value, "kW",
         (_above(value, limits.power_critical), "critical", "Critical power consumption: "),
         (_above(value, limits.power_warning), "warning", "High power consumption: "),
-        (f"{value} < {limits.power_low}d", "warning", "Suspiciously low power: "),
+        (f"{value} < {_sql(limits.power_low)}", "warning", "Suspiciously low power: "),
     )
 
 
 def rpm_rule(value: str = "rpm_spindle", kind: str = "machine_type", limits: Thresholds = DEFAULTS) -> str:
     def outside(name: str, bounds: tuple[float, float]) -> str:
-        return f"({kind} = '{name}' and ({_above(value, bounds[1])} or {value} < {bounds[0]}d))"
+        return f"({kind} = '{name}' and ({_above(value, bounds[1])} or {value} < {_sql(bounds[0])}))"
 
     return _anomaly(
         "rpm", value, "",

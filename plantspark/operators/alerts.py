@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from plantspark.functions.rules import DEFAULTS, Thresholds, alert_table, anomalies, message
+from plantspark.operators.limits import TableLimits, limits_at
 
 
-def with_anomalies(readings: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+def with_anomalies(readings: DataFrame, limits: Thresholds | TableLimits = DEFAULTS) -> DataFrame:
     """Adds the anomalies to a wide sensor table; fields the table lacks stay silent."""
     def field(name: str) -> str:
         return name if name in readings.columns else "cast(null as double)"
@@ -18,6 +19,12 @@ def with_anomalies(readings: DataFrame, limits: Thresholds = DEFAULTS) -> DataFr
     return readings.selectExpr("*", f"{found} as anomalies")
 
 
+def with_anomalies_over_time(readings: DataFrame, limits: DataFrame, defaults: Thresholds = DEFAULTS) -> DataFrame:
+    """Adds the anomalies by the limits of each reading's machine at the time of the reading."""
+    found = with_anomalies(limits_at(readings, limits), TableLimits.over(defaults))
+    return found.select(*readings.columns, "anomalies")
+
+
 def alerts(readings: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One alert per anomaly, stored under the measurement its rule belongs to.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantspark.functions import panels, plant, rules
@@ -20,7 +21,7 @@ from plantspark.schemas import (
     EVENT_FIELDS, EXPECTED_MEASUREMENTS, EXPECTED_STORES, PIECE_FIELDS, SENSOR_FIELDS, SYSTEM_FIELDS,
 )
 from plantspark.sources import benchmark_views as views, messages as bus, tables
-from plantspark.streaming import closed_ranges, in_order, ingest, live, windows
+from plantspark.streaming import closed_ranges, in_order, ingest, live, watch, windows
 
 AS_OF = "2024-01-31 00:00:00"
 LOOKBACK = "30 days"
@@ -386,6 +387,19 @@ def cycle_time_pairs(spark, sf_dir):
     return rounded(neighbours.start_end_pairs(rows, ["machine"], "processing_start", "processing_end"), "seconds")
 
 
+@query
+def alerts_limits_over_time(spark, sf_dir):
+    """Alerts by limits that changed: two machines have their own, one of them others from the middle of the month on."""
+    changes = [
+        ("Milling1", "2024-01-01", 30.0, 40.0, 0.5), ("Milling1", "2024-01-16", 35.0, 42.0, None),
+        ("Saw1", "2024-01-10", None, 85.0, None), ("Nobody", "2024-01-01", 1.0, 2.0, 0.1),
+    ]
+    names = "machine string, valid_from string, temperature_warning double, temperature_critical double, vibration_warning double"
+    limits = spark.createDataFrame(changes, names).withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz"))
+    found = alert_ops.with_anomalies_over_time(sensor(spark, sf_dir), limits)
+    return alert_ops.alerts(found, ["event_id"]).select("event_id", "machine", "rule", "severity", "value")
+
+
 @query
 def nearest_starts(spark, sf_dir):
     """Every end of processing with the latest start of its piece on its machine, other pieces' events in between or not."""
@@ -1008,3 +1022,40 @@ def stream_moving_average_on_arrival(spark, sf_dir):
     rows = views.zoned(long_sensor(spark, sf_dir)).select("event_id", "_time", *LONG_SERIES, "_value")
     found = in_order.means_on_arrival(_ended(spark, rows, root, machine="end", _value="0"), LONG_SERIES, 10)
     return rounded(plain(_arrived(spark, found, root)), "_value")
+
+
+@query
+def stream_system_samples(spark, sf_dir):
+    """Figures of hosts, stored by a stream."""
+    root = new_folder(spark, "system")
+    rows = views.zoned(views.view(views.event_stream(spark, sf_dir, FILES_PER_BATCH), views.SYSTEM_TRACKING)).selectExpr(
+        "_time", "cpu", "cast(ram * 1073741824 as bigint) as memory_total", "cast(free_memory * 1073741824 as bigint) as memory_available",
+        "errors", "memory_used_percent", "uptime_seconds")
+    ingest.store_stream(normalise.system_samples(rows), root, "system_tracking", f"{root}/checkpoint", every=None).awaitTermination()
+    found = tables.read_table(spark, root, "system_tracking").groupBy("component", "metric_type", "severity").agg(
+        F.count(F.lit(1)).alias("samples"), F.sum("errors").alias("errors"), F.sum("ram").alias("ram"), F.max("_time").alias("last_time"))
+    return plain(found)
+
+
+@query
+def stream_write_errors(spark, sf_dir):
+    """What two streams did, as filed by a watch: one stores all readings, the other's sink fails."""
+    root = new_folder(spark, "watched")
+    rows = views.zoned(views.view(views.event_stream(spark, sf_dir, FILES_PER_BATCH), views.SENSOR_WIDE))
+
+    def fails(batch, number):
+        raise OSError("the disk is full")
+
+    observer = watch.Watch(spark, root).attach()
+    good = ingest.store_stream(rows, root, "sensor_data", f"{root}/a", every=None, name="stores")
+    bad = ingest.start(rows.writeStream.foreachBatch(fails).queryName("fails"), f"{root}/b", every=None)
+    for stream in (good, bad):
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            pass
+        observer.wait_for(stream.runId)
+    observer.detach()
+    report = watch.write_report(tables.read_table(spark, root, "stream_log"))
+    return report.select("query", "batches", "rows_written", "write_errors", F.col("last_write_time").isNotNull().alias("has_written"),
+                         F.col("last_error").contains("the disk is full").alias("says_why"))

@@ -637,4 +637,35 @@ from sensor_wide group by 1, 2"""),
     "stream_gaps_on_arrival": over("gaps", "select * from gaps"),
     "stream_moving_average_on_arrival": over("sensor_long", _MOVING.format(
         tags=_LONG, by=_LONG, value="_value", table="sensor_long", where="", short="")),
+    "alerts_limits_over_time": over("sensor_wide", """
+, limited as (
+  select *,
+    case when machine = 'Milling1' and _time >= timestamp '2024-01-16 00:00:00' then 35.0
+      when machine = 'Milling1' and _time >= timestamp '2024-01-01 00:00:00' then 30.0 else 80.0 end as warn,
+    case when machine = 'Milling1' and _time >= timestamp '2024-01-16 00:00:00' then 42.0
+      when machine = 'Milling1' and _time >= timestamp '2024-01-01 00:00:00' then 40.0
+      when machine = 'Saw1' and _time >= timestamp '2024-01-10 00:00:00' then 85.0 else 90.0 end as crit,
+    case when machine = 'Milling1' and _time >= timestamp '2024-01-01 00:00:00' and _time < timestamp '2024-01-16 00:00:00'
+      then 0.5 else 2.5 end as shakes
+  from sensor_wide)
+select event_id, machine, 'temperature' as rule, case when temperature > crit then 'critical' else 'warning' end as severity,
+  temperature as value from limited where temperature > least(warn, crit)
+union all
+select event_id, machine, 'vibration', case when vibration_level > 3 then 'critical' else 'warning' end, vibration_level
+from limited where vibration_level > shakes
+union all
+select event_id, machine, 'power', case when power > 8 then 'critical' else 'warning' end, power
+from limited where power > 5 or power < 0.1
+union all
+select event_id, machine, 'rpm', 'warning', rpm_spindle from limited
+where (machine_type = 'Milling' and (rpm_spindle > 4000 or rpm_spindle < 1000))
+   or (machine_type = 'Lathe' and (rpm_spindle > 3000 or rpm_spindle < 500))"""),
+    "stream_system_samples": over("system_tracking", """
+select 'event_processor' as component, 'system_resources' as metric_type, 'info' as severity, count(*) as samples,
+  cast(sum(errors) as bigint) as errors, sum(ram) as ram, max(_time) as last_time
+from system_tracking"""),
+    "stream_write_errors": """
+select 'stores' as query, 1::bigint as batches, count(*)::bigint as rows_written, 0::bigint as write_errors, true as has_written,
+  null::boolean as says_why from events
+union all select 'fails', 0, 0, 1, false, true""",
 }

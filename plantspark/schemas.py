@@ -55,6 +55,9 @@ PIPELINE_STATS = _struct(
     _time=TS, messages_received=L, messages_processed=L, errors=L, unknown_topics=L,
     first_message_at=TS, last_message_at=TS, processing_rate=D,
 )
+STREAM_LOG = _struct(
+    _time=TS, query=S, run=S, kind=S, batch=L, rows=L, rows_per_second=D, millis=L, error=S,
+)
 
 TABLES = {
     "sensor_data": SENSOR_DATA,
@@ -64,6 +67,7 @@ TABLES = {
     "alerts": ALERTS,
     "rejects": REJECTS,
     "pipeline_stats": PIPELINE_STATS,
+    "stream_log": STREAM_LOG,
 }
 
 # Measurements every plant store should hold, and its stores.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -13,7 +13,7 @@ from plantspark.functions.rules import DEFAULTS, Thresholds
 from plantspark.operators import normalise
 from plantspark.operators.alerts import alerts
 from plantspark.operators.rollups import message_stats
-from plantspark.sources.messages import decode, route
+from plantspark.sources.messages import decode, route, subscribed
 from plantspark.sources.tables import append_batch, run_of
 
 FLUSH_EVERY = "5 seconds"
@@ -42,15 +42,20 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = FLUSH_E
 
 
 def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None = FLUSH_EVERY,
-           limits: Thresholds = DEFAULTS, deposit_as_piece: bool = True) -> StreamingQuery:
+           limits: Thresholds = DEFAULTS, deposit_as_piece: bool = True, topics: Sequence[str] | None = None,
+           name: str | None = None) -> StreamingQuery:
     """Stores every micro-batch under the name of its run and its batch id.
 
+    topics: patterns of the topics to take (`messages.TOPICS` are those of a plant); others are dropped unread. Without patterns, messages
+    on a topic that nobody handles are counted and filed as rejects. name: of the stream, as `watch` files it.
+
     A batch that is replayed after a failure replaces its own files, so nothing is lost or doubled; a
     job with a new checkpoint is a new run and adds to what is there.
     Running counters are reported as the observed metrics `ingest` of each batch, and every batch whose
     tables are written leaves its statistics in `pipeline_stats`.
     """
-    rows = checked(messages, deposit_as_piece)
+    wanted = messages if topics is None else subscribed(messages, list(topics))
+    rows = checked(wanted, deposit_as_piece)
     counted = rows.observe(
         "ingest",
         F.count_if(F.col("kind") != "bad_json").alias("received"),
@@ -73,7 +78,16 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
         finally:
             batch.unpersist()
 
-    return start(counted.writeStream.foreachBatch(store), checkpoint, every)
+    writer = counted.writeStream.foreachBatch(store)
+    return start(writer.queryName(name) if name else writer, checkpoint, every)
+
+
+def store_stream(rows: DataFrame, root: str, table: str, checkpoint: str, time: str = "_time", every: str | None = FLUSH_EVERY,
+                 name: str | None = None) -> StreamingQuery:
+    """Stores a stream of rows of one measurement table, such as the figures of hosts (`normalise.system_samples`)."""
+    run = run_of(rows.sparkSession, checkpoint)
+    writer = rows.writeStream.foreachBatch(lambda batch, number: append_batch(batch, root, table, number, time, run))
+    return start(writer.queryName(name) if name else writer, checkpoint, every)
 
 
 def alerts_stream(readings: DataFrame, path: str, checkpoint: str, every: str | None = FLUSH_EVERY,
