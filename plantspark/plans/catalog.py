@@ -404,7 +404,7 @@ def alerts_limits_over_time(spark, sf_dir):
 def nearest_starts(spark, sf_dir):
     """Every end of processing with the latest start of its piece on its machine, other pieces' events in between or not."""
     rows = events(spark, sf_dir).select("event_id", "_time", "machine", "piece_id", "event_type")
-    return rounded(neighbours.nearest_starts(rows, ["machine", "piece_id"], *PROCESSING, within="6 hours"), "seconds")
+    return rounded(neighbours.nearest_starts(rows, ["machine", "piece_id"], *PROCESSING, within="10 days"), "seconds")
 
 
 # --- named reports ----------------------------------------------------------------------------
@@ -984,7 +984,7 @@ def stream_nearest_starts(spark, sf_dir):
     marks = spark.createDataFrame(last, "event_id long, _time string, machine string, piece_id string, event_type string")
     rows.unionByName(views.zoned(marks)).write.parquet(f"{root}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-    pairs = live.nearest_start_stream(stream, ["machine", "piece_id"], *PROCESSING, within="6 hours", unique="event_id")
+    pairs = live.nearest_start_stream(stream, ["machine", "piece_id"], *PROCESSING, within="10 days", unique="event_id")
     ingest.start(pairs.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", every=None).awaitTermination()
     return rounded(plain(spark.read.parquet(f"{root}/out")), "seconds")
 

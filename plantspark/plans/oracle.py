@@ -222,7 +222,7 @@ from (
     max(case when event_type = 'processing_start' then _time end)
       over (partition by machine, piece_id order by _time range between unbounded preceding and current row) as start_time
   from machine_events)
-where event_type = 'processing_end' and start_time >= _time - interval 6 hours"""
+where event_type = 'processing_end' and start_time >= _time - interval 10 days"""
 
 ORACLE: dict[str, str] = {
     "topic_filter": over("msg", """
