@@ -29,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantspark.llm.chunks import strips as text_strips
-from plantspark.llm.common import read_parts, stored
+from plantspark.llm.common import read_parts, shared_file_system, stored
 from plantspark.session import new_folder
 
 ORDER = 6
@@ -45,7 +46,7 @@ MOST_WORDS = 200_000
 #: Grams that a task holds, in runs, before it merges them and hands them on; grams handed on at a time.
 MOST_HELD, HANDED = 1_500_000, 200_000
 #: Bytes of texts whose distinct grams are looked up together, which reads all shards once.
-BUFFER = 1 << 26
+BUFFER = 1 << 25
 #: Bytes cut into grams and grams scored at a time.
 COUNTED, AT_ONCE = 1 << 20, 1 << 19
 END = b"\n"
@@ -110,6 +111,21 @@ class Trie:
         size = self.distinct[-1].astype(np.int64)
         self.whole = np.log10((2 * n - 1) / (2 * np.repeat(self.total[-1], size)))  # of the longest grams
 
+    #: What a built trie consists of, a list of one array per order each.
+    PARTS = ("grams", "counts", "contexts", "total", "distinct", "free_total", "free_distinct")
+
+    def save(self, file) -> None:
+        for array in (*(a for part in self.PARTS for a in getattr(self, part)), self.whole):
+            np.lib.format.write_array(file, np.ascontiguousarray(array))
+
+    @classmethod
+    def load(cls, file) -> Trie:
+        out = cls.__new__(cls)
+        for part in cls.PARTS:
+            setattr(out, part, [np.lib.format.read_array(file) for _ in range(ORDER + 1)])
+        out.whole = np.lib.format.read_array(file)
+        return out
+
     @staticmethod
     def mask(width: int) -> np.uint64:
         return np.uint64((1 << 8 * width) - 1)
@@ -159,12 +175,37 @@ def read_shard(folder: str, shard: int) -> Trie:
     return Trie(out)
 
 
+def build_shards(spark: SparkSession, folder: str, shards: int) -> None:
+    """Makes the trie of each shard once, for all tasks that will read it; one task a shard."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = shared_file_system(folder)
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                trial = f"{root}/trie-{shard}.{TaskContext.get().taskAttemptId()}.tmp"
+                with fs.open_output_stream(trial) as out:
+                    read_shard(folder, shard).save(out)
+                name = f"{root}/trie-{shard}.bin"
+                if fs.get_file_info(name).type != pa.fs.FileType.NotFound:  # left by an earlier attempt, the same
+                    fs.delete_file(name)
+                fs.move(trial, name)
+        yield from ()
+
+    spark.range(shards).repartition(shards, "id").mapInArrow(build, "shard long").write.format("noop").mode("overwrite").save()
+
+
+def built_shard(folder: str, shard: int) -> Trie:
+    fs, root = shared_file_system(folder)
+    with fs.open_input_stream(f"{root}/trie-{shard}.bin") as file:
+        return Trie.load(file)
+
+
 class Counts:
     """Sorted distinct grams with their numbers, from runs that are merged when they hold MOST_HELD rows together."""
 
     def __init__(self):
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.rows = self.merged = 0
+        self.rows = 0
 
     def add(self, keys: np.ndarray) -> None:
         keys.sort()
@@ -180,14 +221,14 @@ class Counts:
         del order
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
         self.runs = [(keys[first], np.add.reduceat(n, first) if len(first) else n)]
-        self.rows = self.merged = len(first)
+        self.rows = len(first)
 
     def taken(self) -> Iterator[pa.RecordBatch]:
         """What is held, which is then forgotten."""
         if self.runs:
             self.merge()
             keys, n = self.runs.pop()
-            self.rows = self.merged = 0
+            self.rows = 0
             for a in range(0, len(keys), HANDED):
                 yield pa.RecordBatch.from_pydict({"gram": keys[a : a + HANDED].view(np.int64), "n": n[a : a + HANDED]})
 
@@ -220,6 +261,7 @@ def train(texts: DataFrame) -> tuple[str, int]:
     folder = new_folder(texts.sparkSession, "ppm-shards")
     sorted_ = every.withColumn("shard", shard).repartition(shards + 1, "shard").sortWithinPartitions("shard", "size", "gram")
     sorted_.write.partitionBy("shard").parquet(folder)
+    build_shards(texts.sparkSession, folder, shards)
     return folder, shards
 
 
@@ -290,7 +332,7 @@ def scorer(trie: str, shards: int, frequent: str):
         if table.num_columns:
             hot = dict(zip(table.column(0).to_pylist(), np.log10(table.column(1).to_numpy() + 0.1).tolist(), strict=True))
         row = TaskContext.get().partitionId() << 40
-        only = [read_shard(trie, 0)] if shards == 1 else []  # goes with the task
+        only = [built_shard(trie, 0)] if shards == 1 else []  # goes with the task
         for held in buffered(batches, BUFFER):
             keys, logs = gram_logs(held, trie, shards, only)
             for batch in held:
@@ -308,22 +350,32 @@ def scorer(trie: str, shards: int, frequent: str):
     return score
 
 
+def distinct_grams(batches: list[pa.RecordBatch]) -> np.ndarray:
+    """The distinct grams of some texts, sorted."""
+    known, runs, rows = np.zeros(0, np.uint64), [], 0
+
+    def sorted_once(keys: np.ndarray) -> np.ndarray:
+        keys.sort()
+        return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+
+    for batch in batches:
+        for documents in documents_of(batch.column(2)):
+            runs.append(sorted_once(grams(documents)[0]))
+            rows += len(runs[-1])
+            if rows >= MOST_HELD:
+                known, runs, rows = sorted_once(np.concatenate((known, *runs))), [], 0
+    return sorted_once(np.concatenate((known, *runs)))
+
+
 def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int, models: list[Trie]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct grams of some texts, sorted, and log10 of the probability of their last byte; one shard at a time.
 
     models: the shards, or none if they are to be read in turn."""
-    found = Counts()
-    for batch in batches:
-        for documents in documents_of(batch.column(2)):
-            found.add(grams(documents)[0])
-            if found.rows >= MOST_HELD + found.merged:
-                found.merge()
-    found.merge()
-    keys = found.runs[0][0]
-    del found
-    logs, home = np.zeros(len(keys)), in_shard(keys, shards)
+    keys = distinct_grams(batches)
+    logs = np.zeros(len(keys))
+    home = np.concatenate([in_shard(keys[a : a + AT_ONCE], shards).astype(np.int32) for a in range(0, len(keys), AT_ONCE)] or [np.zeros(0, np.int32)])
     for shard in range(shards):
-        own, model = np.flatnonzero(home == shard), models[shard] if models else read_shard(trie, shard)
+        own, model = np.flatnonzero(home == shard).astype(np.int32), models[shard] if models else built_shard(trie, shard)
         for a in range(0, len(own), AT_ONCE):
             part = own[a : a + AT_ONCE]
             logs[part] = model.score(keys[part])
