@@ -15,6 +15,8 @@ import numpy as np
 
 #: Sequences of up to so many symbols are merged together, in matrices as wide as the longest.
 WIDTHS = (4, 8, 16, 32)
+#: Rows of a matrix.
+ROWS = 8192
 #: Rank of no pair.
 NONE = np.int32(2**31 - 1)
 
@@ -28,7 +30,7 @@ class Merges:
         self.keys = np.array([p[0] for p in pairs] or [-1], dtype=np.int64)
         self.made = np.array([p[1] for p in pairs] or [-1], dtype=np.int32)
         self.ranks = np.append(np.array([p[2] for p in pairs] or [NONE], dtype=np.int32), NONE)
-        self.places = {p[0]: k for k, p in enumerate(pairs)}
+        self.places: dict[int, int] = {}  # for long sequences, made when one comes
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place in the table of a pair; the last rank's place if it is not there. Symbols below 0 make no pair."""
@@ -62,6 +64,7 @@ class Merges:
 
     def alone(self, symbols: list[int]) -> list[int]:
         """Merges in one sequence of any length."""
+        self.places = self.places or {key: k for k, key in enumerate(self.keys.tolist())}
         n, places, ranks, made, base = len(symbols), self.places, self.ranks, self.made, self.base
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         agenda: list[tuple[int, int, int, int]] = []
@@ -99,20 +102,22 @@ class Merges:
             if not len(own):
                 continue
             columns = np.arange(width)
-            places = np.minimum(starts[own][:, None] + columns, len(symbols) - 1)
-            for rows, left in self.together(np.where(columns < sizes[own][:, None], symbols[places], -1)):
-                # behind the last symbol a row has -1; symbols of no pair are below that
-                counts[own[rows]] = (left != -1).sum(axis=1)
-                done.append((own[rows], left))
+            for part in np.split(own, range(ROWS, len(own), ROWS)):
+                places = np.minimum(starts[part][:, None] + columns, len(symbols) - 1)
+                for rows, left in self.together(np.where(columns < sizes[part][:, None], symbols[places], -1)):
+                    # behind the last symbol a row has -1; symbols of no pair are below that
+                    some = left != -1
+                    counts[part[rows]] = some.sum(axis=1)
+                    done.append((part[rows], left[some]))
         for k in np.flatnonzero(sizes > low).tolist():
             left = self.alone(symbols[starts[k] : starts[k] + sizes[k]].tolist())
             counts[k] = len(left)
-            done.append((np.array([k]), np.array([left])))
+            done.append((np.array([k]), np.array(left)))
         at = np.cumsum(counts) - counts
         out = np.empty(int(counts.sum()), dtype=np.int32)
         single = np.flatnonzero(sizes == 1)
         out[at[single]] = symbols[starts[single]]
-        for own, left in done:
-            some = left != -1
-            out[(at[own][:, None] + np.arange(left.shape[1]))[some]] = left[some]
+        for own, left in done:  # of each sequence in turn
+            n = counts[own]
+            out[np.arange(len(left)) + np.repeat(at[own] - (np.cumsum(n) - n), n)] = left
         return out, counts
