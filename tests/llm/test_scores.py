@@ -74,6 +74,22 @@ def test_compression_limits_follow_the_labels(spark):
     assert compression.fitted(docs, labels.filter("doc_id < 20"), "doc_id", "text", compression.Limits()) == compression.BANDS
 
 
+def test_compression_limits_come_from_all_labelled_texts(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60)) for _ in range(50)]
+    docs = spark.createDataFrame([(i * 9000, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.range(450_000).selectExpr("id as doc_id", "1 as quality")
+    ratios = [r for r in compression.compression_bands(docs).collect()]
+    by_class = {}
+    for r in ratios:
+        by_class.setdefault(compression.length_class(r.n_bytes), []).append(r.zstd_ratio)
+    at, found = max(by_class.items(), key=lambda x: len(x[1]))
+    tail, middle = np.quantile(found, [compression.TAIL, 0.5])
+    want = compression.lower_limit(compression.BANDS[at][0], len(found), min(found), tail, middle)
+    low = compression.fitted(docs, labels, "doc_id", "text", compression.Limits())[at][0]
+    assert len(found) >= compression.FEWEST and abs(low - want) < 1e-12 and low != compression.BANDS[at][0]
+
+
 def test_lower_limit_leaves_room():
     few, many = (compression.lower_limit(0.41, n, 0.466, 0.483, 0.513) for n in (100, 10_000))
     assert 0.41 <= few < many < 0.466  # under the smallest labelled, further where labels are few
