@@ -997,7 +997,7 @@ def _ended(spark: SparkSession, rows: DataFrame, root: str, **series_of_the_mark
     low, high = rows.agg(F.min(micros), F.max(micros)).first()
     quarter = F.least(F.floor((micros - low) * 4 / max(1, high - low)), F.lit(3))
     for part in (*[rows.where(quarter == k) for k in range(4)], mark):  # files are taken by their age
-        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        part.repartition(1).write.mode("append").parquet(f"{root}/in")  # one file each, made by many tasks
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
 
 

@@ -3,7 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F, types as T
 
 from plantspark.operators import neighbours, quality
 from plantspark.streaming import in_order, ingest
@@ -58,3 +58,81 @@ def test_random_series_equal_the_batch(spark, root):
     assert same(figure(spark.read.parquet(f"{root}/out")), figure(expected))
     last = [p for _, ps in seen for p in ps if p["stateOperators"]][-1]["stateOperators"][0]
     assert last["numRowsTotal"] <= 4 * (4 + 3) + 4  # of each series the last rows and two marks; what waits is gone
+
+
+class Held:
+    """State of one series, and the most rows that were read from it at a time."""
+
+    def __init__(self):
+        self.chunks, self.value, self.timers, self.reads = {}, None, [], []
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return Mark()
+
+    def exists(self):
+        return bool(self.chunks)
+
+    def keys(self):
+        return iter(list(self.chunks))
+
+    def getValue(self, key):
+        self.reads.append(key[0])
+        return self.chunks[key]
+
+    def updateValue(self, key, value):
+        self.chunks[key] = value
+
+    def removeKey(self, key):
+        del self.chunks[key]
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Mark:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class Clock:
+    def __init__(self, millis):
+        self.millis = millis
+
+    def getCurrentWatermarkInMs(self):
+        return self.millis
+
+
+def test_a_long_wait_is_handed_on_slot_by_slot():
+    layout = T.StructType([T.StructField("event_id", T.LongType()), T.StructField(in_order.MICROS, T.LongType())])
+    sizes = []
+
+    def operator(before, new):
+        sizes.append(len(new))
+        return [(r["event_id"], r[in_order.MICROS], before[-1]["event_id"] if before else None) for r in new[:1]]
+
+    result = T.StructType([*layout.fields, T.StructField("before", T.LongType())])
+    processor, held = in_order.InOrder(layout, [in_order.MICROS, "event_id"], 1, operator, result), Held()
+    processor.init(held)
+    ids = list(range(2000))
+    random.Random(1).shuffle(ids)
+    make = Row("event_id", in_order.MICROS)
+    processor.handleInputRows(("a",), iter([make(i, i * 10_000_000) for i in ids]), Clock(0))
+    found = list(processor.handleExpiredTimer(("a",), Clock(15_005_000), None))
+    assert sum(sizes) == 1501 and max(sizes) == in_order.SLOT // 10_000_000 == 360
+    assert [(r["event_id"], r["before"]) for r in found] == [(i, i - 1 if i else None) for i in range(0, 1501, 360)]
+    assert held.timers[-1] == 15_010_001
+    processor.handleInputRows(("a",), iter([make(5000, 15_004_000_000), make(5001, 15_006_000_000)]), Clock(15_005_000))
+    sizes.clear()
+    list(processor.handleExpiredTimer(("a",), Clock(10**8), None))
+    assert sum(sizes) == 500 and not held.chunks  # 499 that were left and one of the new; the other came too late
