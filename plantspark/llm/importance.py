@@ -14,7 +14,7 @@ and cut once; counts are sums of one array per task, and the gains of a document
 Ranks are global without a global task: rows are dealt by ranges of (score, id), numbered inside a range, and the
 sizes of the ranges before are added. Rows that agree in every column are dealt apart by a row number, as they are interchangeable.
 
-Bounds: `buckets` numbers per task, and once on the driver; a strip of STRIP bytes of texts beside the Arrow batch.
+Bounds: `buckets` numbers per task, and once on the driver; the features of a strip of STRIP bytes of texts, or of PORTION rows, beside the Arrow batch.
 
 Defined cases: a null or empty text has no words, so weight 0; it counts for nothing else. A null id has the score of the
 empty string in place of the id and comes last among equal scores. Repeated ids and rows are documents of their own; equal in score and id, they are ordered
@@ -25,7 +25,7 @@ collection without features (T or S is 0). An empty table of documents gives an
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
@@ -34,14 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantspark.llm.common import map_texts, stored
+from plantspark.llm.common import schema_text, stored
 
 #: What separates words: ASCII characters other than digits and small letters. Fixed value.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LONGEST, BUCKETS = 2, 10_000
 LEAST_WORDS, DRAWN_PERCENT, SEED = 20, 25, "7"
-#: Bytes of texts that are cut at a time.
-STRIP = 4 << 20
+#: Bytes of texts that are cut and handed on at a time; rows whose buckets are counted or weighed at a time.
+STRIP, PORTION = 1 << 20, 1000
 
 
 def strips(texts: pa.Array) -> Iterator[pa.Array]:
@@ -95,23 +95,30 @@ def kind_of(buckets: int) -> np.dtype:
 
 
 def bucketed(rows: DataFrame, text: str, longest: int, buckets: int) -> DataFrame:
-    """Replaces the text by n_words, n_features and buckets (little-endian numbers, a feature each)."""
-    kind = kind_of(buckets)
+    """Replaces the text by n_words, n_features and buckets (little-endian numbers, a feature each); a strip is handed on at a time."""
+    kind, names = kind_of(buckets), [c for c in rows.columns if c != text]
 
-    def make() -> Callable[[pa.Array], dict[str, pa.Array]]:
-        def of_texts(texts: pa.Array) -> dict[str, pa.Array]:
-            words, sizes, packed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-            for strip in strips(texts.fill_null("")):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for strip in strips(batch.column(batch.schema.get_field_index(text)).fill_null("")):
                 found, n_features, n_words = features(strip, longest, buckets)
-                words.append(n_words)
-                sizes.append(n_features)
-                raw, ends = found.astype(kind).tobytes(), np.cumsum(n_features) * kind.itemsize
-                packed += [raw[a:z] for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-            return {"n_words": pa.array(np.concatenate(words)), "n_features": pa.array(np.concatenate(sizes)), "buckets": pa.array(packed, pa.binary())}
+                ends = pa.array(np.append(0, np.cumsum(n_features) * kind.itemsize), pa.int32())
+                packed = pa.Array.from_buffers(pa.binary(), len(strip), [None, ends.buffers()[1], pa.py_buffer(found.astype(kind))])
+                old = [batch.column(batch.schema.get_field_index(c)).slice(at, len(strip)) for c in names]
+                yield pa.RecordBatch.from_arrays([*old, pa.array(n_words), pa.array(n_features), packed], names=[*names, "n_words", "n_features", "buckets"])
+                at += len(strip)
+            pa.default_memory_pool().release_unused()
 
-        return of_texts
+    made = "n_words long, n_features long, buckets binary"
+    return rows.mapInArrow(run, ", ".join(x for x in (schema_text(rows, text), made) if x))
 
-    return map_texts(rows, text, make, "n_words long, n_features long, buckets binary", as_list=False)
+
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, PORTION at a time."""
+    for batch in batches:
+        for a in range(0, len(batch), PORTION):
+            yield batch.slice(a, PORTION)
 
 
 def flat(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +136,7 @@ def bucket_counts(rows: DataFrame, buckets: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
-        for batch in batches:
+        for batch in portions(batches):
             total += np.bincount(flat(batch.column(0), kind)[0], minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
@@ -153,7 +160,7 @@ def weighed(rows: DataFrame, gain: np.ndarray) -> DataFrame:
     kind, names = kind_of(len(gain)), [c for c in rows.columns if c != "buckets"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found, sizes = flat(batch.column("buckets"), kind)
             some = np.flatnonzero(sizes)
             sums = np.zeros(len(sizes), dtype=np.int64)

@@ -58,6 +58,34 @@ def test_strips_cut_words_as_whole_texts_do(odd_rows, monkeypatch):
     assert len(parts) > 5 and whole == [[y for p in parts for y in p[k].tolist()] for k in range(3)]
 
 
+def test_buckets_are_handed_on_strip_by_strip(spark, monkeypatch):
+    """The features of a whole Arrow batch never wait together for its last text."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(importance, "STRIP", 500)
+    monkeypatch.setattr(importance, "PORTION", 7)
+    texts = [None, "", *(" ".join(f"w{i}x{k}" for k in range(30)) for i in range(100)), "a" * 2000, "b c"]
+    ran = []
+
+    class Rows:
+        columns, schema = ["id", "text"], spark.createDataFrame([], "id long, text string").schema
+
+        def mapInArrow(self, run, schema):
+            ran.append(run)
+
+    importance.bucketed(Rows(), "text", 2, 999)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    out = list(ran[0](iter([batch, batch.slice(3, 90)])))
+    assert len(out) > 20 and max(len(b) for b in out) < 10
+    whole, sizes, words = importance.features(pa.array([t or "" for t in texts]), 2, 999)
+    first = pa.Table.from_batches(out)[: len(texts)].combine_chunks()
+    assert first["id"].to_pylist() == list(range(len(texts)))
+    assert first["n_features"].to_pylist() == sizes.tolist() and first["n_words"].to_pylist() == words.tolist()
+    assert b"".join(first["buckets"].to_pylist()) == whole.astype("<u2").tobytes()
+    assert sum(len(b) for b in out) == len(texts) + 90
+    assert [len(b) for b in importance.portions(iter(out[:1] + [batch]))][-2:] == [7, len(texts) % 7]
+
+
 def test_many_equal_rows(spark):
     """A third of the rows agree in id and text: their ranks follow each other, over many ranges."""
     same = " ".join(f"w{i}" for i in range(30))
