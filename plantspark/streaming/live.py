@@ -21,6 +21,8 @@ WINDOW_DAY = "window_date"
 FEW_WINDOWS = 100_000
 #: A table of last rows lies in so many shards, of which a batch rewrites those that it has rows of.
 SHARDS, SHARD = 16, "shard"
+#: Nearest starts: slots that make one of the next level, and levels of slots.
+PARTS, LEVELS = 32, 2
 
 
 def _day(time: str = "_time") -> Column:
@@ -154,26 +156,52 @@ def merged_points(rows: DataFrame, key: Sequence[str], order: Sequence[str], del
 # --- pairs ------------------------------------------------------------------------------------
 
 
-def nearest_start_stream(rows: DataFrame, by: Sequence[str], begin: str, end: str, within: str, unique: str, event: str = "event_type",
-                         time: str = "_time", delay: str = "1 hour") -> DataFrame:
-    """`nearest_starts` on a stream: ends joined with the starts of their series in the interval `within` before them, of which
-    the latest counts. `unique` tells ends apart. State: rows of the last `within` and `delay`.
+def start_candidates(rows: DataFrame, by: Sequence[str], begin: str, end: str, within: str, event: str, time: str, delay: str) -> DataFrame:
+    """Ends joined with those starts of their series in the interval `within` before them that can be the latest, as `_start` in microseconds.
 
-    The starts join by time too, so that a series with a third of all rows is spread: both sides are cut into slots of the interval's
-    width, and an end meets the starts of its slot and of the one before.
+    Time is cut into slots, PARTS of which make a slot of the next level; PARTS of the widest make the interval. An end meets the starts of its own
+    narrowest slot, and of the slots before it only the latest start each: of the slots of a level that share its slot of the next level, and of the
+    widest slots as far as the interval reaches. So an end meets LEVELS * PARTS rows and the starts of one narrow slot, however many the interval holds,
+    and a series with a third of all rows is spread by time.
     """
     spark = rows.sparkSession
     width = spark.range(1).select(F.expr(f"CAST(unix_micros(TIMESTAMP'1970-01-01' + INTERVAL {within}) AS BIGINT)")).first()[0]
-    slot = F.floor(F.unix_micros(F.col(time)) / width).cast("bigint")
+    narrowest = max(1, -(-width // (1000 * PARTS**LEVELS))) * 1000  # whole milliseconds, as watermarks are
+    widths = [narrowest * PARTS**k for k in range(LEVELS)]
     seen = rows.withWatermark(time, delay)
-    starts = seen.where(F.col(event) == begin).select(*[F.col(c).alias(f"_s_{c}") for c in by], F.col(time).alias("start_time"), slot.alias("_own"))
-    starts = starts.withColumn("_slot", F.explode(F.array(F.col("_own"), F.col("_own") + 1))).drop("_own")
-    ends = seen.where(F.col(event) == end).withColumn("_end_slot", slot)
-    same = F.col("_slot") == F.col("_end_slot")
+    series = [F.col(c).alias(f"_s_{c}") for c in by]
+
+    def slot(level: int, micros: Column = F.unix_micros(time)) -> Column:
+        return F.call_function("div", micros - F.pmod(micros, F.lit(widths[level])), F.lit(widths[level]))
+
+    # starts, each under the key (level, slot) of the ends that may meet it; `_at`: when the row is known to be complete
+    begun = seen.where(F.col(event) == begin)
+    met = begun.select(*series, F.col(time).alias("_at"), F.unix_micros(time).alias("_start"), F.lit(0).alias("_level"), slot(0).alias("_slot"))
+    for k in range(LEVELS):
+        latest = begun.groupBy(*by, F.window(time, f"{widths[k]} microseconds")).agg(F.max(F.unix_micros(time)).alias("_start"))
+        latest = latest.select(*series, F.window_time("window").alias("_at"), "_start")
+        if k + 1 < LEVELS:
+            latest = latest.withColumns({"_level": F.lit(k + 1), "_slot": slot(k + 1, F.col("_start"))})
+        else:
+            own = slot(k, F.col("_start"))
+            latest = latest.withColumns({"_level": F.lit(k), "_slot": F.explode(F.sequence(own + 1, own + PARTS + 1))})
+        met = met.unionByName(latest)
+
+    keys = F.array(*[F.struct(F.lit(k).alias("level"), slot(k).alias("slot")) for k in range(LEVELS)])
+    ends = seen.where(F.col(event) == end).withColumn("_end", F.explode(keys))
+    same = (F.col("_end.level") == F.col("_level")) & (F.col("_end.slot") == F.col("_slot"))
     for c in by:
         same &= F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    near = (F.col("start_time") <= F.col(time)) & (F.col("start_time") >= F.col(time) - F.expr(f"INTERVAL {within}"))
-    pairs = ends.join(starts, same & near)
+    reach = F.col(time) - F.expr(f"INTERVAL {within}")
+    return ends.join(met, same & (F.col("_at") <= F.col(time)) & (F.col("_at") >= reach) & (F.col("_start") >= F.unix_micros(reach)))
+
+
+def nearest_start_stream(rows: DataFrame, by: Sequence[str], begin: str, end: str, within: str, unique: str, event: str = "event_type",
+                         time: str = "_time", delay: str = "1 hour") -> DataFrame:
+    """`nearest_starts` on a stream: ends joined with starts of their series in the interval `within` before them, of which
+    the latest counts. `unique` tells ends apart. State: rows of the last `within` and `delay`, and the latest start of each slot (`start_candidates`).
+    """
+    pairs = start_candidates(rows, by, begin, end, within, event, time, delay)
     kept = [c for c in rows.columns if c not in (unique, time)]
-    latest = pairs.groupBy(unique, time).agg(F.max("start_time").alias("start_time"), *[F.any_value(c).alias(c) for c in kept])
+    latest = pairs.groupBy(unique, time).agg(F.timestamp_micros(F.max("_start")).alias("start_time"), *[F.any_value(c).alias(c) for c in kept])
     return latest.select(*rows.columns, "start_time", seconds_between("start_time", time))

@@ -163,3 +163,17 @@ def test_nearest_starts_on_a_stream(spark, root):
 
     fed(spark, root, [rows[:100], rows[100:200], rows[200:], marks], start)
     assert pairs_in(spark.read.parquet(f"{root}/out")) == plain_nearest(rows, 1800)
+
+
+@pytest.mark.parametrize("parts", [2, 3, 32])
+def test_ends_meet_few_starts_of_a_dense_series(spark, parts, monkeypatch):
+    monkeypatch.setattr(live, "PARTS", parts)
+    draw = random.Random(6)
+    rows = [(i, draw.randrange(-3000, 6000), draw.choice("aaab"), draw.choice(["start", "end"]), 0.0) for i in range(4000)]
+    rows += [(5000 + k, 20_000 + s, "c", e, 0.0) for k, (s, e) in enumerate([(0, "start"), (1799, "end"), (1800, "end"), (1801, "end"), (0, "end")])]
+    found = live.start_candidates(rows_of(spark, rows), ["machine"], "start", "end", "30 minutes", "event_type", "_time", "1 hour")
+    latest = found.groupBy("event_id", "_time").agg(F.timestamp_micros(F.max("_start")).alias("start_time"))
+    latest = latest.withColumn("seconds", (F.unix_micros("_time") - F.unix_micros("start_time")) / 1e6)
+    assert pairs_in(latest) == plain_nearest(rows, 1800)
+    if parts == 32:  # there are about 200 starts in half an hour
+        assert found.count() < 60 * sum(e == "end" for _, _, _, e, _ in rows)
