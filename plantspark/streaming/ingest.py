@@ -17,6 +17,8 @@ from plantspark.sources.messages import decode, route, subscribed
 from plantspark.sources.tables import append_batch, run_of
 
 FLUSH_EVERY = "5 seconds"
+#: Tasks per core that the messages of a batch are dealt to.
+TASKS_A_CORE = 4
 
 
 def checked(messages: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
@@ -24,6 +26,11 @@ def checked(messages: DataFrame, deposit_as_piece: bool = True) -> DataFrame:
     return normalise.check(route(decode(messages), deposit_as_piece))
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """Deals messages evenly over the cores: decoding is most of the work, and a backlog may lie in few files or row groups."""
+    return messages.repartition(TASKS_A_CORE * messages.sparkSession.sparkContext.defaultParallelism)
+
+
 def outputs(rows: DataFrame, limits: Thresholds = DEFAULTS) -> Iterator[tuple[str, DataFrame, str]]:
     """(table, rows, time column) for everything one batch of checked messages leads to."""
     readings = normalise.sensor_readings(rows, limits)
@@ -55,7 +62,7 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
     tables are written leaves its statistics in `pipeline_stats`.
     """
     wanted = messages if topics is None else subscribed(messages, list(topics))
-    rows = checked(wanted, deposit_as_piece)
+    rows = checked(spread(wanted), deposit_as_piece)
     counted = rows.observe(
         "ingest",
         F.count_if(F.col("kind") != "bad_json").alias("received"),
@@ -69,6 +76,7 @@ def ingest(messages: DataFrame, root: str, checkpoint: str, every: str | None =
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         parts = list(outputs(batch, limits))
         try:
+            batch.count()  # decodes once; writes that begin together would wait for each other's messages, or decode them again elsewhere
             with ThreadPoolExecutor(len(parts)) as pool:
                 writes = [pool.submit(append_batch, rows, root, name, batch_id, time, run) for name, rows, time in parts]
             for write in writes:

@@ -186,3 +186,19 @@ def test_statistics_of_ingestion_are_stored(spark, root):
     found = rollups.pipeline_totals(stats).first()
     assert stats.count() == 2 and (found["messages_received"], found["messages_processed"], found["unknown_topics"]) == (4, 2, 2)
     assert found["processing_rate"] == 2.0
+
+
+def test_a_backlog_in_one_file_is_decoded_by_many_tasks(spark, root, monkeypatch):
+    rows = [(f"/plant/data/Saw{i}", '{"entity":"Saw1","data":{"temperature":1}}', T0) for i in range(200)]
+    store(spark.createDataFrame(rows, "topic string, payload string, arrived_at timestamp").coalesce(1), f"{root}/in", 0)
+    tasks, append = [], ingest.append_batch
+
+    def noted(batch, path, name, *rest):
+        if name == "sensor_data":
+            tasks.append(batch.rdd.getNumPartitions())
+        append(batch, path, name, *rest)
+
+    monkeypatch.setattr(ingest, "append_batch", noted)
+    ingest.ingest(bus.message_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
+    assert tasks == [ingest.TASKS_A_CORE * spark.sparkContext.defaultParallelism]
+    assert tables.read_table(spark, f"{root}/out", "sensor_data").count() == 200
