@@ -24,16 +24,18 @@ probability 1/256. Empty tables give empty results.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantspark.llm.chunks import bytes_of
 from plantspark.llm.chunks import strips as text_strips
 from plantspark.llm.common import read_parts, shared_file_system, stored
 from plantspark.session import new_folder
@@ -41,14 +43,14 @@ from plantspark.session import new_folder
 ORDER = 6
 SHARD_GRAMS = 4_000_000
 HOT_WORDS = 300_000
-#: Distinct words that a task counts before it hands them on.
-MOST_WORDS = 200_000
+#: Words, in runs, that a task holds before it merges them and hands them on.
+MOST_WORDS = 400_000
 #: Grams that a task holds, in runs, before it merges them and hands them on; grams handed on at a time.
-MOST_HELD, HANDED = 1_500_000, 200_000
+MOST_HELD, HANDED = 3_000_000, 200_000
 #: Bytes of texts whose distinct grams are looked up together, which reads all shards once.
 BUFFER = 1 << 25
-#: Bytes cut into grams and grams scored at a time.
-COUNTED, AT_ONCE = 1 << 20, 1 << 19
+#: Bytes cut into grams (a part), grams scored at a time, parts whose words are told apart together.
+COUNTED, AT_ONCE, TOGETHER = 1 << 20, 1 << 19, 8
 END = b"\n"
 #: Contexts are dealt to shards by so many last bytes.
 DEALT = 3
@@ -65,24 +67,65 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def documents_of(texts: pa.Array) -> Iterator[list[bytes]]:
-    """The documents of a batch, about COUNTED bytes at a time."""
-    for part in text_strips(texts.fill_null(""), COUNTED):
-        yield [b" ".join(tokens(t)) + END for t in part.to_pylist()]
+#: The documents of some texts: their bytes in a row, and the length of each.
+Documents = tuple[np.ndarray, np.ndarray]
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+
+
+def documents_of(texts: pa.Array) -> Iterator[Documents]:
+    """The documents of a batch (of each text `b" ".join(tokens(text)) + END`), about COUNTED bytes at a time."""
+    for part in text_strips(texts.fill_null(""), COUNTED) if len(texts) else ():
+        inner, ends = bytes_of(part)
+        behind = ends[1:] + np.arange(len(part))  # END behind each text, so that a blank follows each word
+        is_inner = np.ones(len(inner) + len(part), dtype=bool)
+        is_inner[behind] = False
+        raw = np.full(len(is_inner), END[0], dtype=np.uint8)
+        raw[is_inner] = LOWER[inner]
+        blank = BLANK[raw]
+        stays = ~blank
+        stays[1:] |= ~blank[:-1]  # the first blank behind a word
+        ends = np.cumsum(stays)[behind]
+        empty = np.diff(ends, prepend=0) == 0
+        stays[behind[empty]] = True
+        lengths = np.diff(ends + np.cumsum(empty), prepend=0)
+        out = raw[stays]
+        out[blank[stays]] = 32
+        out[np.cumsum(lengths) - 1] = END[0]
+        yield out, lengths
 
 
 def grams(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For every byte of the documents the gram of ORDER bytes before it and itself; the length of each document."""
-    pad = END * ORDER
-    buffer = np.frombuffer(pad + pad.join(documents), dtype=np.uint8)
     lengths = np.array([len(d) for d in documents], dtype=np.int64)
-    n = len(buffer) - ORDER
-    keys = np.zeros(n, dtype=np.uint64)
-    for i in range(ORDER + 1):
-        keys <<= np.uint64(8)
-        keys |= buffer[i : n + i]
-    own = np.arange(int(lengths.sum())) + np.repeat(np.arange(len(documents)) * ORDER, lengths)
-    return keys[own], lengths
+    return grams_of((np.frombuffer(b"".join(documents), dtype=np.uint8), lengths)), lengths
+
+
+def grams_of(documents: Documents) -> np.ndarray:
+    raw, lengths = documents
+    own = np.arange(len(raw)) + np.repeat(np.arange(len(lengths)) * ORDER, lengths)
+    padded = np.full(len(raw) + len(lengths) * ORDER + 8, END[0], dtype=np.uint8)
+    padded[own + ORDER] = raw
+    eight = np.ndarray(len(padded) - 7, dtype=">u8", buffer=padded, strides=(1,))  # bytes from each place on
+    return eight.astype(np.uint64)[own] >> np.uint64(8)
+
+
+def together(parts: Sequence[Documents]) -> Documents:
+    raws, lengths = zip(*parts, strict=True)
+    return np.concatenate(raws), np.concatenate(lengths)
+
+
+def words_of(documents: Documents) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of some documents in a row, and the document of each."""
+    raw, lengths = documents
+    gap = (raw == 32) | (raw == END[0])  # one behind each word, and one for an empty document
+    ends = np.flatnonzero(gap)
+    sizes = np.diff(ends, prepend=-1) - 1
+    owner = np.searchsorted(np.cumsum(lengths), ends, side="right")
+    some = sizes > 0
+    places = np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)
+    found = pa.BinaryArray.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(raw[~gap])])
+    return found.dictionary_encode(), owner[some]
 
 
 class Trie:
@@ -237,17 +280,19 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = Counts()
     for batch in batches:
         for documents in documents_of(batch.column(0)):
-            held.add(grams(documents)[0])
+            held.add(grams_of(documents))
             if held.rows >= MOST_HELD:
                 held.merge()
-                if held.rows > MOST_HELD // 2:
+                if held.rows > MOST_HELD * 3 // 4:
                     yield from held.taken()
     yield from held.taken()
 
 
 def train(texts: DataFrame) -> tuple[str, int]:
     """Counts the grams of all texts; the folder of the shards, and their number."""
-    top = stored(texts.mapInArrow(count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "ppm-grams")
+    # tasks have merged their grams: dealt as they are, and added up behind the shuffle only
+    counted = texts.mapInArrow(count_grams, "gram long, n long").repartition("gram")
+    top = stored(counted.groupBy("gram").agg(F.sum("n").alias("n")), "ppm-grams")
     tables = [top]
     for k in range(ORDER - 1, -1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1).cast("long"))
@@ -266,19 +311,22 @@ def train(texts: DataFrame) -> tuple[str, int]:
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter[bytes] = Counter()
+    held: list[pa.Table] = []
 
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
+    def merged() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
     for batch in batches:
-        for text in batch.column(0):
-            found.update(tokens(text.as_py()))
-        if len(found) > MOST_WORDS:
-            yield rows()
-            found.clear()
-    if found:
-        yield rows()
+        for parts in batched(documents_of(batch.column(0)), TOGETHER):
+            words, _ = words_of(together(parts))
+            n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+            held.append(pa.table({"word": words.dictionary, "n": n}))
+            if sum(len(t) for t in held) > MOST_WORDS:
+                held = [merged()]
+                if len(held[0]) > MOST_WORDS // 2:
+                    yield from held.pop().to_batches(HANDED)
+    if held:
+        yield from merged().to_batches(HANDED)
 
 
 def buffered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
@@ -293,33 +341,24 @@ def buffered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.
         yield held
 
 
-def unigrams(rows: range, ids: pa.Array, held: pa.Array, documents: list[bytes], scores: np.ndarray,
-             hot: dict[bytes, float]) -> Iterator[pa.RecordBatch]:
-    """A row per document, and one for each of its words that is not among the frequent ones."""
-    rare_row, rare_word, rare_n, sums, known, sizes = [], [], [], [], [], []
-    for row, document in zip(rows, documents, strict=True):
-        words = document[:-1].split()
-        total, n_known = 0.0, 0
-        for word, n in Counter(words).items():
-            log = hot.get(word)
-            if log is None:
-                rare_row.append(row)
-                rare_word.append(word)
-                rare_n.append(n)
-            else:
-                total += n * log
-                n_known += n
-        sums.append(total)
-        known.append(n_known)
-        sizes.append(len(words) + 1)
+def unigrams(rows: range, ids: pa.Array, held: pa.Array, documents: Documents, scores: np.ndarray,
+             hot: tuple[pa.Array, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A row per document, and one for each of its words that is not among the frequent ones (hot: these, and their logarithms)."""
+    words, owner = words_of(documents)
+    n, index = len(rows), words.indices.to_numpy()
+    logs = np.append(hot[1], np.nan)[pc.index_in(words.dictionary, value_set=hot[0]).fill_null(len(hot[1])).to_numpy()][index]
+    is_hot = ~np.isnan(logs)
+    sums = np.bincount(owner[is_hot], weights=logs[is_hot], minlength=n)
+    each, rare_n = np.unique(owner[~is_hot] * len(words.dictionary) + index[~is_hot], return_counts=True)
+    rare_row, rare_word = np.divmod(each, max(1, len(words.dictionary)))
     yield pa.RecordBatch.from_arrays([
-        pa.array(rows, pa.int64()), ids, held, pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-        pa.array(sums, pa.float64()), pa.array(scores), pa.nulls(len(rows), pa.binary()),
+        pa.array(rows, pa.int64()), ids, held, pa.array(np.bincount(owner, minlength=n) + 1), pa.array(np.bincount(owner[is_hot], minlength=n)),
+        pa.array(sums.astype(np.float64)), pa.array(scores), pa.nulls(n, pa.binary()),
     ], names=SCORED)
-    k = len(rare_row)
+    k = len(each)
     yield pa.RecordBatch.from_arrays([
-        pa.array(rare_row, pa.int64()), pa.nulls(k, ids.type), pa.nulls(k, pa.bool_()), pa.array(rare_n, pa.int64()),
-        pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(rare_word, pa.binary()),
+        pa.array(rare_row + rows.start), pa.nulls(k, ids.type), pa.nulls(k, pa.bool_()), pa.array(rare_n, pa.int64()),
+        pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), words.dictionary.take(pa.array(rare_word)),
     ], names=SCORED)
 
 
@@ -328,50 +367,57 @@ def scorer(trie: str, shards: int, frequent: str):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = read_parts(frequent, ["word", "n"])
-        hot = {}
+        hot = pa.array([], pa.binary()), np.zeros(0)
         if table.num_columns:
-            hot = dict(zip(table.column(0).to_pylist(), np.log10(table.column(1).to_numpy() + 0.1).tolist(), strict=True))
+            hot = table.column(0).combine_chunks(), np.log10(table.column(1).to_numpy() + 0.1)
         row = TaskContext.get().partitionId() << 40
         only = [built_shard(trie, 0)] if shards == 1 else []  # goes with the task
         for held in buffered(batches, BUFFER):
-            keys, logs = gram_logs(held, trie, shards, only)
-            for batch in held:
+            parts = [list(documents_of(batch.column(2))) for batch in held]
+            keys, logs = gram_logs([documents for part in parts for documents in part], trie, shards, only)
+            for batch, part in zip(held, parts, strict=True):
                 ids, marks, at = batch.column(0), batch.column(1), 0
-                for documents in documents_of(batch.column(2)):
-                    z = at + len(documents)
-                    grams_, lengths = grams(documents)
-                    each, place = np.unique(grams_, return_inverse=True)
-                    which = np.repeat(np.arange(len(documents)), lengths)
-                    scores = np.bincount(which, weights=logs[np.searchsorted(keys, each)][place], minlength=len(documents))
-                    yield from unigrams(range(row + at, row + z), ids[at:z], marks[at:z], documents, scores, hot)
+                for some in batched(part, TOGETHER):
+                    z = at + sum(len(lengths) for _, lengths in some)
+                    scores = np.concatenate([sums_of(documents, keys, logs) for documents in some])
+                    yield from unigrams(range(row + at, row + z), ids[at:z], marks[at:z], together(some), scores, hot)
                     at = z
                 row += at
 
     return score
 
 
-def distinct_grams(batches: list[pa.RecordBatch]) -> np.ndarray:
-    """The distinct grams of some texts, sorted."""
+def sums_of(documents: Documents, keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """The sum of the logarithms of each document's grams. keys: sorted, all grams are among them."""
+    own, lengths = grams_of(documents), documents[1]
+    order = np.argsort(own)
+    own = own[order]
+    first = np.concatenate(([True], own[1:] != own[:-1]))
+    each = logs[np.searchsorted(keys, own[first])][np.cumsum(first) - 1]
+    return np.bincount(np.repeat(np.arange(len(lengths)), lengths)[order], weights=each, minlength=len(lengths))
+
+
+def distinct_grams(parts: list[Documents]) -> np.ndarray:
+    """The distinct grams of some documents, sorted."""
     known, runs, rows = np.zeros(0, np.uint64), [], 0
 
     def sorted_once(keys: np.ndarray) -> np.ndarray:
         keys.sort()
         return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
 
-    for batch in batches:
-        for documents in documents_of(batch.column(2)):
-            runs.append(sorted_once(grams(documents)[0]))
-            rows += len(runs[-1])
-            if rows >= MOST_HELD:
-                known, runs, rows = sorted_once(np.concatenate((known, *runs))), [], 0
+    for documents in parts:
+        runs.append(sorted_once(grams_of(documents)))
+        rows += len(runs[-1])
+        if rows >= MOST_HELD // 2:
+            known, runs, rows = sorted_once(np.concatenate((known, *runs))), [], 0
     return sorted_once(np.concatenate((known, *runs)))
 
 
-def gram_logs(batches: list[pa.RecordBatch], trie: str, shards: int, models: list[Trie]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct grams of some texts, sorted, and log10 of the probability of their last byte; one shard at a time.
+def gram_logs(parts: list[Documents], trie: str, shards: int, models: list[Trie]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of some documents, sorted, and log10 of the probability of their last byte; one shard at a time.
 
     models: the shards, or none if they are to be read in turn."""
-    keys = distinct_grams(batches)
+    keys = distinct_grams(parts)
     logs = np.zeros(len(keys))
     home = np.concatenate([in_shard(keys[a : a + AT_ONCE], shards).astype(np.int32) for a in range(0, len(keys), AT_ONCE)] or [np.zeros(0, np.int32)])
     for shard in range(shards):

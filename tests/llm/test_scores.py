@@ -355,3 +355,40 @@ def test_ppm_of_nothing(none, spark):
     one = spark.createDataFrame([(None, "a b")], "doc_id long, text string")  # held out, so nothing is learnt
     row = lm_scoring.ppm_scores(one).first()
     assert row.held_out and row.train_tokens == 0 and row.score == pytest.approx(-4 * math.log10(256))
+
+
+def test_documents_are_tokens_with_one_space_between(odd_rows, monkeypatch):
+    texts = [r[1] for r in odd_rows] + [" a", "b ", "\x0b\x0cC  \r\nd\t", "A\x00Z\x1cÀ[@", None, ""]
+    for size in (1, 200, 1 << 20):
+        monkeypatch.setattr(lm_scoring, "COUNTED", size)
+        parts = list(lm_scoring.documents_of(pa.array(["x", *texts], pa.string()).slice(1)))
+        raw, lengths = lm_scoring.together(parts)
+        ends = np.cumsum(lengths).tolist()
+        want = [lm_scoring.tokens(t) for t in texts]
+        assert [raw[z - n : z].tobytes() for z, n in zip(ends, lengths.tolist(), strict=True)] == [b" ".join(x) + b"\n" for x in want]
+        words, owner = lm_scoring.words_of((raw, lengths))
+        assert list(zip(owner.tolist(), words.to_pylist(), strict=True)) == [(i, w) for i, x in enumerate(want) for w in x]
+
+
+def test_a_task_hands_on_a_gram_once_while_they_fit(monkeypatch):
+    draw = random.Random(7)
+    text = " ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(450))
+    distinct = len(np.unique(lm_scoring.grams([b" ".join(lm_scoring.tokens(text)) + b"\n"])[0]))
+    monkeypatch.setattr(lm_scoring, "MOST_HELD", 4000)
+    monkeypatch.setattr(lm_scoring, "COUNTED", 3000)
+    assert 2000 < distinct < 3000
+    assert sum(b.num_rows for b in lm_scoring.count_grams(iter([pa.RecordBatch.from_pydict({"text": [text] * 5})] * 3))) == distinct
+
+
+def test_words_are_counted_in_bounds(monkeypatch):
+    draw = random.Random(8)
+    texts = [" ".join("".join(draw.choices("abc", k=draw.randint(1, 6))) for _ in range(draw.randint(0, 80))) for _ in range(60)] + [None, "", " "]
+    want = Counter(w for t in texts for w in lm_scoring.tokens(t))
+    monkeypatch.setattr(lm_scoring, "MOST_WORDS", 300)
+    monkeypatch.setattr(lm_scoring, "HANDED", 50)
+    monkeypatch.setattr(lm_scoring, "COUNTED", 100)
+    got, sizes = Counter(), []
+    for rows in lm_scoring.count_words(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts[a : a + 9], pa.string())}) for a in range(0, len(texts), 9)])):
+        sizes.append(rows.num_rows)
+        got.update(dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)) if len(set(rows.column(0).to_pylist())) == rows.num_rows else {})
+    assert got == want and max(sizes) <= 50 and len(sizes) > 10
