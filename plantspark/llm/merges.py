@@ -3,7 +3,7 @@
 Symbols are numbers. A table says which pairs make a symbol, and at which rank. In every sequence the pair of the lowest rank is
 merged, the leftmost of equal ones, until no pair is in the table. The agendas of short sequences advance together, a merge
 each per round: they are rows of one matrix with the ranks of the pairs, and the best pair of a row is its leftmost
-minimum. Sequences of over WIDEST symbols have an agenda of their own, a heap.
+minimum. Longer sequences have an agenda of their own, a heap. Pairs are looked up in a hash table with open addresses.
 """
 
 from __future__ import annotations
@@ -17,6 +17,10 @@ import numpy as np
 WIDTHS = (4, 8, 16, 32)
 #: Rows of a matrix.
 ROWS = 8192
+#: Pairs of a row of symbols that are looked up at a time.
+AT_ONCE = 1 << 17
+#: Slots of the table of pairs for each pair, at least; spreads keys over them.
+SLOTS, MIX = 4, np.uint64(0x9E3779B97F4A7C15)
 #: Rank of no pair.
 NONE = np.int32(2**31 - 1)
 
@@ -30,17 +34,51 @@ class Merges:
         self.keys = np.array([p[0] for p in pairs] or [-1], dtype=np.int64)
         self.made = np.array([p[1] for p in pairs] or [-1], dtype=np.int32)
         self.ranks = np.append(np.array([p[2] for p in pairs] or [NONE], dtype=np.int32), NONE)
+        self.bits = max(4, (SLOTS * len(self.keys)).bit_length())
+        # a key's place lies in its slot, or in the next one that was free; empty slots have the place of no pair
+        self.slots = np.full(1 << self.bits, len(self.keys), dtype=np.int32)
+        todo, at = np.arange(len(self.keys), dtype=np.int32), self.slot(self.keys)
+        while len(todo):
+            free = self.slots[at] == len(self.keys)
+            self.slots[at[free]] = todo[free]
+            lost = self.slots[at] != todo
+            todo, at = todo[lost], self.next_slot(at[lost])
+        self.held = np.append(self.keys, -1)[self.slots]
         self.places: dict[int, int] = {}  # for long sequences, made when one comes
 
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * MIX) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def next_slot(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place in the table of a pair; the last rank's place if it is not there. Symbols below 0 make no pair."""
         keys = left.astype(np.int64) * self.base + right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (left >= 0) & (right >= 0), at, len(self.keys)).astype(np.int32)
+        keys[(left < 0) | (right < 0)] = -1
+        at = self.slot(keys)
+        out, todo = self.slots[at], np.flatnonzero((self.held[at] != keys))
+        at = at[todo]
+        while len(todo):
+            more = out[todo] != len(self.keys)  # the slot is another key's
+            todo, at = todo[more], self.next_slot(at[more])
+            out[todo] = self.slots[at]
+            more = self.held[at] != keys[todo]
+            todo, at = todo[more], at[more]
+        out[keys < 0] = len(self.keys)
+        return out
+
+    def pairs_in_row(self, symbols: np.ndarray) -> np.ndarray:
+        """The place of the pair that each symbol makes with the next one."""
+        out = np.full(len(symbols), len(self.keys), dtype=np.int32)
+        for a in range(0, len(symbols) - 1, AT_ONCE):
+            z = min(a + AT_ONCE, len(symbols) - 1)
+            out[a:z] = self.pair(symbols[a:z], symbols[a + 1 : z + 1])
+        return out
 
-    def together(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Merges in all rows of a matrix of symbols (-1 behind the last); gives rows that are done, and their symbols."""
-        rows, pairs = np.arange(len(symbols)), self.pair(symbols[:, :-1], symbols[:, 1:])
+    def together(self, symbols: np.ndarray, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merges in all rows of a matrix of symbols (-1 behind the last) with their pairs; gives rows that are done, and their symbols."""
+        rows = np.arange(len(symbols))
         while len(rows):
             if not pairs.shape[1]:
                 yield rows, symbols
@@ -95,6 +133,7 @@ class Merges:
         """Merges in all sequences, which lie in a row; what is left of them, and how many symbols each has then."""
         counts = np.ones(len(starts), dtype=np.int64)
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        in_row, none = self.pairs_in_row(symbols), np.int32(len(self.keys))
         low = 1
         for width in WIDTHS:
             own = np.flatnonzero((sizes > low) & (sizes <= width))
@@ -104,7 +143,9 @@ class Merges:
             columns = np.arange(width)
             for part in np.split(own, range(ROWS, len(own), ROWS)):
                 places = np.minimum(starts[part][:, None] + columns, len(symbols) - 1)
-                for rows, left in self.together(np.where(columns < sizes[part][:, None], symbols[places], -1)):
+                inside = columns < sizes[part][:, None]
+                pairs = np.where(inside[:, 1:], in_row[places[:, :-1]], none)
+                for rows, left in self.together(np.where(inside, symbols[places], -1), pairs):
                     # behind the last symbol a row has -1; symbols of no pair are below that
                     some = left != -1
                     counts[part[rows]] = some.sum(axis=1)

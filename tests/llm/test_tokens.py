@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from plantspark.llm import chunks, packing, token_files
+from plantspark.llm import chunks, merges, packing, token_files
 from plantspark.llm.encoding import Encoder
 from plantspark.session import new_folder
 
@@ -96,3 +96,29 @@ def test_token_files(spark, odd, odd_rows):
 
 def test_token_files_of_nothing(spark, none):
     assert token_files.token_file_digests(none, new_folder(spark, "none"), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_equal_parts_are_merged_once(name, monkeypatch):
+    """Chunks that differ in signs, case or the space before share their parts; each part is merged once a strip."""
+    texts = [f" {a}{w}{z}" for w in ("straight", "Straight", "forward") for a in ("", "(", "-") for z in ("", ",", ".", ";", ")")] * 2
+    encoder, merged = Encoder(public_tokenizers.path(name)), []
+    run = encoder.merges.run
+    monkeypatch.setattr(encoder.merges, "run", lambda symbols, starts, sizes: merged.append([tuple(symbols[a : a + n]) for a, n in zip(starts, sizes, strict=True)]) or run(symbols, starts, sizes))
+    assert [ids.tolist() for ids in encoder.encode_batch(pa.array(texts))] == [ids[:-1] for ids in plain(name, texts, 0)]
+    assert len(merged) == 1 and len(set(merged[0])) == len(merged[0]) < 25
+
+
+@pytest.mark.parametrize("slots", [1, 4])
+def test_pairs_are_found_in_the_table(slots, monkeypatch):
+    """Also where many keys want one slot, and where the pair is not there or no pair at all."""
+    monkeypatch.setattr(merges, "SLOTS", slots)
+    monkeypatch.setattr(merges, "AT_ONCE", 100)
+    draw = np.random.default_rng(5)
+    made = {(int(a), int(b)): (int(a + b), k) for k, (a, b) in enumerate({(x, y) for x, y in draw.integers(0, 300, (4000, 2)).tolist()})}
+    table = merges.Merges(made, 1000)
+    symbols = draw.integers(-3, 320, 30_000).astype(np.int32)
+    at = table.pairs_in_row(symbols)
+    want = [made.get(x) for x in zip(symbols.tolist(), symbols[1:].tolist(), strict=False)]
+    assert [(int(table.made[k]), int(table.ranks[k])) if k < len(made) else None for k in at[:-1].tolist()] == want
+    assert at[-1] == len(made) and any(want) and not all(want)
