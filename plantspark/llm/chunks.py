@@ -20,7 +20,7 @@ STRIP = 8 << 20
 def strips(texts: pa.Array, most: int = 0) -> Iterator[pa.Array]:
     """Slices of about `most` (STRIP) bytes, of one text at least."""
     most = most or STRIP
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     number = (np.cumsum(sizes) - sizes) // most
     edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(texts)]
     for a, z in zip(edges, edges[1:], strict=False):

@@ -31,6 +31,8 @@ from plantspark.llm.encoding import encoder
 NAMES = ["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "part", "open"]
 #: Windows of so many tasks or groups are merged at a time.
 MERGE = 16
+#: Bytes of texts that are encoded at a time; larger strips take more memory, and with a byte tokenizer hardly less time.
+STRIP = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -185,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_column: str = "doc
         out: Rows | None = None
         for batch in batches:
             out = out or Rows(batch.schema.field(0).type, with_ids)
-            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1), STRIP), strict=True):
                 ids = np.append(ids, np.uint16(end_id) if end_id < 1 << 16 else np.uint32(end_id))
                 closed = []
                 for at in range(0, len(ids), spec.width):
@@ -195,6 +197,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_column: str = "doc
                     number += 1
                 if len(out.data) >= 512:
                     yield out.table()
+            del batch  # before the next one comes
+            pa.default_memory_pool().release_unused()
         if out:
             for w in packer.open:
                 out.window(w, part << 31 | number, part, True)
