@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from plantspark.llm import line_dedup, simhash, suffix_dedup
@@ -83,6 +84,23 @@ def by_bytes(texts, length):
     return out
 
 
+@pytest.mark.parametrize("copies", [2, 3, 4, 6])
+def test_few_suffixes_with_long_prefixes_are_compared_with_each_other(copies, monkeypatch):
+    """Copies that differ late fall apart place by place; only groups of more than SMALL are sorted anew each time."""
+    draw = np.random.default_rng(copies)
+    passage = draw.integers(97, 123, 600).astype(np.uint8)
+    bodies = [bytes(passage[: 500 - 70 * (k % 2)]) + bytes(draw.integers(97, 123, 300).astype(np.uint8)) for k in range(copies)]
+    bodies += [bodies[0][:450], b"aaaa" * 150, b"aaaa" * 120 + b"b"]
+    text = np.frombuffer(b"\xff".join(bodies) + b"\xff", dtype=np.uint8)
+    sorts, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorts.append(len(keys[0])) or lexsort(keys))
+    order = suffix_dedup.suffix_array(text, suffix_dedup.words(text, 400), 400).tolist()
+    assert sorted(order) == list(range(len(text)))
+    heads = [bytes(text[i : i + 400]).ljust(400, b"\0") for i in order]
+    assert heads == sorted(heads)
+    assert copies > 2 or sum(sorts) < 100
+
+
 def test_suffix_order_and_spans():
     draw = random.Random(3)
     for _ in range(120):
