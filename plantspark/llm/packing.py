@@ -31,7 +31,7 @@ from plantspark.llm.encoding import encoder
 NAMES = ["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "part", "open"]
 #: Windows of so many tasks or groups are merged at a time.
 MERGE = 16
-#: Bytes of texts that are encoded at a time; larger strips take more memory, and with a byte tokenizer hardly less time.
+#: Bytes of texts that are encoded at a time; larger strips take more memory, and less time, as equal chunks are encoded once a strip.
 STRIP = 2 << 20
 
 
